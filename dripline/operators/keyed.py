@@ -109,23 +109,29 @@ def session_start(
     gap_ms: int = 60_000,
     out: str = "session_start_ms",
     floor_rows: int = FLOOR_ROWS,
+    open_session: Column | None = None,
 ) -> DataFrame:
     """Stamp each row with the time its session began.
 
     In arrival order per key, the first row opens a session, and so does a row more than
     ``gap_ms`` after the row before it. A missing time counts as 0, and a row that arrives
     out of order moves the "last seen" time back.
+
+    ``open_session`` is non-NULL on rows that stand for what came before this data: such a
+    row, ordered first (its order columns are NULL), continues the session of that start.
     """
-    data = df.withColumn("_ts", F.coalesce(ts_ms, F.lit(0).cast("bigint")))
+    forced = F.lit(None).cast("bigint") if open_session is None else open_session
+    data = df.withColumn("_ts", F.coalesce(ts_ms, F.lit(0).cast("bigint"))).withColumn("_forced", forced)
     position = F.col(order[0])
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    opens = F.when(F.col("_prev").isNull() | (F.col("_ts") - F.col("_prev") > gap_ms), F.col("_ts"))
+    gap = F.col("_prev").isNull() | (F.col("_ts") - F.col("_prev") > gap_ms)
+    opens = F.coalesce("_forced", F.when(gap, F.col("_ts")))
 
     # What the chunks of busy keys hand on: their first and last time, and the last
     # session opened inside them. The first row's own case is settled once the chunk
     # before it is known.
     at = F.struct(*order)
-    inner = F.when(F.col("_prev").isNotNull(), opens)
+    inner = F.when(F.col("_forced").isNotNull() | F.col("_prev").isNotNull(), opens)
     chunks = (
         with_chunks(data, keys, position, floor_rows, busy_only=True)
         .withColumn("_prev", F.lag("_ts").over(w))
@@ -156,7 +162,7 @@ def session_start(
         .withColumn("_prev", F.coalesce(F.lag("_ts").over(w), "_before"))
         .withColumn("_opened", opens)
         .withColumn(out, F.coalesce(F.last("_opened", ignorenulls=True).over(so_far), "_current"))
-        .drop("_ts", "_prev", "_before", "_current", "_opened", CHUNK)
+        .drop("_ts", "_forced", "_prev", "_before", "_current", "_opened", CHUNK)
     )
 
 

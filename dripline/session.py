@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", app: str = "dripline", **extra: str) -
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

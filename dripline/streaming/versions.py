@@ -1,0 +1,53 @@
+"""A small table kept in one version per micro-batch.
+
+A batch that is repeated after a failure must start from what the batch before it left,
+not from its own half-done work. So each batch writes its own version and reads the one
+before it. Versions older than two batches are removed.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+@dataclass(frozen=True)
+class VersionedTable:
+    folder: str
+    keep: int = 2
+
+    def _path(self, batch_id: int) -> str:
+        return f"{self.folder}/version={batch_id}"
+
+    def at(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The version a batch wrote, if it finished writing it."""
+        if batch_id < 0 or not self._exists(spark, f"{self._path(batch_id)}/_SUCCESS"):
+            return None
+        return spark.read.parquet(self._path(batch_id))
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """What the batch before this one left; nothing before the first batch."""
+        if batch_id == 0:
+            return None
+        found = self.at(spark, batch_id - 1)
+        if found is None:
+            raise ValueError(f"no version of batch {batch_id - 1} in {self.folder}")
+        return found
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self._path(batch_id))
+        self._remove(df.sparkSession, self._path(batch_id - self.keep))
+
+    @staticmethod
+    def _files(spark: SparkSession, path: str):
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jvm_path
+
+    def _exists(self, spark: SparkSession, path: str) -> bool:
+        files, where = self._files(spark, path)
+        return files.exists(where)
+
+    def _remove(self, spark: SparkSession, path: str) -> None:
+        files, where = self._files(spark, path)
+        files.delete(where, True)
