@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dripline import schemas
+from dripline.functions.once import with_once
 
 
-def parse(text: Column, schema, strict: bool = False) -> Column:
-    """JSON text to a struct. Bad JSON fails the job when strict, else gives NULL.
+CORRUPT = "_corrupt"
 
-    The tolerant form reads in permissive mode with a corrupt-record field, because a
-    line cut short would otherwise come back half filled.
+
+def with_parsed(df: DataFrame, name: str, text: Column, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Add JSON text as a struct column, parsed once per row.
+
+    Bad JSON fails the job when strict, else gives NULL: the tolerant form asks Spark to
+    mark corrupt records, because a line cut short would otherwise come back half filled.
     """
     if strict:
-        return F.from_json(text, schema, {"mode": "FAILFAST"})
-    corrupt = "_corrupt"
-    wire = type(schema)(list(schema.fields)).add(corrupt, "string")
-    parsed = F.from_json(text, wire, {"columnNameOfCorruptRecord": corrupt})
-    return F.when(parsed[corrupt].isNull(), parsed)
+        return with_once(df, name, F.from_json(text, schema, {"mode": "FAILFAST"}))
+    wire = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = with_once(df, name, F.from_json(text, wire, {"columnNameOfCorruptRecord": CORRUPT}))
+    return parsed.withColumn(name, F.when(F.col(name)[CORRUPT].isNull(), F.col(name)))
 
 
 def typed(struct: Column, fields: dict[str, str], strict: bool = False) -> list[Column]:
@@ -32,8 +35,3 @@ def json_text(keep_nulls: bool = False, **fields: Column) -> Column:
     """The given fields as JSON text, in the given order."""
     options = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(F.struct(*(c.alias(name) for name, c in fields.items())), options)
-
-
-def pump(text: Column, strict: bool = False) -> Column:
-    """A pump message line as a struct with text leaves."""
-    return parse(text, schemas.pump_wire(), strict)

@@ -13,7 +13,7 @@ from dripline.functions import cells, messages, text, times
 def parse_json(df: DataFrame, fields: dict[str, str], column: str = "value", strict: bool = True) -> DataFrame:
     """JSON text to typed columns; numbers may be quoted. Other columns are dropped."""
     wire = schemas.text_leaves(fields)
-    parsed = df.select(messages.parse(F.col(column), wire, strict).alias("_m"))
+    parsed = messages.with_parsed(df.select(column), "_m", F.col(column), wire, strict)
     return parsed.select(*messages.typed(F.col("_m"), fields, strict))
 
 
@@ -21,9 +21,14 @@ def drop_blank(df: DataFrame, column: str = "value") -> DataFrame:
     return df.filter(~text.is_blank(F.col(column)))
 
 
-def with_pump(df: DataFrame, column: str = "value", strict: bool = False) -> DataFrame:
-    """Parse pump lines once, into a struct column ``pump`` beside the others."""
-    return df.withColumn("pump", messages.pump(F.col(column), strict))
+def with_pump(
+    df: DataFrame, column: str = "value", strict: bool = False, data: list[str] | None = None
+) -> DataFrame:
+    """Parse pump lines once, into a struct column ``pump`` beside the others.
+
+    ``data`` names the inner fields that are needed; the parser skips the rest.
+    """
+    return messages.with_parsed(df, "pump", F.col(column), schemas.pump_wire(data), strict)
 
 
 def in_state(df: DataFrame, state: str = "0x02") -> DataFrame:

@@ -9,6 +9,7 @@ from dripline import schemas
 from dripline.functions import times
 from dripline.operators import keyed, rows
 from dripline.operators.skew import FLOOR_ROWS
+from dripline.session import written
 
 SILENCE_MS = 60_000
 
@@ -21,7 +22,8 @@ def readings(lines: DataFrame, order: list[str], strict: bool = True, column: st
 
     A bad line fails the job when strict; otherwise it is left out.
     """
-    parsed = rows.with_pump(rows.drop_blank(lines, column), column, strict)
+    needed = ["factoryNum", "injectMode", *schemas.ALARMS]
+    parsed = rows.with_pump(rows.drop_blank(lines, column), column, strict, needed)
     data = F.col("pump.data")
     return parsed.filter(F.col("pump").isNotNull()).select(
         *order,
@@ -50,8 +52,12 @@ def alarm_rows(
     strict: bool = True,
     floor_rows: int = FLOOR_ROWS,
 ) -> DataFrame:
-    """The whole job on a batch of lines. Rows without alarms still move the session on."""
-    parsed = readings(lines, order, strict)
+    """The whole job on a batch of lines. Rows without alarms still move the session on.
+
+    The stamping reads its input more than once, in narrow columns, so the parsed
+    readings are first written to the shared folder: no line is parsed twice.
+    """
+    parsed = written(readings(lines, order, strict), "readings")
     stamped = keyed.session_start(
         parsed, ["factoryNum"], order, F.col("alarmTs"), gap_ms, floor_rows=floor_rows
     )

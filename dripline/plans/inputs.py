@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dripline.functions import cells, messages, times
+from dripline.functions.once import with_once
 from dripline.operators import rows
 from dripline.plans.registry import Tables
 
@@ -40,13 +41,12 @@ def pump_lines(t: Tables) -> DataFrame:
     line = messages.json_text(
         host=F.lit("127.0.0.1"), port=F.lit(10003), code=F.lit(-1), data=data, ts=F.col("ms")
     )
-    return e.select("event_id", line.alias("line")).select(
-        "event_id",
+    value = (
         F.when(F.col("event_id") % 11 == 0, F.lit("  "))
         .when(F.col("event_id") % 7 == 0, F.substring("line", 1, 80))
         .otherwise(F.col("line"))
-        .alias("value"),
     )
+    return with_once(e, "line", line).select("event_id", value.alias("value"))
 
 
 # The rows of ``pump_lines`` that are whole messages, for the SQL side.

@@ -93,7 +93,7 @@ def text_leaves(fields: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in fields])
 
 
-def pump_wire() -> T.StructType:
-    """Wire schema of a pump message; the always-empty header is left out."""
-    wire = text_leaves(PUMP_ENVELOPE)
-    return wire.add(T.StructField("data", text_leaves(PUMP_DATA)))
+def pump_wire(data: list[str] | None = None) -> T.StructType:
+    """Wire schema of a pump message, with all or some inner fields; the empty header is left out."""
+    inner = text_leaves({k: PUMP_DATA[k] for k in data} if data else PUMP_DATA)
+    return T.StructType([*text_leaves(PUMP_ENVELOPE).fields, T.StructField("data", inner)])
