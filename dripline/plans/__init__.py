@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-QUERY_MODULES = ["keyed_queries", "row_queries"]
+QUERY_MODULES = ["keyed_queries", "row_queries", "io_queries"]
 
 
 def load_all() -> None:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from dripline import schemas
 from dripline.functions import times
 from dripline.operators import keyed, rows
 from dripline.operators.skew import FLOOR_ROWS
 from dripline.session import written
+from dripline.sinks.batches import Sink
+from dripline.streaming.carried import session_stream
 
 SILENCE_MS = 60_000
 
@@ -62,3 +65,28 @@ def alarm_rows(
         parsed, ["factoryNum"], order, F.col("alarmTs"), gap_ms, floor_rows=floor_rows
     )
     return alarm_output(stamped)
+
+
+def alarm_stream_job(
+    lines: DataFrame,
+    order: list[str],
+    sink: Sink,
+    folder: str,
+    gap_ms: int = SILENCE_MS,
+    strict: bool = True,
+    trigger: str | None = None,
+    forget_after_ms: int | None = None,
+) -> StreamingQuery:
+    """The whole job on a stream of lines. Sessions go on from one micro-batch to the next."""
+    return session_stream(
+        readings(lines, order, strict),
+        ["factoryNum"],
+        order,
+        "alarmTs",
+        lambda stamped, batch_id: sink(alarm_output(stamped), batch_id),
+        folder,
+        gap_ms,
+        name="alarms",
+        trigger=trigger,
+        forget_after_ms=forget_after_ms,
+    )
