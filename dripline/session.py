@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", app: str = "dripline", **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster passes its own session in."""
@@ -48,9 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="dripline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="dripline-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
