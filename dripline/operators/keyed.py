@@ -110,6 +110,7 @@ def session_start(
     out: str = "session_start_ms",
     floor_rows: int = FLOOR_ROWS,
     open_session: Column | None = None,
+    levels: int = 1,
 ) -> DataFrame:
     """Stamp each row with the time its session began.
 
@@ -119,6 +120,7 @@ def session_start(
 
     ``open_session`` is non-NULL on rows that stand for what came before this data: such a
     row, ordered first (its order columns are NULL), continues the session of that start.
+    ``levels`` is for order columns that are not a dense sequence (see ``with_chunks``).
     """
     forced = F.lit(None).cast("bigint") if open_session is None else open_session
     data = df.withColumn("_ts", F.coalesce(ts_ms, F.lit(0).cast("bigint"))).withColumn("_forced", forced)
@@ -133,7 +135,7 @@ def session_start(
     at = F.struct(*order)
     inner = F.when(F.col("_forced").isNotNull() | F.col("_prev").isNotNull(), opens)
     chunks = (
-        with_chunks(data, keys, position, floor_rows, busy_only=True)
+        with_chunks(data, keys, position, floor_rows, True, levels)
         .withColumn("_prev", F.lag("_ts").over(w))
         .groupBy(*keys, CHUNK)
         .agg(
@@ -158,7 +160,7 @@ def session_start(
 
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        _join_carry(with_chunks(data, keys, position, floor_rows), carry, keys)
+        _join_carry(with_chunks(data, keys, position, floor_rows, False, levels), carry, keys)
         .withColumn("_prev", F.coalesce(F.lag("_ts").over(w), "_before"))
         .withColumn("_opened", opens)
         .withColumn(out, F.coalesce(F.last("_opened", ignorenulls=True).over(so_far), "_current"))
@@ -172,10 +174,14 @@ def session_summary(
     """One row per key and session in event-time order: start, last time, rows.
 
     Built on the chunked stamping: ``session_window`` alone would send all rows of a
-    key to one task.
+    key to one task. Rows with the same key and time are counted together first, so
+    times are distinct and bursts of them can be cut.
     """
     data = df.select(*keys, ts_ms.alias("_time")).filter(F.col("_time").isNotNull())
-    stamped = session_start(data, keys, ["_time"], F.col("_time"), gap_ms, "session_start_ms", floor_rows)
+    moments = data.groupBy(*keys, "_time").agg(F.count(F.lit(1)).alias("_rows_then"))
+    stamped = session_start(
+        moments, keys, ["_time"], F.col("_time"), gap_ms, "session_start_ms", floor_rows, levels=2
+    )
     return stamped.groupBy(*keys, "session_start_ms").agg(
-        F.max("_time").alias("session_end_ms"), F.count(F.lit(1)).alias("row_count")
+        F.max("_time").alias("session_end_ms"), F.sum("_rows_then").alias("row_count")
     )

@@ -11,7 +11,8 @@ from dripline.operators.skew import FLOOR_ROWS, spread_join
 
 def _join(df: DataFrame, table: DataFrame, key: str, seq: list[str] | None, floor_rows: int) -> DataFrame:
     if df.isStreaming:
-        # A stream is read once per micro-batch, so there is no count to find busy keys with.
+        # Inside a streaming plan there is no count to find busy keys with. For a large
+        # table, look up within ``start_batches`` instead, where each micro-batch has one.
         return df.join(table, F.col(key) == F.col("_ref"), "left")
     return spread_join(df, table, key, "_ref", seq or df.columns, floor_rows)
 

@@ -34,9 +34,9 @@ def windowed_count(df: DataFrame, time: str, keys: list[str], width: str, slide:
 def session_windows(df: DataFrame, time: str, keys: list[str], gap: str) -> DataFrame:
     """Session windows of a stream: the form of ``session_summary`` that closes by watermark.
 
-    With ``merge.sessions.in.local.partition`` on, each map task merges its own sessions
-    before the shuffle.
+    Each map task merges its own sessions before the shuffle, so a busy key ships few rows.
     """
+    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     counted = df.groupBy(*keys, F.session_window(time, gap).alias("_w")).agg(
         F.count(F.lit(1)).alias("row_count"), F.max(time).alias("session_end")
     )

@@ -178,7 +178,7 @@ def stream_event_time_buckets(t: Tables) -> DataFrame:
 def subtable_fanout(t: Tables) -> DataFrame:
     """Pump records written per device and read back from the whole table."""
     folder = scratch(t.spark, "subtables")
-    subtables.write_subtables(_records(t), folder)
+    subtables.write_subtables(_records(t), folder, buckets=32)
     back = subtables.read_supertable(t.spark, folder)
     return back.groupBy("tableName").agg(F.count(F.lit(1)).alias("row_count"), F.min("ts").alias("first_ts"))
 

@@ -15,8 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
-    # Session windows merge inside each map task first, so a busy key ships few rows.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 _LOCAL_DIRS: dict[str, str] = {}

@@ -57,14 +57,18 @@ def _carry_on(
     table = VersionedTable(f"{folder}/state")
 
     def run(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        rows = rows.withColumn(CARRIED, F.lit(False))
-        before = table.before(spark, batch_id)
+        # Kept on disk for this batch only: the operator reads its input more than once,
+        # and the result goes to the sink and to the state. Lost blocks are read again
+        # from the source, which gives the same rows for the same batch.
+        arrived = rows.withColumn(CARRIED, F.lit(False)).persist(StorageLevel.DISK_ONLY)
+        before = table.before(rows.sparkSession, batch_id)
+        known = arrived
         if before is not None:
-            rows = rows.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
-        done = apply(rows).persist(StorageLevel.DISK_ONLY)
+            known = arrived.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
+        done = apply(known).persist(StorageLevel.DISK_ONLY)
         try:
-            sink(done.filter(~F.col(CARRIED)).drop(CARRIED, *(s for s in state if s not in stream.columns)), batch_id)
+            inner = [CARRIED, *(s for s in state if s not in stream.columns)]
+            sink(done.filter(~F.col(CARRIED)).drop(*inner), batch_id)
             # The last row per key in arrival order; a carried row is before all others.
             last = F.max(F.struct(*order, *state_row()))
             left = done.groupBy(*keys).agg(last.alias("_last"))
@@ -72,6 +76,7 @@ def _carry_on(
             table.write(prune(left) if prune else left, batch_id)
         finally:
             done.unpersist()
+            arrived.unpersist()
 
     return start_batches(stream, run, folder, name, trigger)
 

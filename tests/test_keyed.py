@@ -122,3 +122,26 @@ def test_one_shuffle_of_the_rows(spark, tmp_path):
 def test_word_totals(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), ("",)], "word string")
     assert {(r.word, r.total) for r in keyed.word_totals(df, "word").collect()} == {("a", 2), ("b", 1), ("", 1)}
+
+
+def test_bursts_are_cut_by_a_second_level(spark):
+    """Nearly all positions in a thousandth of the range: one level leaves one full chunk."""
+    rows = [("hot", i, 0) for i in range(4_000)] + [("hot", 10_000_000, 0), ("k", 5, 0)]
+    df = frame(spark, rows)
+
+    def fullest(levels):
+        got = skew.with_chunks(df, ["key"], F.col("seq"), floor_rows=100, levels=levels)
+        chunks = got.groupBy("key", "_chunk").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+        hot = chunks.filter("key = 'hot'").orderBy("_chunk").collect()
+        assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
+        return max(c.n for c in hot)
+
+    assert fullest(1) == 4_000 and fullest(2) <= 101
+
+
+def test_summary_of_copies(spark):
+    """A third of all rows share one key and time."""
+    rows = [("hot", i, 7_000) for i in range(500)] + [("hot", 900 + i, i * 200_000) for i in range(1000)]
+    got = keyed.session_summary(frame(spark, rows), ["key"], F.col("ts"), floor_rows=50).collect()
+    assert len(got) == 1000 and {r.session_start_ms: r.row_count for r in got}[0] == 501
+    assert sum(r.row_count for r in got) == 1500
