@@ -123,10 +123,10 @@ def cells_to_map(df: DataFrame, strict: bool = True) -> DataFrame:
         name = F.coalesce(name, F.raise_error(problem).cast("string"))
         shown = F.coalesce(shown, F.raise_error(problem).cast("string"))
     decoded = df.select(
-        "row_key",
-        name.alias("name"),
-        F.struct("family", "qualifier", "cell_ts", shown.alias("shown")).alias("_cell"),
-    ).filter(F.col("name").isNotNull() & F.col("_cell.shown").isNotNull())
+        "row_key", name.alias("name"), F.struct("family", "qualifier", "cell_ts", shown.alias("shown")).alias("_cell")
+    )
+    if not strict:
+        decoded = decoded.filter(F.col("name").isNotNull() & F.col("_cell.shown").isNotNull())
     newest = decoded.groupBy("row_key", "name").agg(F.max("_cell").alias("_cell"))
     return newest.groupBy("row_key").agg(
         F.map_from_entries(F.collect_list(F.struct("name", "_cell.shown"))).alias("cells")

@@ -23,11 +23,11 @@ from dripline.plans import alarms, etl
 from dripline.plans.sqljob import run_sql_job
 from dripline.session import scratch
 from dripline.sinks import stores
-from dripline.sinks.batches import Sink
+from dripline.sinks.batches import Sink, kept
 from dripline.sinks.factory import batch_sink
 from dripline.sinks.files import start_hour_buckets, with_hour_buckets
 from dripline.sinks.jdbc import jdbc_table
-from dripline.sources.polling import Poller, start_polling
+from dripline.sources.polling import Poller, start_polling, start_scanning
 from dripline.sources.readers import open_source
 from dripline.streaming.carried import running_total_stream, start_batches
 
@@ -88,11 +88,21 @@ def job(start: Callable[[Job], StreamingQuery]) -> Callable[[Job], StreamingQuer
     return start
 
 
-def start_job(spark: SparkSession, config: dict[str, Any], name: str) -> StreamingQuery:
-    """Start a job of the settings file; its ``job`` key says which kind, or its own name does."""
+def start_job(
+    spark: SparkSession,
+    config: dict[str, Any],
+    name: str,
+    hook: Callable[[SparkSession, dict[str, Any]], None] | None = None,
+) -> StreamingQuery:
+    """Start a job of the settings file; its ``job`` key says which kind, or its own name does.
+
+    ``hook`` sees the session and the job's settings before anything starts.
+    """
     made = Job(spark, config, name)
     if made.kind not in JOBS:
         raise KeyError(f"no kind of job {made.kind!r}; known: {', '.join(sorted(JOBS))}")
+    if hook:
+        hook(spark, made.settings)
     return JOBS[made.kind](made)
 
 
@@ -235,10 +245,11 @@ def side_output(j: Job) -> StreamingQuery:
     side = j.sink("side_sink")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parts = split.split_by(batch, {"side": F.col("userId") < limit})
-        side(parts["side"], batch_id)
-        if main:
-            main(parts[split.MAIN], batch_id)
+        with kept(batch) as held:
+            parts = split.split_by(held, {"side": F.col("userId") < limit})
+            side(parts["side"], batch_id)
+            if main:
+                main(parts[split.MAIN], batch_id)
 
     return j.start(_orders(j), write)
 
@@ -249,7 +260,8 @@ def known_ids(j: Job) -> StreamingQuery:
     table = j.spark.read.parquet(j.settings["table"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(lookup.lookup_exists(batch, table, "value", "row_key", j.settings.get("order")), batch_id)
+        with kept(batch) as held:
+            sink(lookup.lookup_exists(held, table, "value", "row_key", j.settings.get("order")), batch_id)
 
     sink = j.sink()
     return j.start(j.source(), write)
@@ -261,8 +273,9 @@ def known_rows(j: Job) -> StreamingQuery:
     table = j.spark.read.parquet(j.settings["table"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        found = lookup.lookup_row(batch, table, "value", j.settings.get("order"), strict=j.strict)
-        sink(found, batch_id)
+        with kept(batch) as held:
+            found = lookup.lookup_row(held, table, "value", j.settings.get("order"), strict=j.strict)
+            sink(found, batch_id)
 
     sink = j.sink()
     return j.start(j.source(), write)
@@ -284,6 +297,19 @@ def poll_table(j: Job) -> StreamingQuery:
     return start_polling(j.spark, poller, j.sink(), j.folder, j.trigger or "5 seconds", j.name)
 
 
+@job
+def scan_table(j: Job) -> StreamingQuery:
+    """Every row of a cell table again and again, as a map per row key."""
+    return start_scanning(
+        j.spark,
+        lambda spark: rows.cells_to_map(spark.read.parquet(j.settings["table"]), j.strict),
+        j.sink(),
+        j.folder,
+        j.trigger or "1 second",
+        j.name,
+    )
+
+
 @job
 def sql(j: Job) -> StreamingQuery:
     """A named SQL script; gives the last stream it starts."""

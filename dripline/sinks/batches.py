@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 Sink = Callable[[DataFrame, int], None]
 
 
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """A micro-batch held on the executors' disks while it is used more than once.
+
+    Lost blocks are read again from the source, which gives the same rows for the same
+    batch.
+    """
+    held = rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def batch_folders(path: str) -> Sink:
     """Rows of batch N go to ``batch_id=N``. A batch written again replaces what it left."""
 
@@ -27,7 +43,8 @@ def to_each(*sinks: Sink) -> Sink:
     """The same rows to several sinks."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        for sink in sinks:
-            sink(rows, batch_id)
+        with kept(rows) as held:
+            for sink in sinks:
+                sink(held, batch_id)
 
     return write

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dripline import schemas
-from dripline.sinks.batches import Sink
+from dripline.sinks.batches import Sink, kept
 
 BUCKETS = 256
 _BUCKET = "bucket"
@@ -60,7 +60,11 @@ def write_subtables(
 
 
 def subtable_sink(path: str, buckets: int = BUCKETS) -> Sink:
-    return lambda records, batch_id: write_subtables(records, path, batch_id, None, buckets)
+    def write(records: DataFrame, batch_id: int) -> None:
+        with kept(records) as held:
+            write_subtables(held, path, batch_id, None, buckets)
+
+    return write
 
 
 def read_subtable(spark: SparkSession, path: str, table: str, buckets: int = BUCKETS) -> DataFrame:

@@ -76,9 +76,27 @@ def start_polling(
         if high != low or poller.inclusive:
             sink(poller.after(spark, low, high), batch_id)
 
+    return _each_tick(spark, poll, folder, interval, name)
+
+
+def start_scanning(
+    spark: SparkSession,
+    read: Callable[[SparkSession], DataFrame],
+    sink: Callable[[DataFrame, int], None],
+    folder: str,
+    interval: str = "1 second",
+    name: str = "scan",
+) -> StreamingQuery:
+    """Read the whole table at each tick, for tables without a column to hold a mark."""
+    return _each_tick(spark, lambda _, batch_id: sink(read(spark), batch_id), folder, interval, name)
+
+
+def _each_tick(
+    spark: SparkSession, work: Callable[[DataFrame, int], None], folder: str, interval: str, name: str
+) -> StreamingQuery:
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (
-        ticks.writeStream.foreachBatch(poll)
+        ticks.writeStream.foreachBatch(work)
         .trigger(processingTime=interval)
         .option("checkpointLocation", f"{folder}/clock")
         .queryName(name)

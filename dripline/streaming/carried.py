@@ -13,16 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dripline.operators import keyed
 from dripline.operators.skew import FLOOR_ROWS
+from dripline.sinks.batches import Sink, kept
 from dripline.streaming.versions import VersionedTable
 
-Sink = Callable[[DataFrame, int], None]
 CARRIED = "_carried"
 
 
@@ -57,26 +56,19 @@ def _carry_on(
     table = VersionedTable(f"{folder}/state")
 
     def run(rows: DataFrame, batch_id: int) -> None:
-        # Kept on disk for this batch only: the operator reads its input more than once,
-        # and the result goes to the sink and to the state. Lost blocks are read again
-        # from the source, which gives the same rows for the same batch.
-        arrived = rows.withColumn(CARRIED, F.lit(False)).persist(StorageLevel.DISK_ONLY)
-        before = table.before(rows.sparkSession, batch_id)
-        known = arrived
-        if before is not None:
-            known = arrived.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
-        done = apply(known).persist(StorageLevel.DISK_ONLY)
-        try:
-            inner = [CARRIED, *(s for s in state if s not in stream.columns)]
-            sink(done.filter(~F.col(CARRIED)).drop(*inner), batch_id)
-            # The last row per key in arrival order; a carried row is before all others.
-            last = F.max(F.struct(*order, *state_row()))
-            left = done.groupBy(*keys).agg(last.alias("_last"))
-            left = left.select(*keys, *(F.col("_last")[s].alias(s) for s in state))
-            table.write(prune(left) if prune else left, batch_id)
-        finally:
-            done.unpersist()
-            arrived.unpersist()
+        with kept(rows.withColumn(CARRIED, F.lit(False))) as arrived:
+            before = table.before(rows.sparkSession, batch_id)
+            known = arrived
+            if before is not None:
+                known = arrived.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
+            with kept(apply(known)) as done:
+                inner = [CARRIED, *(s for s in state if s not in stream.columns)]
+                sink(done.filter(~F.col(CARRIED)).drop(*inner), batch_id)
+                # The last row per key in arrival order; a carried row is before all others.
+                last = F.max(F.struct(*order, *state_row()))
+                left = done.groupBy(*keys).agg(last.alias("_last"))
+                left = left.select(*keys, *(F.col("_last")[s].alias(s) for s in state))
+                table.write(prune(left) if prune else left, batch_id)
 
     return start_batches(stream, run, folder, name, trigger)
 

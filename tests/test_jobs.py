@@ -127,6 +127,24 @@ def test_row_lookups(spark, run, tmp_path):
     assert {r.value: r.cells for r in got} == {"123456": {}, "1111": {"n": "x"}}
 
 
+def test_scan_table(spark, tmp_path):
+    table = str(tmp_path / "person")
+    spark.createDataFrame([("1111", "cf", "s_n", bytearray(b"x"), 1)], schemas.CELLS).write.parquet(table)
+    made = {"table": table, "folder": str(tmp_path / "job"), "trigger": "200 milliseconds",
+            "sink": {"kind": "folders", "path": str(tmp_path / "out")}}
+    seen = []
+    q = jobs.start_job(spark, {"jobs": {"scan_table": made}}, "scan_table", hook=lambda s, settings: seen.append(settings))
+    try:
+        while len(list(tmp_path.glob("out/batch_id=*/_SUCCESS"))) < 2:
+            assert q.isActive
+            q.awaitTermination(0.2)
+    finally:
+        q.stop()
+    assert seen[0]["table"] == table
+    got = batches.read_batches(spark, str(tmp_path / "out"))
+    assert {tuple(r.cells.items()) for r in got.collect()} == {(("n", "x"),)} and got.count() >= 2
+
+
 def test_example_settings(spark, monkeypatch):
     for name in ("KAFKA_SERVERS", "JDBC_URL", "JDBC_USER", "JDBC_PASSWORD", "SHARED"):
         monkeypatch.setenv(name, "x")
