@@ -40,14 +40,10 @@ def _running(
 ) -> DataFrame:
     position = F.col(order[0])
     data = df.withColumn("_value", value)
-    rows = with_chunks(data, keys, position, floor_rows)
+    rows, busy_rows = with_chunks(data, keys, position, floor_rows)
     here = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = (
-        with_chunks(data, keys, position, floor_rows, busy_only=True)
-        .groupBy(*keys, CHUNK)
-        .agg(fold(F.col("_value")).alias("_part"))
-    )
+    per_chunk = busy_rows.groupBy(*keys, CHUNK).agg(fold(F.col("_value")).alias("_part"))
     carry = _carried(
         per_chunk.withColumn("_carry", fold(F.col("_part")).over(before)), keys, F.col("_carry")
     )
@@ -132,11 +128,11 @@ def session_start(
     # What the chunks of busy keys hand on: their first and last time, and the last
     # session opened inside them. The first row's own case is settled once the chunk
     # before it is known.
+    rows, busy_rows = with_chunks(data, keys, position, floor_rows, levels)
     at = F.struct(*order)
     inner = F.when(F.col("_forced").isNotNull() | F.col("_prev").isNotNull(), opens)
     chunks = (
-        with_chunks(data, keys, position, floor_rows, True, levels)
-        .withColumn("_prev", F.lag("_ts").over(w))
+        busy_rows.withColumn("_prev", F.lag("_ts").over(w))
         .groupBy(*keys, CHUNK)
         .agg(
             F.min_by("_ts", at).alias("_first"),
@@ -160,7 +156,7 @@ def session_start(
 
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        _join_carry(with_chunks(data, keys, position, floor_rows, False, levels), carry, keys)
+        _join_carry(rows, carry, keys)
         .withColumn("_prev", F.coalesce(F.lag("_ts").over(w), "_before"))
         .withColumn("_opened", opens)
         .withColumn(out, F.coalesce(F.last("_opened", ignorenulls=True).over(so_far), "_current"))

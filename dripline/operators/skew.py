@@ -55,45 +55,41 @@ def busy_keys(
 
 
 def with_chunks(
-    df: DataFrame,
-    keys: list[str],
-    position: Column,
-    floor_rows: int = FLOOR_ROWS,
-    busy_only: bool = False,
-    levels: int = 1,
-) -> DataFrame:
+    df: DataFrame, keys: list[str], position: Column, floor_rows: int = FLOOR_ROWS, levels: int = 1
+) -> tuple[DataFrame, DataFrame]:
     """Add ``_chunk``: 0 for ordinary keys, else a number that never falls as ``position`` grows.
 
-    Windows over (keys, _chunk) then see a bounded slice of a busy key; what earlier
-    slices contribute is a small per-chunk summary. ``busy_only`` keeps just the rows
-    such summaries are made from.
+    Gives all rows, and the rows of busy keys only. Windows over (keys, _chunk) see a
+    bounded slice of a busy key; what earlier slices contribute is a small per-chunk
+    summary, made from the second.
 
     A chunk is an equal share of the key's range of positions, which suits a dense
     sequence. For positions that come in bursts (times), each further level cuts the
     chunks that are still too full, in the same way and under the same bound.
     """
-    chunked = _number(df, keys, position, floor_rows, busy_only, CHUNK)
+    busy = F.broadcast(busy_keys(df, keys, position, floor_rows))
+    every = _number(df, busy, keys, position, "left", CHUNK)
+    of_busy = _number(df, busy, keys, position, "inner", CHUNK)
     for _ in range(levels - 1):
-        finer = _number(chunked, [*keys, CHUNK], position, floor_rows, False, "_finer")
-        combined = F.col(CHUNK) * (2 * MAX_PARTS + 2) + F.col("_finer")
-        chunked = finer.withColumn(CHUNK, combined).drop("_finer")
-    return chunked
+        full = F.broadcast(busy_keys(every, [*keys, CHUNK], position, floor_rows))
+        every, of_busy = (_refine(rows, full, keys, position) for rows in (every, of_busy))
+    return every, of_busy
 
 
-def _number(
-    df: DataFrame, keys: list[str], position: Column, floor_rows: int, busy_only: bool, out: str
-) -> DataFrame:
-    busy = F.broadcast(busy_keys(df, keys, position, floor_rows))
+def _number(df: DataFrame, busy: DataFrame, keys: list[str], position: Column, how: str, out: str) -> DataFrame:
     number = F.width_bucket(position.cast("double"), F.col(_LO), F.col(_HI), F.col(_PARTS))
-    joined = df.join(
-        busy, same_keys(keys, [_key_alias(k) for k in keys]), "inner" if busy_only else "left"
-    )
+    joined = df.join(busy, same_keys(keys, [_key_alias(k) for k in keys]), how)
     return joined.select(
         *(F.col(f"`{c}`") for c in df.columns),
         F.coalesce(number, F.lit(0).cast("bigint")).alias(out),
     )
 
 
+def _refine(chunked: DataFrame, full: DataFrame, keys: list[str], position: Column) -> DataFrame:
+    finer = _number(chunked, full, [*keys, CHUNK], position, "left", "_finer")
+    return finer.withColumn(CHUNK, F.col(CHUNK) * (2 * MAX_PARTS + 2) + F.col("_finer")).drop("_finer")
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,

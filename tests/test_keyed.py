@@ -99,7 +99,8 @@ def test_empty_input(spark):
 
 def test_chunks_are_bounded_and_ordered(spark):
     rows = [("hot", i, 0) for i in range(5_000)] + [(f"k{i}", i, 0) for i in range(100)]
-    got = skew.with_chunks(frame(spark, rows), ["key"], F.col("seq"), floor_rows=100)
+    got, of_busy = skew.with_chunks(frame(spark, rows), ["key"], F.col("seq"), floor_rows=100)
+    assert of_busy.count() == 5_000
     chunks = got.groupBy("key", "_chunk").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     chunks = chunks.orderBy("key", "_chunk").collect()
     hot = [c for c in chunks if c.key == "hot"]
@@ -130,7 +131,7 @@ def test_bursts_are_cut_by_a_second_level(spark):
     df = frame(spark, rows)
 
     def fullest(levels):
-        got = skew.with_chunks(df, ["key"], F.col("seq"), floor_rows=100, levels=levels)
+        got, _ = skew.with_chunks(df, ["key"], F.col("seq"), floor_rows=100, levels=levels)
         chunks = got.groupBy("key", "_chunk").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
         hot = chunks.filter("key = 'hot'").orderBy("_chunk").collect()
         assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
