@@ -5,8 +5,9 @@ too. What earlier batches leave behind is one row per key (last time and session
 total so far, greatest time so far). It joins the next batch as a row ordered first:
 its order columns are NULL.
 
-State is kept per batch (see ``VersionedTable``), and sinks get the batch number, so a
-repeated batch gives the same rows in the same place.
+State is kept per batch (see ``KeyedState``), of which a batch reads the keys it has and
+writes those back. Sinks get the batch number, so a repeated batch gives the same rows in
+the same place.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dripline.operators import keyed
 from dripline.operators.skew import FLOOR_ROWS
 from dripline.sinks.batches import Sink, kept
-from dripline.streaming.versions import VersionedTable
+from dripline.streaming.versions import KeyedState
 
 CARRIED = "_carried"
 
@@ -52,12 +53,13 @@ def _carry_on(
     name: str,
     trigger: str | None,
     prune: Callable[[DataFrame], DataFrame] | None = None,
+    full_every: int = 20,
 ) -> StreamingQuery:
-    table = VersionedTable(f"{folder}/state")
+    table = KeyedState(f"{folder}/state", keys, full_every)
 
     def run(rows: DataFrame, batch_id: int) -> None:
         with kept(rows.withColumn(CARRIED, F.lit(False))) as arrived:
-            before = table.before(rows.sparkSession, batch_id)
+            before = table.of(arrived, batch_id)
             known = arrived
             if before is not None:
                 known = arrived.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
@@ -68,7 +70,7 @@ def _carry_on(
                 last = F.max(F.struct(*order, *state_row()))
                 left = done.groupBy(*keys).agg(last.alias("_last"))
                 left = left.select(*keys, *(F.col("_last")[s].alias(s) for s in state))
-                table.write(prune(left) if prune else left, batch_id)
+                table.write(left, batch_id, prune)
 
     return start_batches(stream, run, folder, name, trigger)
 
@@ -86,11 +88,13 @@ def session_stream(
     trigger: str | None = None,
     forget_after_ms: int | None = None,
     floor_rows: int = FLOOR_ROWS,
+    full_every: int = 20,
 ) -> StreamingQuery:
     """Stamp each row of a stream with its session's start.
 
     Arrival order within a micro-batch is ``order``; batches follow one another.
-    ``forget_after_ms`` drops keys silent for that long, measured in event time.
+    ``forget_after_ms`` drops keys silent for that long, measured in event time, whenever
+    the whole state is written (every ``full_every`` batches).
     """
 
     def apply(rows: DataFrame) -> DataFrame:
@@ -105,7 +109,7 @@ def session_stream(
 
     return _carry_on(
         stream, keys, order, [ts, "_open"], apply, state_row, sink, folder, name, trigger,
-        prune if forget_after_ms is not None else None,
+        prune if forget_after_ms is not None else None, full_every,
     )
 
 

@@ -1,19 +1,25 @@
-"""A small table kept in one version per micro-batch.
+"""Tables kept in one version per micro-batch.
 
 A batch that is repeated after a failure must start from what the batch before it left,
-not from its own half-done work. So each batch writes its own version and reads the one
-before it. Versions older than two batches are removed.
+not from its own half-done work. So each batch writes its own version and reads the ones
+before it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dripline.operators.skew import same_keys
 
 
 @dataclass(frozen=True)
 class VersionedTable:
+    """A small table, whole in each version. Versions older than ``keep`` batches are removed."""
+
     folder: str
     keep: int = 2
 
@@ -39,15 +45,74 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(self._path(batch_id))
         self._remove(df.sparkSession, self._path(batch_id - self.keep))
 
-    @staticmethod
-    def _files(spark: SparkSession, path: str):
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jvm_path
-
     def _exists(self, spark: SparkSession, path: str) -> bool:
-        files, where = self._files(spark, path)
+        files, where = _files(spark, path)
         return files.exists(where)
 
     def _remove(self, spark: SparkSession, path: str) -> None:
-        files, where = self._files(spark, path)
+        files, where = _files(spark, path)
         files.delete(where, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system a path is on, and the path as it takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+@dataclass(frozen=True)
+class KeyedState:
+    """One row per key, of which a batch reads and changes a few.
+
+    Each batch writes the rows it changed; every ``full_every`` batches the whole state is
+    written instead, so a read never spans more than that many versions.
+    """
+
+    folder: str
+    keys: list[str]
+    full_every: int = 20
+
+    def _path(self, batch_id: int) -> str:
+        return f"{self.folder}/version={batch_id}"
+
+    def _versions(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The rows a batch starts from, several per key: the last full state and the changes since."""
+        if batch_id == 0:
+            return None
+        last = batch_id - 1
+        first = last - last % self.full_every
+        paths = [self._path(n) for n in range(first, batch_id)]
+        return spark.read.option("basePath", self.folder).parquet(*paths)
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        state = [c for c in rows.columns if c not in (*self.keys, "version")]
+        last = F.max(F.struct("version", *state))
+        latest = rows.groupBy(*self.keys).agg(last.alias("_last"))
+        return latest.select(*self.keys, *(F.col("_last")[c].alias(c) for c in state))
+
+    def of(self, rows: DataFrame, batch_id: int) -> DataFrame | None:
+        """The state of the keys that occur in the rows, as the batch before left it."""
+        versions = self._versions(rows.sparkSession, batch_id)
+        if versions is None:
+            return None
+        wanted = rows.select(*(F.col(k).alias(f"_wanted_{k}") for k in self.keys)).distinct()
+        match = same_keys(self.keys, [f"_wanted_{k}" for k in self.keys])
+        return self._latest(versions.join(wanted, match, "left_semi"))
+
+    def write(
+        self, changed: DataFrame, batch_id: int, prune: Callable[[DataFrame], DataFrame] | None = None
+    ) -> None:
+        """Keep the changed rows; where the whole state is written, ``prune`` may drop some of it."""
+        spark = changed.sparkSession
+        if batch_id % self.full_every == 0:
+            versions = self._versions(spark, batch_id)
+            whole = changed
+            if versions is not None:
+                whole = self._latest(versions.unionByName(changed.withColumn("version", F.lit(batch_id))))
+            changed = prune(whole) if prune else whole
+        changed.write.mode("overwrite").parquet(self._path(batch_id))
+        if batch_id > 1 and (batch_id - 1) % self.full_every == 0:
+            # The batch that wrote the full state is committed: what it was made from can go.
+            for n in range(batch_id - 1 - self.full_every, batch_id - 1):
+                files, where = _files(spark, self._path(n))
+                files.delete(where, True)

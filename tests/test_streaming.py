@@ -9,7 +9,7 @@ from dripline.operators import keyed, windows
 from dripline.plans import alarms
 from dripline.sinks import batches
 from dripline.streaming import carried
-from dripline.streaming.versions import VersionedTable
+from dripline.streaming.versions import KeyedState, VersionedTable
 from test_keyed import expected_sessions, made_rows
 from test_rows import PUMP
 
@@ -34,7 +34,9 @@ def test_sessions(spark, tmp_path, cuts):
     rows = made_rows(11)
     stream = feed(spark, str(tmp_path), rows, cuts)
     sink = batches.batch_folders(f"{tmp_path}/out")
-    carried.session_stream(stream, ["key"], ["seq"], "ts", sink, str(tmp_path), floor_rows=20).awaitTermination()
+    carried.session_stream(
+        stream, ["key"], ["seq"], "ts", sink, str(tmp_path), floor_rows=20, full_every=2
+    ).awaitTermination()
     got = batches.read_batches(spark, f"{tmp_path}/out")
     assert set(got.columns) == {"key", "seq", "ts", "session_start_ms"}
     assert {r.seq: r.session_start_ms for r in got.collect()} == expected_sessions(rows)
@@ -86,12 +88,30 @@ def test_restart_after_failure(spark, tmp_path, fail_after_write):
 
 def test_forgetting_silent_keys(spark, tmp_path):
     rows = [("old", 0, 1_000), ("new", 1, 10_000_000), ("new", 2, 10_000_001)]
-    stream = feed(spark, str(tmp_path), rows, [2])
+    stream = feed(spark, str(tmp_path), rows, [1, 2])
     sink = batches.batch_folders(f"{tmp_path}/out")
     carried.session_stream(
-        stream, ["key"], ["seq"], "ts", sink, str(tmp_path), forget_after_ms=3_600_000
+        stream, ["key"], ["seq"], "ts", sink, str(tmp_path), forget_after_ms=3_600_000, full_every=2
     ).awaitTermination()
-    assert [r.key for r in VersionedTable(f"{tmp_path}/state").at(spark, 1).collect()] == ["new"]
+    assert [r.key for r in spark.read.parquet(f"{tmp_path}/state/version=2").collect()] == ["new"]
+
+
+def test_keyed_state(spark, tmp_path):
+    """Changes and full states over many batches, NULL keys among them, against a dict."""
+    state, want = KeyedState(str(tmp_path / "s"), ["k"], full_every=3), {}
+    rng = random.Random(3)
+    for n in range(8):
+        keys = rng.sample(["a", "b", "c", None], 2)
+        batch = spark.createDataFrame([(k,) for k in keys], "k string")
+        before = state.of(batch, n)
+        got = {r.k: r.v for r in before.collect()} if before is not None else {}
+        assert got == {k: want[k] for k in keys if k in want}
+        changed = spark.createDataFrame([(k, 10 * n) for k in keys], "k string, v int")
+        state.write(changed, n)
+        state.write(changed, n)
+        want.update({k: 10 * n for k in keys})
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["version=6", "version=7"]
+    assert {r.k: r.v for r in spark.read.parquet(str(tmp_path / "s" / "version=6")).collect()}.keys() == want.keys()
 
 
 def test_versions(spark, tmp_path):
