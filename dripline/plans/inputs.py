@@ -26,7 +26,7 @@ def pump_lines(t: Tables) -> DataFrame:
     e = timed_events(t)
     is_error = F.col("event_type") == "error"
     data = F.struct(
-        F.concat(F.lit("mkt-hp-"), F.col("user_id")).alias("factoryNum"),
+        F.concat(F.lit("icu-pump-"), F.col("user_id")).alias("factoryNum"),
         F.lit("0x00").alias("equType"),
         F.concat(F.lit("equ-"), F.col("user_id")).alias("equNum"),
         F.lit("ICU").alias("deptName"),

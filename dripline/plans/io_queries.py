@@ -172,7 +172,7 @@ def stream_event_time_buckets(t: Tables) -> DataFrame:
 
 @query(
     "subtable_fanout",
-    f"""SELECT 'hp_mkt_hp_' || user_id AS "tableName", count(*) AS row_count, min(epoch_us(ts) // 1000) AS first_ts
+    f"""SELECT 'hp_icu_pump_' || user_id AS "tableName", count(*) AS row_count, min(epoch_us(ts) // 1000) AS first_ts
        FROM events WHERE event_type = 'error' AND {WHOLE_LINES} GROUP BY user_id""",
 )
 def subtable_fanout(t: Tables) -> DataFrame:
@@ -189,8 +189,8 @@ def _records(t: Tables) -> DataFrame:
 
 @query(
     "subtable_tags",
-    f"""SELECT DISTINCT 'hp_mkt_hp_' || user_id AS "tableName", '127.0.0.1' AS host, 10003 AS port,
-              'mkt-hp-' || user_id AS "factoryNum", '0x00' AS "equType", 'equ-' || user_id AS "equNum"
+    f"""SELECT DISTINCT 'hp_icu_pump_' || user_id AS "tableName", '127.0.0.1' AS host, 10003 AS port,
+              'icu-pump-' || user_id AS "factoryNum", '0x00' AS "equType", 'equ-' || user_id AS "equNum"
        FROM events WHERE event_type = 'error' AND {WHOLE_LINES}""",
 )
 def subtable_tags(t: Tables) -> DataFrame:

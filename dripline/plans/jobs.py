@@ -196,7 +196,7 @@ def order_rows(j: Job) -> StreamingQuery:
 def order_documents(j: Job) -> StreamingQuery:
     """Order events to a document index, the last write per id."""
     sink = stores.document_sink(
-        j.settings.get("index", "flink_order"), ["orderId", "timestamp"], ["timestamp", "userId"], j.sink()
+        j.settings.get("index", "order_events"), ["orderId", "timestamp"], ["timestamp", "userId"], j.sink()
     )
     return j.start(_orders(j), sink)
 

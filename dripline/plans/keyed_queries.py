@@ -73,7 +73,7 @@ ALARM_SQL = (
   UNION ALL
   SELECT *, 3, CASE WHEN event_id % 3 = 0 THEN '  ' ELSE event_type END FROM s
 )
-SELECT 'mkt-hp-' || user_id AS "factoryNum", {START_TEXT_SQL} AS "startDateTime",
+SELECT 'icu-pump-' || user_id AS "factoryNum", {START_TEXT_SQL} AS "startDateTime",
        event_type AS "injectMode", "alarmType", "alarmValue", ms AS "alarmTs"
 FROM a WHERE trim(coalesce("alarmValue", '')) <> ''
 """

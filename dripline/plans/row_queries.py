@@ -46,8 +46,8 @@ def user_parse_filter(t: Tables) -> DataFrame:
 
 @query(
     "envelope_flatten",
-    f"""SELECT 'hp_' || replace('mkt-hp-' || user_id, '-', '_') AS "tableName",
-              '127.0.0.1' AS host, 10003 AS port, 'mkt-hp-' || user_id AS "factoryNum", '0x00' AS "equType",
+    f"""SELECT 'hp_' || replace('icu-pump-' || user_id, '-', '_') AS "tableName",
+              '127.0.0.1' AS host, 10003 AS port, 'icu-pump-' || user_id AS "factoryNum", '0x00' AS "equType",
               'equ-' || user_id AS "equNum", epoch_us(ts) // 1000 AS ts,
               CAST(value AS FLOAT) AS "presetValue", CAST(NULL AS FLOAT) AS speed,
               CAST(NULL AS INTEGER) AS "alreadyInjectTime", CAST(event_id % 100 AS INTEGER) AS "remainTime",
@@ -281,14 +281,14 @@ def transient_columns(t: Tables) -> DataFrame:
 
 @query(
     "side_output",
-    """SELECT CASE WHEN user_id < 100 THEN 'flink' ELSE 'main' END AS tag, event_type, count(*) AS row_count
+    """SELECT CASE WHEN user_id < 100 THEN 'small' ELSE 'main' END AS tag, event_type, count(*) AS row_count
        FROM events GROUP BY 1, 2""",
 )
 def side_output(t: Tables) -> DataFrame:
-    tagged = split.tag_rows(t.events, {"flink": F.col("user_id") < 100})
+    tagged = split.tag_rows(t.events, {"small": F.col("user_id") < 100})
     return tagged.groupBy("tag", "event_type").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("side_output_rows", "SELECT event_id, user_id FROM events WHERE user_id < 100")
 def side_output_rows(t: Tables) -> DataFrame:
-    return split.split_by(t.events, {"flink": F.col("user_id") < 100})["flink"].select("event_id", "user_id")
+    return split.split_by(t.events, {"small": F.col("user_id") < 100})["small"].select("event_id", "user_id")

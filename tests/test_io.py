@@ -166,7 +166,7 @@ def test_hour_pruning(spark, tmp_path):
 
 
 def test_subtables(spark, tmp_path):
-    second = PUMP.replace("mkt-hp-30-1001", "mkt-hp-30-1002")
+    second = PUMP.replace("icu-pump-30-1001", "icu-pump-30-1002")
     moved = PUMP.replace("127.0.0.1", "10.0.0.1").replace("1685417984666", "1685417984999")
     df = spark.createDataFrame([(PUMP,), (second,), (moved,)], "value string")
     records = rows.flatten_pump(rows.with_pump(df))
@@ -174,11 +174,11 @@ def test_subtables(spark, tmp_path):
     subtables.subtable_sink(path)(records, 0)
     subtables.subtable_sink(path)(records, 0)
     subtables.subtable_sink(path)(records.limit(1), 1)
-    one = subtables.read_subtable(spark, path, "hp_mkt_hp_30_1001")
+    one = subtables.read_subtable(spark, path, "hp_icu_pump_30_1001")
     assert one.count() == 3 and "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
     assert subtables.read_supertable(spark, path).count() == 4
     tags = {r.tableName: r.host for r in subtables.read_tags(spark, path).collect()}
-    assert tags == {"hp_mkt_hp_30_1001": "127.0.0.1", "hp_mkt_hp_30_1002": "127.0.0.1"}
+    assert tags == {"hp_icu_pump_30_1001": "127.0.0.1", "hp_icu_pump_30_1002": "127.0.0.1"}
     nameless = rows.flatten_pump(rows.with_pump(spark.createDataFrame([('{"data":{}}',)], "value string")))
     with pytest.raises(Exception, match="without a table name"):
         subtables.write_subtables(nameless, path, 2)
@@ -294,7 +294,7 @@ def test_store_sinks(spark, tmp_path):
         make(batches.batch_folders(str(tmp_path / name)))(df, 0)
         return batches.read_batches(spark, str(tmp_path / name))
 
-    docs = stored("docs", lambda s: stores.document_sink("flink_order", ["orderId", "timestamp"], ["seq"], s))
+    docs = stored("docs", lambda s: stores.document_sink("order_events", ["orderId", "timestamp"], ["seq"], s))
     assert sorted(r.id for r in docs.collect()) == ["1_5", "2_5"]
     made = stored("cells", lambda s: stores.cell_sink(
         F.concat_ws("_", "orderId", "seq"), F.col("timestamp"), "cf", {"oid": cells.encode_long(F.col("orderId"))}, s))
@@ -351,7 +351,7 @@ def test_sql_job(spark, monkeypatch, tmp_path):
     assert wrote is None and counted.first().n == 20
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
     with pytest.raises(KeyError, match="known: copy"):
-        sqljob.run_sql_job(spark, cfg, "my_flinksql")
+        sqljob.run_sql_job(spark, cfg, "other_job")
 
 
 def test_sql_job_as_stream(spark, tmp_path):
@@ -389,8 +389,8 @@ def test_console_and_memory_sinks(spark, capfd, tmp_path):
     assert spark.table("kept_rows").count() == 2
     spark.range(2).write.parquet(str(tmp_path / "in"))
     stream = readers.parquet_rows(spark, str(tmp_path / "in"))
-    writers.start_sink(stream, {"sink": "console", "prefix": "flink:>", "trigger": "available_now"}, "shown").awaitTermination()
-    assert "flink:>" in capfd.readouterr().out
+    writers.start_sink(stream, {"sink": "console", "prefix": "side:>", "trigger": "available_now"}, "shown").awaitTermination()
+    assert "side:>" in capfd.readouterr().out
     with pytest.raises(ValueError, match="unknown sink"):
         writers.write_sink(spark.range(1), {"sink": "pigeon"})
 

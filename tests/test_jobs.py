@@ -50,7 +50,7 @@ def test_pump_alarms(run):
 def test_pump_subtables(spark, run, tmp_path):
     idle = PUMP.replace('"state":"0x02"', '"state":"0x01"')
     run("pump_subtables", [PUMP, idle, "bad"], sink={"kind": "subtables", "path": str(tmp_path / "t"), "buckets": 4})
-    assert [r.tableName for r in subtables.read_supertable(spark, str(tmp_path / "t")).collect()] == ["hp_mkt_hp_30_1001"]
+    assert [r.tableName for r in subtables.read_supertable(spark, str(tmp_path / "t")).collect()] == ["hp_icu_pump_30_1001"]
 
 
 def test_word_counts(run):

@@ -11,11 +11,11 @@ from dripline import schemas
 from dripline.functions import cells, text, times
 from dripline.operators import rows, split
 
-# Fixed value: a whole pump message.
+# A whole pump message.
 PUMP = (
-    '{"host":"127.0.0.1","port":10003,"code":-1,"header":{},"data":{"factoryNum":"mkt-hp-30-1001",'
-    '"equType":"0x00","equNum":"mkt-hp-30-equ-1001","workSta":"work-sta-1001","deptName":"手术室:ICU",'
-    '"roomNo":"ICU-601","bedNo":"601-01","state":"0x02","drugName":"新冠生物","injectMode":"0x02",'
+    '{"host":"127.0.0.1","port":10003,"code":-1,"header":{},"data":{"factoryNum":"icu-pump-30-1001",'
+    '"equType":"0x00","equNum":"icu-pump-30-equ-1001","workSta":"work-sta-1001","deptName":"病房 2",'
+    '"roomNo":"ICU-601","bedNo":"601-01","state":"0x02","drugName":"生理盐水","injectMode":"0x02",'
     '"presetValue":12.345,"speed":6.04,"alreadyInjectTime":65,"remainTime":35,"alreadyInjectValue":10.001,'
     '"residual":2,"alarm1":"00000000000000000000000000000001","alarm2":"00000000000000000000000000000010",'
     '"alarm3":"00000000000000000000000000000011","alarm4":"00000000000000000000000000000100",'
@@ -46,9 +46,9 @@ def test_flatten_pump(spark):
     got = rows.flatten_pump(rows.with_pump(lines(spark, PUMP)), strict=True)
     assert got.columns == ["tableName", *schemas.PUMP_TAGS, *schemas.PUMP_VALUES]
     row = got.first()
-    assert row.tableName == "hp_mkt_hp_30_1001"
+    assert row.tableName == "hp_icu_pump_30_1001"
     assert (row.host, row.port, row.ts) == ("127.0.0.1", 10003, 1685417984666)
-    assert row.residual == 2.0 and row.remainTime == 35 and row.drugName == "新冠生物"
+    assert row.residual == 2.0 and row.remainTime == 35 and row.drugName == "生理盐水"
 
 
 def test_flatten_pump_needs_a_serial_number(spark):
@@ -211,7 +211,7 @@ def test_row_to_cells_leaves_out_nulls(spark):
 def test_documents_last_write_wins(spark):
     df = spark.createDataFrame([(1, 10, 0, "a"), (1, 10, 1, "b"), (2, 10, 0, "c"), (None, 1, 5, "d")],
                                "orderId bigint, timestamp bigint, seq int, note string")
-    docs = rows.documents(df, "flink_order", ["orderId", "timestamp"], ["seq"])
+    docs = rows.documents(df, "order_events", ["orderId", "timestamp"], ["seq"])
     got = {r.id: r.body for r in rows.latest_documents(docs, ["seq"]).collect()}
     assert got["1_10"] == '{"orderId":1,"timestamp":10,"seq":1,"note":"b"}' and "2_10" in got
 
@@ -225,9 +225,9 @@ def test_transient_columns(spark):
 
 def test_split_puts_each_row_in_one_part(spark):
     df = spark.createDataFrame([(99,), (100,), (None,), (5,)], "userId bigint")
-    parts = split.split_by(df, {"flink": F.col("userId") < 100, "tiny": F.col("userId") < 10})
+    parts = split.split_by(df, {"small": F.col("userId") < 100, "tiny": F.col("userId") < 10})
     got = {k: sorted(str(r.userId) for r in v.collect()) for k, v in parts.items()}
-    assert got == {"flink": ["5", "99"], "tiny": [], "main": ["100", "None"]}
+    assert got == {"small": ["5", "99"], "tiny": [], "main": ["100", "None"]}
 
 
 def test_dead_letters(spark):
