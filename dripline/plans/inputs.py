@@ -11,6 +11,7 @@ from dripline.operators import rows
 from dripline.plans.registry import Tables
 
 SIX_HOURS_MS = 6 * 3600 * 1000
+BLANK_BELOW, CUT_BELOW = 2, 4
 
 
 def timed_events(t: Tables) -> DataFrame:
@@ -20,8 +21,8 @@ def timed_events(t: Tables) -> DataFrame:
 def pump_lines(t: Tables) -> DataFrame:
     """One pump message line per event, beside its arrival number.
 
-    The device is the user, errors are the infusing state. Every 7th line is cut short,
-    every 11th is blank.
+    The device is the user, errors are the infusing state. Events of the smallest values
+    come as blank lines, those of slightly larger ones as lines cut short.
     """
     e = timed_events(t)
     is_error = F.col("event_type") == "error"
@@ -36,21 +37,21 @@ def pump_lines(t: Tables) -> DataFrame:
         (F.col("event_id") % 100).cast("string").alias("remainTime"),
         F.when(is_error, F.col("props")).otherwise("").alias("alarm1"),
         F.when(F.col("value") > 100, F.col("event_id").cast("string")).alias("alarm2"),
-        F.when(F.col("event_id") % 3 == 0, "  ").otherwise(F.col("event_type")).alias("alarm3"),
+        F.when(F.col("value") < 10, "  ").otherwise(F.col("event_type")).alias("alarm3"),
     )
     line = messages.json_text(
         host=F.lit("127.0.0.1"), port=F.lit(10003), code=F.lit(-1), data=data, ts=F.col("ms")
     )
     value = (
-        F.when(F.col("event_id") % 11 == 0, F.lit("  "))
-        .when(F.col("event_id") % 7 == 0, F.substring("line", 1, 80))
+        F.when(F.col("value") < BLANK_BELOW, F.lit("  "))
+        .when(F.col("value") < CUT_BELOW, F.substring("line", 1, 80))
         .otherwise(F.col("line"))
     )
     return with_once(e, "line", line).select("event_id", value.alias("value"))
 
 
 # The rows of ``pump_lines`` that are whole messages, for the SQL side.
-WHOLE_LINES = "event_id % 11 <> 0 AND event_id % 7 <> 0"
+WHOLE_LINES = f"value >= {CUT_BELOW}"
 
 
 def customer_cells(t: Tables) -> DataFrame:

@@ -199,17 +199,19 @@ def subtable_tags(t: Tables) -> DataFrame:
 
 @query(
     "batch_replay",
-    "SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderkey % 2 AS BIGINT) AS batch_id FROM orders",
+    """SELECT o_orderkey, o_custkey, o_totalprice,
+              CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+       FROM orders""",
 )
 def batch_replay(t: Tables) -> DataFrame:
     """Two numbered batches, the first one written again after half of it: no row is lost or doubled."""
     folder = scratch(t.spark, "replay")
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     write = batches.batch_folders(folder)
-    even, odd = orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 = 1")
-    write(even.filter("o_orderkey % 4 = 0"), 0)
-    write(even, 0)
-    write(odd, 1)
+    is_open = F.coalesce(F.col("o_orderstatus") == "O", F.lit(False))
+    first, second = (t.orders.filter(c).drop("o_orderstatus") for c in (is_open, ~is_open))
+    write(first.filter("o_totalprice > 200000"), 0)
+    write(first, 0)
+    write(second, 1)
     merged = t.spark.read.parquet(folder)
     return merged.select("o_orderkey", "o_custkey", "o_totalprice", F.col("batch_id").cast("bigint").alias("batch_id"))
 
@@ -283,7 +285,10 @@ def incremental_poll_inclusive(t: Tables) -> DataFrame:
     return _orders_poller(t, True).after(t.spark)
 
 
-@query("incremental_poll_next", "SELECT max(o_orderdate) AS next_mark FROM orders WHERE o_orderdate > TIMESTAMP '1998-10-03'")
+@query(
+    "incremental_poll_next",
+    "SELECT max(o_orderdate) AS next_mark FROM orders WHERE o_orderdate > TIMESTAMP '1998-10-03'",
+)
 def incremental_poll_next(t: Tables) -> DataFrame:
     """The mark the next poll starts from."""
     return _orders_poller(t, False).after(t.spark).agg(F.max("o_orderdate").alias("next_mark"))

@@ -69,9 +69,10 @@ class Job:
     def strict(self) -> bool:
         return bool(self.settings.get("strict", True))
 
-    @property
-    def order(self) -> list[str]:
-        return list(self.settings.get("order", ["offset"]))
+    def order(self, stream: DataFrame) -> list[str]:
+        """The columns of the arrival order: those set, or the message log's own."""
+        own = [c for c in ("offset", "partition", "topic") if c in stream.columns]
+        return list(self.settings.get("order") or own)
 
     def source(self) -> DataFrame:
         return open_source(self.spark, self._block(self.settings["source"]))
@@ -116,9 +117,10 @@ def archive_lines(j: Job) -> StreamingQuery:
 @job
 def pump_alarms(j: Job) -> StreamingQuery:
     """Device lines to alarm rows stamped with the start of their session."""
+    lines = j.source()
     return alarms.alarm_stream_job(
-        j.source(),
-        j.order,
+        lines,
+        j.order(lines),
         j.sink(),
         j.folder,
         int(j.settings.get("gap_ms", alarms.SILENCE_MS)),
@@ -146,9 +148,11 @@ def word_count(j: Job) -> StreamingQuery:
 @job
 def running_word_count(j: Job) -> StreamingQuery:
     """A new total for every single word, in the order of arrival."""
-    words = j.source().select(*j.order, F.posexplode(text.parts(F.col("value"))).alias("pos", "word"))
+    lines = j.source()
+    order = j.order(lines)
+    words = lines.select(*order, F.posexplode(text.parts(F.col("value"))).alias("pos", "word"))
     return running_total_stream(
-        words, ["word"], [*j.order, "pos"], j.sink(), j.folder, name=j.name, trigger=j.trigger
+        words, ["word"], [*order, "pos"], j.sink(), j.folder, name=j.name, trigger=j.trigger
     )
 
 

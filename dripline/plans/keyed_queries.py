@@ -53,6 +53,25 @@ def session_start_out_of_order(t: Tables) -> DataFrame:
     return _stamped(shuffled, ["arrival", "event_id"])
 
 
+@query(
+    "session_start_busy_keys",
+    (SESSION_SQL.format(arrival="event_id", where="") + "SELECT event_id, event_type, start_ms FROM s")
+    .replace("21600000", "600000")
+    .replace("PARTITION BY user_id", "PARTITION BY event_type"),
+)
+def session_start_busy_keys(t: Tables) -> DataFrame:
+    """Sessions by event type: each of the few types has so many rows that it is cut into chunks."""
+    stamped = keyed.session_start(
+        timed_events(t).select("event_id", "event_type", "ms"),
+        ["event_type"],
+        ["event_id"],
+        F.col("ms"),
+        600_000,
+        "start_ms",
+    )
+    return stamped.select("event_id", "event_type", "start_ms")
+
+
 @query(
     "session_summary",
     SESSION_SQL.format(arrival="epoch_us(ts) // 1000", where="")
@@ -71,7 +90,7 @@ ALARM_SQL = (
   UNION ALL
   SELECT *, 2, CASE WHEN value > 100 THEN CAST(event_id AS VARCHAR) END FROM s
   UNION ALL
-  SELECT *, 3, CASE WHEN event_id % 3 = 0 THEN '  ' ELSE event_type END FROM s
+  SELECT *, 3, CASE WHEN value < 10 THEN '  ' ELSE event_type END FROM s
 )
 SELECT 'icu-pump-' || user_id AS "factoryNum", {START_TEXT_SQL} AS "startDateTime",
        event_type AS "injectMode", "alarmType", "alarmValue", ms AS "alarmTs"

@@ -63,12 +63,12 @@ def envelope_flatten(t: Tables) -> DataFrame:
 
 @query(
     "blank_filter",
-    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '  ' ELSE event_type END AS value
-       FROM events WHERE event_id % 3 <> 0""",
+    """SELECT event_id, CASE WHEN events.value < 10 THEN '  ' ELSE event_type END AS value
+       FROM events WHERE events.value >= 10""",
 )
 def blank_filter(t: Tables) -> DataFrame:
     lines = t.events.select(
-        "event_id", F.when(F.col("event_id") % 3 == 0, "  ").otherwise(F.col("event_type")).alias("value")
+        "event_id", F.when(F.col("value") < 10, "  ").otherwise(F.col("event_type")).alias("value")
     )
     return rows.drop_blank(lines)
 
@@ -173,7 +173,7 @@ WITH a AS (
   UNION ALL
   SELECT event_id, 2, CASE WHEN value > 100 THEN CAST(event_id AS VARCHAR) END FROM events
   UNION ALL
-  SELECT event_id, 3, CASE WHEN event_id % 3 = 0 THEN '  ' ELSE event_type END FROM events
+  SELECT event_id, 3, CASE WHEN value < 10 THEN '  ' ELSE event_type END FROM events
 )
 SELECT * FROM a WHERE trim(coalesce("alarmValue", '')) <> ''
 """
@@ -185,7 +185,7 @@ def ordinal_unpivot(t: Tables) -> DataFrame:
         "event_id",
         F.when(F.col("event_type") == "error", F.col("props")).otherwise("").alias("alarm1"),
         F.when(F.col("value") > 100, F.col("event_id").cast("string")).alias("alarm2"),
-        F.when(F.col("event_id") % 3 == 0, "  ").otherwise(F.col("event_type")).alias("alarm3"),
+        F.when(F.col("value") < 10, "  ").otherwise(F.col("event_type")).alias("alarm3"),
         F.lit(None).cast("string").alias("alarm4"),
     )
     return rows.unpivot_ordinal(alarms, ["alarm1", "alarm2", "alarm3", "alarm4"], ["event_id"])

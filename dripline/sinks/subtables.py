@@ -70,8 +70,8 @@ def subtable_sink(path: str, buckets: int = BUCKETS) -> Sink:
 def read_subtable(spark: SparkSession, path: str, table: str, buckets: int = BUCKETS) -> DataFrame:
     """One device's rows."""
     rows = spark.read.parquet(f"{path}/values")
-    number = spark.range(1).select(_bucket(F.lit(table), buckets)).first()[0]
-    return rows.filter((F.col(_BUCKET) == number) & (F.col("tableName") == table)).drop(_BUCKET, "batch_id")
+    here = (F.col(_BUCKET) == _bucket(F.lit(table), buckets)) & (F.col("tableName") == table)
+    return rows.filter(here).drop(_BUCKET, "batch_id")
 
 
 def read_supertable(spark: SparkSession, path: str) -> DataFrame:

@@ -50,7 +50,8 @@ def compare(spark_df, db: duckdb.DuckDBPyConnection, sql: str) -> str:
     if got_kinds != want_kinds:
         return f"types {got_kinds} instead of {want_kinds} for {got_names}"
     if got != want:
-        return f"{sum(got.values())} rows instead of {sum(want.values())}; extra {list((got - want).items())[:3]}; missing {list((want - got).items())[:3]}"
+        extra, missing = list((got - want).items())[:3], list((want - got).items())[:3]
+        return f"{sum(got.values())} rows instead of {sum(want.values())}; extra {extra}; missing {missing}"
     if not got:
         return "no rows"
     return ""
