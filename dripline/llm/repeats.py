@@ -9,7 +9,7 @@ place inside, so their anchors fall into the same Q-gram bucket.
    that agree on all bytes they own (one hash) are copies, and all but the first are removed.
 2. Buckets with different surroundings are refined: the starts they own get the bucket ids of
    q bytes, then of 2q from the ids at offsets i and i + q, then of 4q from those, reusing the
-   ids of the last round. Starts with one final id (128 bits) are equal strings, and all but
+   ids of the last round. Starts with one final id (96 bits) are equal strings, and all but
    the first of them are removed.
 
 A task keeps one entry of each (bucket, surroundings) it meets, so large groups of copies
@@ -32,8 +32,8 @@ from dripline.llm.common import land, map_rows, mix, rows, texts
 LENGTH, Q = 100, 36
 WINDOW = LENGTH - Q + 1
 #: Bytes of a text taken at a time, so that 16 bits hold a place; entries a task gathers; entries of a bucket.
-SEGMENT, CHUNK, BUCKET = 48_000, 1_500_000, 1_000_000
-ENTRY = np.dtype([("g", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("first", "<i4"), ("last", "<i4")])
+SEGMENT, CHUNK, BUCKET = 48_000, 500_000, 400_000
+ENTRY = np.dtype([("g", "<u8"), ("c", "<u4"), ("doc", "<i8"), ("first", "<i4"), ("last", "<i4")])
 COPY, MIXED = 0, 1
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _K = [np.uint64(c) for c in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0x94D049BB133111EB)]
@@ -69,23 +69,24 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     last = np.r_[first[1:], len(at)] - 1
     own = (total[last + LENGTH] - total[first]) * down[first]
     place = (at[first] - first) * 256 + last - first
-    return gram[at[first]], mix(own * _K[1] + place.astype(np.uint64)), first, last
+    return gram[at[first]], mix(own * _K[1] + place.astype(np.uint64)).astype(np.uint32), first, last
 
 
 def final_ids(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit halves of the id of the LENGTH-byte string at each start."""
-    code = _powers()[2]
+    """Two parts, of 64 and 32 bits, of the id of the LENGTH-byte string at each start of one segment."""
+    up, down, code = _powers()
+    n, q = len(raw), LENGTH // 4
+    value = code[raw]
     out = []
     for lane in (0, 2):
-        q = LENGTH // 4
-        ids = np.zeros(len(raw) - q + 1, np.uint64)
-        for k in range(q):
-            ids = (ids * _K[lane] + code[raw[k : len(raw) - q + 1 + k]]) ^ (ids >> np.uint64(32))
-        while q < LENGTH:
-            ids = mix(ids[:-q] * _K[lane] + ids[q:] * _K[lane + 1])
-            q *= 2
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum((value if lane else value ^ _K[3]) * up[:n], out=total[1:])
+        ids, width = mix((total[q:] - total[:-q]) * down[: n - q + 1]), q
+        while width < LENGTH:
+            ids = mix(ids[:-width] * _K[lane] + ids[width:] * _K[lane + 1])
+            width *= 2
         out.append(ids)
-    return out[0], out[1]
+    return out[0], out[1].astype(np.uint32)
 
 
 def _first_of_each(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,15 +128,30 @@ def _runs(e: np.ndarray) -> np.ndarray:
     return out
 
 
-def _packed(e: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(bucket, kind="stable")
-    e, bucket = e[order], bucket[order]
-    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+def pack(e: np.ndarray) -> bytes:
+    """Entries by document and place, byte plane by byte plane: all but g and c nearly vanish when compressed."""
+    e = e[np.lexsort((e["first"], e["doc"]))]
+    e["last"] -= e["first"]
+    return np.ascontiguousarray(e.view(np.uint8).reshape(len(e), ENTRY.itemsize).T).tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    e = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(ENTRY.itemsize, -1).T).view(ENTRY)[:, 0]
+    e["last"] += e["first"]
+    return e
+
+
+def _packed(e: np.ndarray, bucket: np.ndarray, told: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket and whether its entries are told to be mixed."""
+    key = bucket.astype(np.int64) * 2 + told
+    order = np.argsort(key, kind="stable")
+    e, key = e[order], key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     n = len(starts)
     return rows(
-        bucket=pa.array(bucket[starts].astype(np.int64)),
-        data=pa.array([e[a:b].tobytes() for a, b in zip(starts, np.r_[starts[1:], len(e)])], pa.binary()),
-        doc_id=pa.nulls(n, pa.int64()), first=pa.nulls(n, pa.int64()), last=pa.nulls(n, pa.int64()), kind=pa.nulls(n, pa.int64()),
+        bucket=pa.array(key[starts] >> 1),
+        data=pa.array([pack(e[a:b]) for a, b in zip(starts, np.r_[starts[1:], len(e)])], pa.binary()),
+        doc_id=pa.nulls(n, pa.int64()), first=pa.nulls(n, pa.int64()), last=pa.nulls(n, pa.int64()), kind=pa.array(key[starts] & 1),
     )
 
 
@@ -154,7 +170,7 @@ def _gathered(df: DataFrame, entries, buckets: int, refine: bool) -> DataFrame:
                 yield _marks(_runs(e[~first]), COPY)
             e = e[first]
             if refine:
-                yield _packed(e, e["g"] % np.uint64(buckets))
+                yield _packed(e, e["g"] % np.uint64(buckets), np.zeros(len(e), bool))
                 return
             many = _mixed(e)
             edge = many & (np.r_[True, e["g"][1:] != e["g"][:-1]] | np.r_[e["g"][1:] != e["g"][:-1], True])
@@ -162,9 +178,8 @@ def _gathered(df: DataFrame, entries, buckets: int, refine: bool) -> DataFrame:
             witness["doc"] = -1
             witness["first"] = -1
             spread = np.where(many, mix(e["c"] ^ e["g"]), e["g"]) % np.uint64(buckets)
-            known = e.copy()
-            known["last"] |= many.astype(np.int32) << 30
-            yield _packed(np.r_[known, witness], np.r_[spread, witness["g"] % np.uint64(buckets)])
+            bucket = np.r_[spread, witness["g"] % np.uint64(buckets)]
+            yield _packed(np.r_[e, witness], bucket, np.r_[many, np.zeros(len(witness), bool)])
 
         def step(batch):
             nonlocal count
@@ -189,14 +204,14 @@ def _reduced(gathered: DataFrame, buckets: int) -> DataFrame:
     """``doc_id, first, last, kind``: owned starts that are copies, or that need refinement."""
 
     def make():
-        blobs: dict[int, list[bytes]] = {}
+        blobs: dict[int, list[tuple[bytes, int]]] = {}
 
         def one(parts):
-            e = np.frombuffer(b"".join(parts), ENTRY).copy()
-            told = e["last"] >> 30 & 1
-            e["last"] &= (1 << 30) - 1
+            found = [unpack(data) for data, _ in parts]
+            told = np.repeat(np.array([kind == MIXED for _, kind in parts]), [len(f) for f in found])
+            e = np.concatenate(found)
             order = np.lexsort((e["first"], e["doc"], e["c"], e["g"]))
-            e, told = e[order], told[order].astype(bool)
+            e, told = e[order], told[order]
             many = _mixed(e) | told
             real = e["first"] >= 0
             e, many = e[real], many[real]
@@ -214,9 +229,9 @@ def _reduced(gathered: DataFrame, buckets: int) -> DataFrame:
                 while blobs:
                     yield from one(blobs.popitem()[1])
                 return
-            for bucket, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "data"))):
+            for bucket, data, kind in zip(*(batch.column(c).to_pylist() for c in ("bucket", "data", "kind"))):
                 if data is not None:
-                    blobs.setdefault(bucket, []).append(data)
+                    blobs.setdefault(bucket, []).append((data, kind))
             marks = batch.filter(batch.column("doc_id").is_valid())
             if marks.num_rows:
                 yield marks.select(["doc_id", "first", "last", "kind"])
@@ -237,17 +252,42 @@ def _anchor_entries(batch):
 
 
 def _start_entries(batch):
+    """Entries of the starts to refine. Pieces of many documents are joined, as they are short."""
+    held: list[tuple[int, int, np.ndarray]] = []
+
+    def entries():
+        g, c = final_ids(np.concatenate([p for _, _, p in held]))
+        size = np.array([len(p) for _, _, p in held])
+        count = size - LENGTH + 1
+        at = np.repeat(np.cumsum(size) - size, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        e = np.empty(len(at), ENTRY)
+        e["g"], e["c"], e["doc"] = g[at], c[at], np.repeat(np.array([d for d, _, _ in held], np.int64), count)
+        e["first"] = at - np.repeat(np.cumsum(size) - size, count) + np.repeat([f for _, f, _ in held], count)
+        e["last"] = e["first"]
+        held.clear()
+        return e
+
+    joined = 0
     for doc, text, runs in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("runs").to_pylist()):
         raw = np.frombuffer((text or "").encode(), np.uint8)
-        for r in runs:
-            part = raw[r["first"] : r["last"] + LENGTH]
-            if len(part) < LENGTH:
-                continue
-            g, c = final_ids(part)
-            e = np.empty(len(g), ENTRY)
-            e["g"], e["c"], e["doc"] = g, c, doc
-            e["first"] = e["last"] = np.arange(r["first"], r["first"] + len(g))
-            yield e
+        spans: list[list[int]] = []
+        for first, last in sorted((r["first"], r["last"]) for r in runs):
+            if spans and first == spans[-1][1] + 1:
+                spans[-1][1] = last
+            else:
+                spans.append([first, last])
+        for first, last in spans:
+            for k in range(first, last + 1, SEGMENT // 2):
+                piece = raw[k : min(last + 1, k + SEGMENT // 2) + LENGTH - 1]
+                if len(piece) < LENGTH:
+                    continue
+                if joined + len(piece) > SEGMENT:
+                    yield entries()
+                    joined = 0
+                held.append((doc, k, piece))
+                joined += len(piece)
+    if held:
+        yield entries()
 
 
 def _by_document(marks: DataFrame) -> DataFrame:
