@@ -10,12 +10,15 @@ A document is its set of distinct 5-word shingles (64-bit hashes). Two documents
 * Otherwise the prefix is extended into the frequent class, which is indexed by pairs of
   neighbours in the order. Dropping a shingle breaks two pairs, a foreign one between breaks
   one; with r rare shingles the first ``n // 2 - 2r + 2`` frequent ones keep a pair whole.
-* Candidates are verified on whole texts. In a large group each node is first compared with
-  the group's least one; only where a group still holds several components, the pairs across
-  components are verified too. Pairs inside a component can't change the result.
+* In a large group each node is first compared with the group's least one; while a group holds
+  several components, it is compared with some more by seeded choice; then the pairs across the
+  components that are left. Pairs inside a component can't change the result.
+* A pair is first compared by bitmaps: each shingle flips one bit, so two sets differ by at
+  least as many shingles as bits. What may still link is verified on whole texts.
 
 Rare shingles travel as packed arrays, so a group of them is bounded by the frequency limit.
-Pairs of frequent shingles are rows and Spark splits their skewed joins.
+Pairs of frequent shingles are rows and Spark splits their skewed joins. A task sends one node
+for equal sets that it meets.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +41,13 @@ FREQUENT_LEAST, FREQUENT_MOST = 100, 1 << 20
 CHUNK, SEEN = 2_000_000, 4
 #: Groups up to this size give all their pairs at once.
 SMALL_GROUP = 6
+#: Rounds in which large groups that hold several components get another centre.
+ROUNDS = 2
 #: Signatures that one bucket of the index is to hold.
 BUCKET = 1_000_000
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
+#: Bits of a set's bitmap for each of its shingles at least, a power of two.
+BITS = 4
 ENTRY = np.dtype([("sig", "<u8"), ("node", "<i8"), ("n", "<i4")])
 
 
@@ -144,60 +152,82 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rare, mix(f[:-1] * _C[0] + f[1:])
 
 
-def _signatures(reps: DataFrame, frequent, buckets: int) -> DataFrame:
-    """Packed single signatures by bucket, and pair signatures as rows."""
+def bitmap(s: np.ndarray) -> bytes:
+    """Parity of the shingles by the low bits of their hash; as many bits as the size asks for."""
+    bits = max(1024, 1 << (BITS * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ; the longer one is folded to the other's length."""
+    a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    size = min(len(a), len(b))
+    for_each = lambda v: np.bitwise_xor.reduce(v.reshape(-1, size), axis=0)
+    return int(np.bitwise_count(for_each(a) ^ for_each(b)).sum())
+
+
+SENT = "bucket long, data binary, sig long, node long, other long, n long, bits binary"
+
+
+def _sent(size: int, **columns) -> pa.RecordBatch:
+    kinds = {"bucket": pa.int64(), "data": pa.binary(), "sig": pa.int64(), "node": pa.int64(), "other": pa.int64(), "n": pa.int64(), "bits": pa.binary()}
+    return rows(**{c: pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in kinds.items()})
+
+
+def _signatures(docs: DataFrame, frequent, buckets: int) -> DataFrame:
+    """Packed single signatures by bucket; as rows pair signatures, and the bitmaps of nodes."""
 
     def make():
-        memo, held, count, common = word_hashes(), [], 0, frequent.value
-
-        def packed() -> pa.RecordBatch:
-            all_ = np.concatenate(held)
-            bucket = (all_["sig"] % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            all_, bucket = all_[order], bucket[order]
-            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            ends = np.r_[starts[1:], len(all_)]
-            return rows(
-                bucket=pa.array(bucket[starts]),
-                data=pa.array([all_[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                sig=pa.nulls(len(starts), pa.int64()),
-                node=pa.nulls(len(starts), pa.int64()),
-                n=pa.nulls(len(starts), pa.int64()),
-            )
+        from hashlib import blake2b
+
+        memo, common = word_hashes(), frequent.value
+        held: dict[bytes, list] = {}
+        count = 0
+
+        def out():
+            nodes, sets = [h[0] for h in held.values()], [h[1] for h in held.values()]
+            size = np.array([len(s) for s in sets], np.int64)
+            yield _sent(len(nodes), bucket=nodes, node=nodes, n=size, bits=[bitmap(s) for s in sets])
+            found = [prefix(s, common) for s in sets]
+            for k, name in enumerate(("single", "pair")):
+                per = np.array([len(f[k]) for f in found])
+                sig = np.concatenate([f[k] for f in found])
+                node, n = np.repeat(np.array(nodes, np.int64), per), np.repeat(size, per)
+                if not len(sig):
+                    continue
+                if name == "pair":
+                    yield _sent(len(sig), bucket=sig.view(np.int64) & 0x3FFFFFFF, sig=sig.view(np.int64), node=node, n=n)
+                    continue
+                e = np.empty(len(sig), ENTRY)
+                e["sig"], e["node"], e["n"] = sig, node, n
+                bucket = (sig % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                e, bucket = e[order], bucket[order]
+                starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                ends = np.r_[starts[1:], len(e)]
+                yield _sent(len(starts), bucket=bucket[starts], data=[e[a:b].tobytes() for a, b in zip(starts, ends)])
+            held.clear()
 
         def step(batch):
             nonlocal count
             if batch is None:
                 if held:
-                    yield packed()
+                    yield from out()
                 return
-            sig, node, size = [], [], []
             for text, doc in zip(texts(batch), batch.column("doc_id").to_pylist()):
                 s = shingle_set(words(text), memo)
-                single, pair = prefix(s, common)
-                e = np.empty(len(single), ENTRY)
-                e["sig"], e["node"], e["n"] = single, doc, len(s)
-                held.append(e)
-                count += len(e)
-                sig.append(pair)
-                node.append(np.full(len(pair), doc, np.int64))
-                size.append(np.full(len(pair), len(s), np.int64))
-            if sig and (pairs := np.concatenate(sig)).size:
-                yield rows(
-                    bucket=pa.nulls(len(pairs), pa.int64()),
-                    data=pa.nulls(len(pairs), pa.binary()),
-                    sig=pa.array(pairs.view(np.int64)),
-                    node=pa.array(np.concatenate(node)),
-                    n=pa.array(np.concatenate(size)),
-                )
-            if count >= CHUNK:
-                yield packed()
-                held.clear()
-                count = 0
+                if len(s) < 3:
+                    continue
+                one = held.setdefault(blake2b(s.tobytes(), digest_size=16).digest(), [doc, s])
+                one[0] = min(one[0], doc)
+                count += len(s)
+                if count >= 2 * CHUNK:
+                    yield from out()
+                    count = 0
 
         return step
 
-    return map_rows(reps, make, "bucket long, data binary, sig long, node long, n long", last=True)
+    return map_rows(docs.where("doc_id is not null"), make, SENT, last=True)
 
 
 def _near_sizes(n, m):
@@ -206,7 +236,10 @@ def _near_sizes(n, m):
 
 
 def _groups(signatures: DataFrame, buckets: int) -> DataFrame:
-    """Nodes that share a single signature: pairs of small groups, members of large ones."""
+    """Nodes that share a single signature: pairs of small groups, members of large ones.
+
+    Pair signatures and bitmaps pass through.
+    """
 
     def make():
         blobs: dict[int, list[bytes]] = {}
@@ -227,36 +260,46 @@ def _groups(signatures: DataFrame, buckets: int) -> DataFrame:
                 b.append(e["node"][i + gap])
             pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
             if len(pairs):
-                yield rows(
-                    sig=pa.nulls(len(pairs), pa.int64()),
-                    node=pa.array(pairs[:, 0]),
-                    other=pa.array(pairs[:, 1]),
-                    n=pa.nulls(len(pairs), pa.int64()),
-                )
+                yield _sent(len(pairs), node=pairs[:, 0], other=pairs[:, 1])
             large = e[own > SMALL_GROUP]
             if len(large):
-                yield rows(
-                    sig=pa.array(large["sig"].view(np.int64)),
-                    node=pa.array(np.ascontiguousarray(large["node"])),
-                    other=pa.nulls(len(large), pa.int64()),
-                    n=pa.array(large["n"].astype(np.int64)),
-                )
+                yield _sent(len(large), sig=large["sig"].view(np.int64), node=large["node"].copy(), n=large["n"].astype(np.int64))
 
         def step(batch):
-            if batch is not None:
-                for bucket, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "data"))):
-                    blobs.setdefault(bucket, []).append(data)
+            if batch is None:
+                while blobs:
+                    yield from one(blobs.popitem()[1])
+                return
+            packed = batch.column("data").is_valid()
+            part = batch.filter(packed)
+            for bucket, data in zip(*(part.column(c).to_pylist() for c in ("bucket", "data"))):
+                blobs.setdefault(bucket, []).append(data)
+            yield batch.filter(pa.compute.invert(packed))
+
+        return step
+
+    return map_rows(signatures.repartition(buckets, "bucket"), make, SENT, last=True).drop("bucket", "data")
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose bitmaps allow the similarity: at most a seventh of both sizes may differ."""
+
+    def make():
+        def step(batch):
+            if not batch.num_rows:
                 return
-            while blobs:
-                yield from one(blobs.popitem()[1])
+            apart = np.array([bits_apart(x, y) for x, y in zip(*(batch.column(c).to_pylist() for c in ("xa", "xb")))])
+            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(7 * apart <= sizes))
 
         return step
 
-    dealt = signatures.where("data is not null").select("bucket", "data").repartition(buckets, "bucket")
-    return map_rows(dealt, make, "sig long, node long, other long, n long", last=True)
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias("n" + c), F.col("bits").alias("x" + c))
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "na", "nb", "xa", "xb")
+    return map_rows(both, make, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose whole texts reach the similarity, compared as exact sets."""
 
     def make():
@@ -279,10 +322,9 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
         return step
 
-    one = docs.select("doc_id", "text")
-    right = pairs.join(one.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    both = right.join(one.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    return map_rows(both.select("a", "b", "ta", "tb"), make, "a long, b long")
+    of = lambda c: found.select(F.col("doc_id").alias(c), F.col("text").alias("t" + c))
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "ta", "tb")
+    return map_rows(both, make, "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
@@ -292,59 +334,75 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     beside other blank ones. Rows with a null doc_id keep a null component. A doc_id given
     twice with one text gives two equal rows. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profiles = land(_profiles(docs), "profiles")
-    found = np.empty(0, np.uint64)
     total = profiles.agg(F.sum("n")).first()[0] or 0
-    if total:
-        found = _frequent(profiles)
-    sets = profiles.where("often is null and n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.max("n").alias("n")
-    )
-    sets = land(sets, "sets")
-    reps = docs.join(
-        sets.where("n > 2 and node is not null").select(F.col("node").alias("doc_id")), "doc_id", "left_semi"
+    found = _frequent(profiles) if total else np.empty(0, np.uint64)
+    own = profiles.where("often is null").select("doc_id", "n", "digest")
+    sets = land(own.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("n").alias("n")), "sets")
+    alias = land(
+        own.where("n > 2").join(sets.select("digest", "node"), "digest").where("doc_id <> node")
+        .select(F.col("doc_id").alias("copy"), F.col("node").alias("least")).distinct(),
+        "copies",
     )
+
+    def least(df: DataFrame, column: str) -> DataFrame:
+        """Replace a node by the least document with the same set."""
+        named = df.join(alias.withColumnRenamed("copy", column), column, "left")
+        return named.withColumn(column, F.coalesce("least", column)).drop("least")
+
     buckets = int(max(32, total // 4 // BUCKET))
-    shared = spark.sparkContext.broadcast(found)
-    signatures = land(_signatures(reps, shared, buckets), "signatures")
-    groups = land(_groups(signatures, buckets), "groups")
-    large = groups.where("sig is not null").select("sig", "node", "n").union(
-        signatures.where("sig is not null").select("sig", "node", "n").distinct()
-    )
+    shared = docs.sparkSession.sparkContext.broadcast(found)
+    groups = land(_groups(_signatures(docs, shared, buckets), buckets), "groups")
+    nodes = groups.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"])
+    large = land(least(groups.where("sig is not null").select("sig", "node", "n"), "node").distinct(), "large")
+    pairs = groups.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     centre = large.groupBy("sig").agg(
         F.min_by(F.struct("node", "n"), "node").alias("c"), F.count("*").alias("size")
     ).where("size > 1").select("sig", F.col("c.node").alias("a"), F.col("c.n").alias("m"))
     stars = large.join(centre, "sig").where("node <> a").where(_near_sizes(F.col("n"), F.col("m")))
-    first = land(
-        groups.where("sig is null").select(F.col("node").alias("a"), F.col("other").alias("b"))
-        .union(stars.select("a", F.col("node").alias("b")))
-        .distinct(),
-        "pairs",
-    )
-    links = land(_verified(first, docs), "verified")
+    met = least(least(pairs.distinct(), "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = land(met.union(stars.select("a", F.col("node").alias("b"))).distinct(), "pairs")
+    likely = land(_plausible(first, nodes), "likely")
+
+    def linked(candidates: DataFrame) -> DataFrame:
+        likely = land(_plausible(candidates, nodes), "likely")
+        ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+        return land(_verified(likely, land(docs.join(ends, "doc_id", "left_semi"), "texts")), "verified")
+
+    def split(labels: DataFrame) -> DataFrame:
+        """Members of the groups that hold several components, with their component."""
+        named = large.join(labels, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
+        several = named.groupBy("sig").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi")
+        return land(named.join(several.select("sig"), "sig", "left_semi").select("sig", "node", "n", "of"), "split")
+
+    def across(rest: DataFrame, other: DataFrame) -> DataFrame:
+        """New pairs of different components that share a group."""
+        met = rest.join(other, "sig").where("of <> to").where(_near_sizes(F.col("n"), F.col("m")))
+        pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        return land(pairs.join(seen, ["a", "b"], "left_anti"), "across")
+
+    seen, links = first, linked(first)
     labels = land(components(links), "labels")
-    named = large.join(labels, "node", "left").withColumn("of", F.coalesce("component", "node"))
-    mixed = named.groupBy("sig").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi")
-    rest = land(named.join(mixed.select("sig"), "sig", "left_semi").select("sig", "node", "n", "of"), "rest")
-    if not rest.isEmpty():
+    rest = split(labels)
+    for k in range(ROUNDS + 1):
+        if rest.isEmpty():
+            break
         other = rest.select("sig", F.col("node").alias("a"), F.col("n").alias("m"), F.col("of").alias("to"))
-        across = (
-            rest.join(other, "sig").where("of <> to and a < node").where(_near_sizes(F.col("n"), F.col("m")))
-            .select("a", F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-        )
-        more = land(_verified(land(across, "across"), docs), "verified")
-        labels = components(links.union(more))
-    classes = sets.join(labels, "node", "left").select(
-        "digest", F.coalesce("component", "node").alias("class")
-    )
-    return (
-        profiles.where("often is null").select("doc_id", "n", "digest")
-        .join(classes, "digest", "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("doc_id")).alias("component_id"),
-        )
+        if k < ROUNDS:
+            chosen = F.min_by(F.struct("a", "m", "to"), F.xxhash64(F.lit(k), "sig", "a"))
+            other = other.groupBy("sig").agg(chosen.alias("c")).select("sig", "c.*")
+        pairs = across(rest, other)
+        more = linked(pairs)
+        if not more.isEmpty():
+            seen, links = seen.union(pairs), links.union(more)
+            labels = land(components(links), "labels")
+            rest = split(labels)
+        else:
+            seen = seen.union(pairs)
+    classes = sets.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
+    return own.join(classes, "digest", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("doc_id")).alias("component_id"),
     )
