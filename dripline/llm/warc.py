@@ -54,8 +54,8 @@ def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def member(data: bytes) -> bytes:
-    return gzip.compress(data, 6, mtime=0)
+def member(data: bytes, level: int = 1) -> bytes:
+    return gzip.compress(data, level, mtime=0)
 
 
 def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
