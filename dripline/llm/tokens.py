@@ -8,7 +8,9 @@ document's place among all ids follows from one total per file.
 
 from __future__ import annotations
 
+import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ from dripline.llm.common import Memo, map_rows, rows, texts
 from dripline.session import scratch
 
 END = 1
+#: Words that an encoder remembers at once; punctuation that is split from a word before it.
+REMEMBERED, BEHIND = 600_000, ".,;:!?*#$%&|"
 #: Bytes of a stripe and rows between two entries of the row index.
 STRIPE, STRIDE = 16 << 20, 1000
 OPTIONS = {
@@ -41,20 +45,43 @@ class Encoder:
     """Encodes whole texts; equal words between blanks are encoded once and remembered.
 
     The tokenizer splits at white space and drops it before anything else looks at two words
-    together, so the ids of a text are those of its words in turn.
+    together, so the ids of a text are those of its words in turn. It also splits letters from
+    punctuation, and lower-cases; so a word of ASCII letters goes straight to its merges, and
+    punctuation behind one is encoded by itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        self.memo = Memo(lambda w: np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<i4").tobytes())
+        merges = tokenizer.model.tokenize
+
+        def make(word: str) -> bytes:
+            letters = word.rstrip(BEHIND)
+            if letters.isascii() and letters.isalpha():
+                if letters != word:
+                    return memo[letters] + memo[word[len(letters) :]]
+                ids = [t.id for t in merges(word.lower())]
+            else:
+                ids = tokenizer.encode(word, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}i", *ids)
+
+        memo = self.memo = Memo(make, REMEMBERED)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        parts = (text or "").replace("\n", " ").split(" ")
+        text = text or ""
+        if text.isascii() and "<|" not in text:
+            text = text.lower()
+        parts = text.replace("\n", " ").split(" ")
         return np.frombuffer(self.memo.joined(parts) + END.to_bytes(4, "little"), "<i4")
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process, with what it remembers from earlier tasks."""
+    return Encoder(path)
+
+
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, before, ids`` in ascending order of doc_id, null first, equal ids by text.
 
@@ -62,7 +89,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def make():
-        encode, before = Encoder(tokenizer), 0
+        encode, before = encoder(tokenizer), 0
 
         def step(batch):
             nonlocal before
