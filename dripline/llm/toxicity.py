@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from struct import pack
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -99,55 +101,65 @@ def evidence(train: DataFrame) -> Evidence:
     return Evidence({r.word: r.odds for r in found}, frozenset(telling))
 
 
+def _slot(name: str) -> int:
+    return crc32(name.encode()) % HASHED
+
+
 def word_features(word: str, known: Evidence) -> list[int]:
     """FEATURES hashed features of one word by itself."""
-    from zlib import crc32
-
     w = plain(word)
-    names = (
-        "told " + (str(round(max(-6.0, min(6.0, known.odds[w])))) if w in known.odds else "no"),
-        "word " + (w if w in known.telling else ""),
-        "head " + w[:4],
-        "tail " + w[-4:],
-        "form " + ("caps " if word.isupper() else "") + str(min(len(w), 12)),
+    return [_slot(n) for n in (*_own_names(word, w, known), _head(w), _tail(w))]
+
+
+def _own_names(word: str, w: str, known: Evidence) -> tuple[str, str, str]:
+    odds = known.odds.get(w)
+    return (
+        "told no" if odds is None else f"told {round(max(-6.0, min(6.0, odds)))}",
+        f"word {w if w in known.telling else ''}",
+        f"form {'caps' if word.isupper() else ''} {min(len(w), 12)}",
     )
-    return [crc32(n.encode()) % HASHED for n in names]
 
 
-def forward_backward(score: np.ndarray, steps: np.ndarray, held: np.ndarray, pairs: bool = False):
-    """Marginals of state 1 for chains in columns; ``score`` is state 1's, state 0 has zero.
+def _head(w: str) -> str:
+    return "head " + w[:4]
+
+
+def _tail(w: str) -> str:
+    return "tail " + w[-4:]
+
+
+def _messages(score: np.ndarray, steps: np.ndarray, held: np.ndarray):
+    """Forward and backward messages of chains in columns; with two states each is one ratio.
 
-    ``steps`` is the 2 x 2 table of transition weights. ``held`` marks real positions, which
-    come first in each column. With ``pairs`` also the log normaliser and the expected number
-    of each transition.
+    ``score`` is state 1's, state 0 has zero. ``steps`` is the 2 x 2 table of transition weights.
+    ``held`` marks real positions, which come first in each column.
     """
-    size, e, m = score.shape, np.exp(np.clip(score, -30, 30)), np.exp(steps)
-    e = np.where(held, e, 1.0)
-    a = np.empty((*size, 2))
-    b = np.ones((*size, 2))
-    log_z = np.zeros(size[1])
-    now = np.full((size[1], 2), 1.0)
-    for t in range(size[0]):
-        if t:
-            now = now @ m
-        now = now * np.stack([np.ones(size[1]), e[t]], 1)
-        total = now.sum(1, keepdims=True)
-        now = now / total
-        a[t] = now
-        if pairs:
-            log_z += np.where(held[t], np.log(total[:, 0]), 0)
-    for t in range(size[0] - 2, -1, -1):
-        after = b[t + 1] * np.stack([np.ones(size[1]), e[t + 1]], 1)
-        after = after @ m.T
-        b[t] = np.where(held[t + 1][:, None], after / after.sum(1, keepdims=True), 1.0)
-    both = a * b
-    marginal = both[..., 1] / both.sum(2)
-    if not pairs:
-        return marginal
-    after = b[1:] * np.stack([np.ones_like(e[1:]), e[1:]], 2)
-    joint = a[:-1, :, :, None] * m * after[:, :, None, :]
-    joint = joint / joint.sum((2, 3), keepdims=True) * held[1:, :, None, None]
-    return marginal, log_z, joint.sum((0, 1))
+    e, m = np.where(held, np.exp(np.clip(score, -30, 30)), 1.0), np.exp(steps)
+    ahead, back = np.empty_like(e), np.ones_like(e)
+    ahead[0] = e[0]
+    for t in range(1, len(e)):
+        ahead[t] = e[t] * (m[0, 1] + ahead[t - 1] * m[1, 1]) / (m[0, 0] + ahead[t - 1] * m[1, 0])
+    for t in range(len(e) - 2, -1, -1):
+        after = e[t + 1] * back[t + 1]
+        back[t] = np.where(held[t + 1], (m[1, 0] + after * m[1, 1]) / (m[0, 0] + after * m[0, 1]), 1.0)
+    return e, m, ahead, back
+
+
+def marginals(score: np.ndarray, steps: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Probability of state 1 at each position."""
+    _, _, ahead, back = _messages(score, steps, held)
+    both = ahead * back
+    return both / (1 + both)
+
+
+def expected_steps(score: np.ndarray, steps: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The marginals, and the expected number of each transition."""
+    e, m, ahead, back = _messages(score, steps, held)
+    after = e[1:] * back[1:]
+    joint = np.stack([np.full_like(after, m[0, 0]), m[0, 1] * after, ahead[:-1] * m[1, 0], ahead[:-1] * m[1, 1] * after])
+    joint = (joint / joint.sum(0) * held[1:]).sum((1, 2)).reshape(2, 2)
+    both = ahead * back
+    return both / (1 + both), joint
 
 
 @dataclass(frozen=True)
@@ -159,10 +171,13 @@ class Field:
 
     def memo(self) -> Memo:
         """A word's own score and whether it is telling, as two floats."""
+        weight = self.weights.tolist()
+        part = Memo(lambda name: weight[_slot(name)])
 
         def make(word: str) -> bytes:
-            own = self.weights[word_features(word, self.known)].sum()
-            return np.array([own, plain(word) in self.known.telling], "<f4").tobytes()
+            w = plain(word)
+            own = part[_head(w)] + part[_tail(w)] + sum(map(part.__getitem__, _own_names(word, w, self.known)))
+            return pack("<2f", own, w in self.known.telling)
 
         return Memo(make)
 
@@ -182,7 +197,7 @@ class Field:
         grid = np.zeros((min(CHAIN, sizes.max()), chains.sum()))
         held = np.zeros(grid.shape, bool)
         grid[at % CHAIN, column], held[at % CHAIN, column] = score, True
-        p = forward_backward(grid, self.steps, held)[at % CHAIN, column]
+        p = marginals(grid, self.steps, held)[at % CHAIN, column]
         return np.split(p, np.cumsum(sizes)[:-1])
 
 
@@ -235,7 +250,7 @@ def fit_field(train: DataFrame, known: Evidence) -> Field:
     for k in range(1, STEPS + 1):
         weights, near, steps = flat[:HASHED], flat[HASHED : HASHED + 2], flat[HASHED + 2 :].reshape(2, 2)
         score = weights[ids].sum(2) + near[0] * before + near[1] * after
-        p, _, expected = forward_backward(score, steps, held, pairs=True)
+        p, expected = expected_steps(score, steps, held)
         gap = np.where(held, y - p, 0)
         slope = np.r_[
             np.bincount(ids.ravel(), np.repeat(gap.ravel(), FEATURES), HASHED),
