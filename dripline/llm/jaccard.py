@@ -42,7 +42,9 @@ CHUNK, SEEN = 2_000_000, 4
 #: Groups up to this size give all their pairs at once.
 SMALL_GROUP = 6
 #: Rounds in which large groups that hold several components get another centre.
-ROUNDS = 2
+ROUNDS = 1
+#: Members of a group that meet in one block.
+MEMBERS = 2000
 #: Signatures that one bucket of the index is to hold.
 BUCKET = 1_000_000
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -299,6 +301,81 @@ def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_rows(both, make, "a long, b long")
 
 
+def _folded(bits: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Bitmaps by length in words: their places in the list, and the bitmaps as a matrix."""
+    sizes = np.array([len(b) // 8 for b in bits])
+    return {
+        int(w): (at := np.flatnonzero(sizes == w), np.frombuffer(b"".join(bits[k] for k in at), "<u8").reshape(len(at), -1))
+        for w in np.unique(sizes)
+    }
+
+
+def likely_pairs(node, n, of, bits, side) -> np.ndarray:
+    """Pairs of different components whose bitmaps allow the similarity, among rows of one group.
+
+    ``side`` is 0, 1 or 2 (both): only pairs of a row of side 0 and one of side 1 are compared.
+    """
+    out, by = [np.empty((0, 2), np.int64)], _folded(bits)
+    for w, (at, x) in by.items():
+        for v in (w, 2 * w):
+            if v not in by:
+                continue
+            to, y = by[v]
+            y = np.bitwise_xor.reduce(y.reshape(len(y), -1, w), axis=1)
+            for k in range(len(at)):
+                i = at[k]
+                meet = (of[to] != of[i]) & _near_sizes(n[to], n[i]) & ((side[to] != side[i]) | (side[i] == 2))
+                meet &= node[to] > node[i] if v == w else True
+                j = np.flatnonzero(meet)
+                if len(j):
+                    apart = np.bitwise_count(y[j] ^ x[k]).sum(1).astype(np.int64)
+                    j = to[j[7 * apart <= n[to[j]] + n[i]]]
+                    out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], 1))
+    return np.concatenate(out)
+
+
+def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Likely pairs across the components of each group, compared block by block."""
+    count = rest.groupBy("sig").agg(((F.count("*") - 1) / MEMBERS).cast("int").alias("more"))
+    own = F.pmod(F.xxhash64("node"), F.col("more") + 1).cast("int")
+    dealt = rest.join(nodes.select("node", "bits"), "node").join(count, "sig").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), "more"))).select(
+        "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "of", "bits",
+        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"),
+    )
+    # A block of the pair (i, j) with i < j holds the members of i as side 0 and of j as side 1.
+    key = ["sig", "i", "j"]
+
+    def make():
+        held: list[pa.Table] = []
+
+        def pairs(group: pa.Table) -> pa.RecordBatch:
+            node, n, of, side = (group.column(c).to_numpy() for c in ("node", "n", "of", "side"))
+            found = np.unique(likely_pairs(node, n, of, group.column("bits").to_pylist(), side), axis=0)
+            return rows(a=pa.array(found[:, 0]), b=pa.array(found[:, 1]))
+
+        def step(batch):
+            if batch is not None:
+                held.append(pa.Table.from_batches([batch]))
+            if not held:
+                return
+            all_ = pa.concat_tables(held).combine_chunks()
+            k = np.stack([all_.column(c).to_numpy() for c in key], 1)
+            edges = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(1)])
+            ends = np.r_[edges[1:], len(k)]
+            held.clear()
+            if batch is not None:  # the last group may go on in the next batch
+                held.append(all_.slice(int(edges[-1])))
+                edges, ends = edges[:-1], ends[:-1]
+            for a, b in zip(edges, ends):
+                if (got := pairs(all_.slice(int(a), int(b - a)))).num_rows:
+                    yield got
+
+        return step
+
+    return map_rows(dealt.repartition(*key).sortWithinPartitions(*key), make, "a long, b long", last=True).distinct()
+
+
 def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose whole texts reach the similarity, compared as exact sets."""
 
@@ -365,8 +442,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     first = land(met.union(stars.select("a", F.col("node").alias("b"))).distinct(), "pairs")
     likely = land(_plausible(first, nodes), "likely")
 
-    def linked(candidates: DataFrame) -> DataFrame:
-        likely = land(_plausible(candidates, nodes), "likely")
+    def linked(likely: DataFrame) -> DataFrame:
         ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
         return land(_verified(likely, land(docs.join(ends, "doc_id", "left_semi"), "texts")), "verified")
 
@@ -376,30 +452,28 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         several = named.groupBy("sig").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi")
         return land(named.join(several.select("sig"), "sig", "left_semi").select("sig", "node", "n", "of"), "split")
 
-    def across(rest: DataFrame, other: DataFrame) -> DataFrame:
-        """New pairs of different components that share a group."""
-        met = rest.join(other, "sig").where("of <> to").where(_near_sizes(F.col("n"), F.col("m")))
+    def centred(rest: DataFrame, k: int) -> DataFrame:
+        """Likely pairs of a group's chosen member with those of other components."""
+        other = rest.select("sig", F.col("node").alias("a"), F.col("n").alias("m"), F.col("of").alias("to"))
+        chosen = other.groupBy("sig").agg(F.min_by(F.struct("a", "m", "to"), F.xxhash64(F.lit(k), "sig", "a")).alias("c"))
+        met = rest.join(chosen.select("sig", "c.*"), "sig").where("of <> to").where(_near_sizes(F.col("n"), F.col("m")))
         pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        return land(pairs.join(seen, ["a", "b"], "left_anti"), "across")
+        return _plausible(pairs.join(seen, ["a", "b"], "left_anti"), nodes)
 
-    seen, links = first, linked(first)
+    seen = land(_plausible(first, nodes), "likely")
+    links = linked(seen)
     labels = land(components(links), "labels")
     rest = split(labels)
     for k in range(ROUNDS + 1):
         if rest.isEmpty():
             break
-        other = rest.select("sig", F.col("node").alias("a"), F.col("n").alias("m"), F.col("of").alias("to"))
-        if k < ROUNDS:
-            chosen = F.min_by(F.struct("a", "m", "to"), F.xxhash64(F.lit(k), "sig", "a"))
-            other = other.groupBy("sig").agg(chosen.alias("c")).select("sig", "c.*")
-        pairs = across(rest, other)
-        more = linked(pairs)
+        likely = land(centred(rest, k) if k < ROUNDS else _within_groups(rest, nodes).join(seen, ["a", "b"], "left_anti"), "likely")
+        more = linked(likely)
+        seen = seen.union(likely)
         if not more.isEmpty():
-            seen, links = seen.union(pairs), links.union(more)
+            links = links.union(more)
             labels = land(components(links), "labels")
             rest = split(labels)
-        else:
-            seen = seen.union(pairs)
     classes = sets.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     return own.join(classes, "digest", "left").select(
         "doc_id",
