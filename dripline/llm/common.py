@@ -50,7 +50,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 class Memo(dict):
     """Remembers the bytes that ``make`` gives for a key; emptied when ``limit`` keys are held."""
 
-    def __init__(self, make: Callable[[bytes], bytes], limit: int = 400_000):
+    def __init__(self, make: Callable[[bytes], bytes], limit: int = 250_000):
         super().__init__()
         self.make, self.limit = make, limit
 

@@ -38,7 +38,7 @@ WIDTH = 5
 #: Shingles in at least so many documents are frequent; raised so that at most FREQUENT_MOST are.
 FREQUENT_LEAST, FREQUENT_MOST = 100, 1 << 20
 #: A chunk of so many shingles reports those it holds at least so often.
-CHUNK, SEEN = 2_000_000, 4
+CHUNK, SEEN = 1_000_000, 4
 #: Groups up to this size give all their pairs at once.
 SMALL_GROUP = 6
 #: Rounds in which large groups that hold several components get another centre.
@@ -48,8 +48,8 @@ MEMBERS = 2000
 #: Signatures that one bucket of the index is to hold.
 BUCKET = 1_000_000
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
-#: Bits of a set's bitmap for each of its shingles at least, a power of two.
-BITS = 4
+#: Bits of a set's bitmap for each of its shingles at least, in the long and in the brief form.
+BITS, BRIEF = 4, 1
 ENTRY = np.dtype([("sig", "<u8"), ("node", "<i8"), ("n", "<i4")])
 
 
@@ -154,9 +154,9 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rare, mix(f[:-1] * _C[0] + f[1:])
 
 
-def bitmap(s: np.ndarray) -> bytes:
+def bitmap(s: np.ndarray, each: int = BITS) -> bytes:
     """Parity of the shingles by the low bits of their hash; as many bits as the size asks for."""
-    bits = max(1024, 1 << (BITS * len(s) - 1).bit_length())
+    bits = max(512, 1 << (each * len(s) - 1).bit_length())
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
@@ -168,11 +168,11 @@ def bits_apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(for_each(a) ^ for_each(b)).sum())
 
 
-SENT = "bucket long, data binary, sig long, node long, other long, n long, bits binary"
+SENT = "bucket long, data binary, sig long, node long, other long, n long, bits binary, brief binary"
 
 
 def _sent(size: int, **columns) -> pa.RecordBatch:
-    kinds = {"bucket": pa.int64(), "data": pa.binary(), "sig": pa.int64(), "node": pa.int64(), "other": pa.int64(), "n": pa.int64(), "bits": pa.binary()}
+    kinds = {"bucket": pa.int64(), "data": pa.binary(), "sig": pa.int64(), "node": pa.int64(), "other": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "brief": pa.binary()}
     return rows(**{c: pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in kinds.items()})
 
 
@@ -189,7 +189,7 @@ def _signatures(docs: DataFrame, frequent, buckets: int) -> DataFrame:
         def out():
             nodes, sets = [h[0] for h in held.values()], [h[1] for h in held.values()]
             size = np.array([len(s) for s in sets], np.int64)
-            yield _sent(len(nodes), bucket=nodes, node=nodes, n=size, bits=[bitmap(s) for s in sets])
+            yield _sent(len(nodes), bucket=nodes, node=nodes, n=size, bits=[bitmap(s) for s in sets], brief=[bitmap(s, BRIEF) for s in sets])
             found = [prefix(s, common) for s in sets]
             for k, name in enumerate(("single", "pair")):
                 per = np.array([len(f[k]) for f in found])
@@ -338,9 +338,9 @@ def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
     """Likely pairs across the components of each group, compared block by block."""
     count = rest.groupBy("sig").agg(((F.count("*") - 1) / MEMBERS).cast("int").alias("more"))
     own = F.pmod(F.xxhash64("node"), F.col("more") + 1).cast("int")
-    dealt = rest.join(nodes.select("node", "bits"), "node").join(count, "sig").withColumn("own", own)
+    dealt = rest.join(nodes.select("node", "brief"), "node").join(count, "sig").withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), "more"))).select(
-        "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "of", "bits",
+        "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "of", "brief",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"),
     )
     # A block of the pair (i, j) with i < j holds the members of i as side 0 and of j as side 1.
@@ -351,7 +351,7 @@ def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
 
         def pairs(group: pa.Table) -> pa.RecordBatch:
             node, n, of, side = (group.column(c).to_numpy() for c in ("node", "n", "of", "side"))
-            found = np.unique(likely_pairs(node, n, of, group.column("bits").to_pylist(), side), axis=0)
+            found = np.unique(likely_pairs(node, n, of, group.column("brief").to_pylist(), side), axis=0)
             return rows(a=pa.array(found[:, 0]), b=pa.array(found[:, 1]))
 
         def step(batch):
@@ -431,7 +431,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     buckets = int(max(32, total // 4 // BUCKET))
     shared = docs.sparkSession.sparkContext.broadcast(found)
     groups = land(_groups(_signatures(docs, shared, buckets), buckets), "groups")
-    nodes = groups.where("bits is not null").select("node", "n", "bits").dropDuplicates(["node"])
+    nodes = groups.where("bits is not null").select("node", "n", "bits", "brief").dropDuplicates(["node"])
     large = land(least(groups.where("sig is not null").select("sig", "node", "n"), "node").distinct(), "large")
     pairs = groups.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     centre = large.groupBy("sig").agg(
@@ -467,7 +467,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     for k in range(ROUNDS + 1):
         if rest.isEmpty():
             break
-        likely = land(centred(rest, k) if k < ROUNDS else _within_groups(rest, nodes).join(seen, ["a", "b"], "left_anti"), "likely")
+        likely = land(centred(rest, k) if k < ROUNDS else _plausible(_within_groups(rest, nodes).join(seen, ["a", "b"], "left_anti"), nodes), "likely")
         more = linked(likely)
         seen = seen.union(likely)
         if not more.isEmpty():

@@ -136,7 +136,7 @@ def pack(e: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> np.ndarray:
-    e = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(ENTRY.itemsize, -1).T).view(ENTRY)[:, 0]
+    e = np.frombuffer(data, np.uint8).reshape(ENTRY.itemsize, -1).T.copy(order="C").view(ENTRY)[:, 0]
     e["last"] += e["first"]
     return e
 

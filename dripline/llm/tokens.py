@@ -22,7 +22,7 @@ from dripline.session import scratch
 
 END = 1
 #: Words that an encoder remembers at once; punctuation that is split from a word before it.
-REMEMBERED, BEHIND = 600_000, ".,;:!?*#$%&|"
+REMEMBERED, BEHIND = 300_000, ".,;:!?*#$%&|"
 #: Bytes of a stripe and rows between two entries of the row index.
 STRIPE, STRIDE = 16 << 20, 1000
 OPTIONS = {
