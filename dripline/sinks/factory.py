@@ -25,7 +25,7 @@ def batch_sink(settings: dict[str, Any]) -> Sink:
     if kind == "http":
         rules = remote.RemoteSettings.of(settings)
         column = settings.get("column", "url")
-        connect = remote.http_get(column, rules.timeout_seconds)
+        connect = remote.http_get(column, rules.timeout_seconds, rules.success_codes)
         return remote.remote_sink(connect, rules, remote.dead_letter_sink(settings["failover"]))
     if kind == "kafka":
         return _kafka(settings)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,13 +46,14 @@ class RemoteSettings:
     def of(settings: dict[str, Any]) -> RemoteSettings:
         """From a sink block's ``threshold`` part; several success codes are separated by commas."""
         t = settings.get("threshold") or {}
-        codes = str(t.get("successCode") or 200).split(",")
+        given = {k: v for k, v in t.items() if v is not None}  # a zero is a setting
+        codes = str(given.get("successCode", 200)).split(",")
         return RemoteSettings(
-            writers=int(t.get("numWriters") or 4),
-            buffer_rows=int(t.get("bufferSize") or 1),
-            retries=int(t.get("retries") or 1),
-            delay_seconds=float(t.get("delayTime") or 0) / 1000,
-            timeout_seconds=float(t.get("requestTimeout") or t.get("timeout") or 600),
+            writers=int(given.get("numWriters", 4)),
+            buffer_rows=int(given.get("bufferSize", 1)),
+            retries=int(given.get("retries", 1)),
+            delay_seconds=float(given.get("delayTime", 0)) / 1000,
+            timeout_seconds=float(given.get("requestTimeout", given.get("timeout", 600))),
             success_codes=tuple(int(c) for c in codes),
         )
 
@@ -66,19 +67,21 @@ def send_rows(rows: DataFrame, connect: Callable[[], Transport], settings: Remot
         [*rows.schema.fields, T.StructField(STATUS, T.IntegerType()), T.StructField(ATTEMPTS, T.IntegerType())]
     )
 
-    def send(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transport = connect()
         for part in parts:
             status: list[int] = []
             attempts: list[int] = []
-            for start in range(0, len(part), settings.buffer_rows):
-                buffer = part.iloc[start : start + settings.buffer_rows]
-                code, tries = _try(transport, buffer.to_dict("records"), settings)
+            for start in range(0, part.num_rows, settings.buffer_rows):
+                buffer = part.slice(start, settings.buffer_rows).to_pylist()
+                code, tries = _try(transport, buffer, settings)
                 status += [code] * len(buffer)
                 attempts += [tries] * len(buffer)
-            yield part.assign(**{STATUS: status, ATTEMPTS: attempts})
+            added = [pa.array(status, pa.int32()), pa.array(attempts, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *added], [*part.schema.names, STATUS, ATTEMPTS])
 
-    return rows.repartition(settings.writers).mapInPandas(send, schema)
+    # Arrow batches keep whole numbers beside NULLs whole.
+    return rows.repartition(settings.writers).mapInArrow(send, schema)
 
 
 def _try(transport: Transport, buffer: list[dict[str, Any]], settings: RemoteSettings) -> tuple[int, int]:
@@ -139,18 +142,24 @@ def remote_sink(connect: Callable[[], Transport], settings: RemoteSettings, dead
     return write
 
 
-def http_get(column: str = "url", timeout_seconds: float = 100.0) -> Callable[[], Transport]:
+def http_get(
+    column: str = "url", timeout_seconds: float = 100.0, success_codes: tuple[int, ...] = (200,)
+) -> Callable[[], Transport]:
     """One GET per row to the row's URL; the first code that is not a success stands for the buffer."""
 
     def connect() -> Transport:
+        from urllib.error import HTTPError
         from urllib.request import urlopen
 
         def send(buffer: list[dict[str, Any]]) -> int:
-            code = 200
+            code = success_codes[0]
             for row in buffer:
-                with urlopen(row[column], timeout=timeout_seconds) as answer:
-                    code = answer.status
-                if code >= 300:
+                try:
+                    with urlopen(row[column], timeout=timeout_seconds) as answer:
+                        code = answer.status
+                except HTTPError as refused:
+                    code = refused.code
+                if code not in success_codes:
                     break
             return code
 

@@ -7,6 +7,7 @@ to its folder and to the row groups that hold it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,12 @@ def write_subtables(
     The rebalance brings a folder's rows together and splits a folder that a busy
     device makes too big.
     """
+    stored = stored_buckets(records.sparkSession, path)
+    if stored is None:
+        layout = records.sparkSession.createDataFrame([(buckets,)], "buckets int")
+        layout.write.mode("overwrite").parquet(f"{path}/layout")
+    elif stored != buckets:
+        raise ValueError(f"the table at {path} has {stored} hash folders, not {buckets}")
     rows = subtable_rows(records, values, buckets)
     (
         rows.hint("rebalance", _BUCKET)
@@ -67,10 +74,20 @@ def subtable_sink(path: str, buckets: int = BUCKETS) -> Sink:
     return write
 
 
-def read_subtable(spark: SparkSession, path: str, table: str, buckets: int = BUCKETS) -> DataFrame:
-    """One device's rows."""
-    rows = spark.read.parquet(f"{path}/values")
-    here = (F.col(_BUCKET) == _bucket(F.lit(table), buckets)) & (F.col("tableName") == table)
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """Number of hash folders that the table was made with; None if there is no table yet."""
+    try:
+        return spark.read.schema("buckets int").parquet(f"{path}/layout").first().buckets
+    except AnalysisException:
+        return None
+
+
+def read_subtable(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One device's rows, from its hash folder by the count stored with the table."""
+    rows, buckets = spark.read.parquet(f"{path}/values"), stored_buckets(spark, path)
+    here = F.col("tableName") == table
+    if buckets is not None:
+        here &= F.col(_BUCKET) == _bucket(F.lit(table), buckets)
     return rows.filter(here).drop(_BUCKET, "batch_id")
 
 

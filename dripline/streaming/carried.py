@@ -96,6 +96,8 @@ def session_stream(
     ``forget_after_ms`` drops keys silent for that long, measured in event time, whenever
     the whole state is written (every ``full_every`` batches).
     """
+    if forget_after_ms is not None and forget_after_ms < gap_ms:
+        raise ValueError("forget_after_ms below gap_ms would open sessions anew inside their gap")
 
     def apply(rows: DataFrame) -> DataFrame:
         opened = F.col("_open") if "_open" in rows.columns else None

@@ -410,3 +410,25 @@ def test_shared_dir(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(NamedSession())
     assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+def test_one_device_is_read_by_the_stored_count(spark, tmp_path):
+    from dripline import schemas
+
+    names = [*schemas.PUMP_VALUES, *schemas.PUMP_TAGS]
+    records = spark.range(40).select(
+        F.concat(F.lit("pump_"), F.col("id") % 20).alias("tableName"), *(F.col("id").cast("string").alias(n) for n in names)
+    )
+    path = f"{tmp_path}/pumps"
+    subtables.write_subtables(records, path, 0, buckets=32)
+    assert all(subtables.read_subtable(spark, path, f"pump_{k}").count() == 2 for k in range(20))
+    with pytest.raises(ValueError, match="32 hash folders"):
+        subtables.write_subtables(records, path, 1, buckets=8)
+
+
+def test_whole_numbers_beside_nulls_stay_whole(spark):
+    rows = spark.createDataFrame([(2**53 + 1,), (None,)], "n bigint")
+    settings = remote.RemoteSettings.of({"threshold": {"retries": 0, "successCode": "404"}})
+    sent = remote.send_rows(rows, lambda: lambda buffer: 500 if buffer[0]["n"] == 2**53 + 1 else 404, settings)
+    got = {r.n: (r.status, r.attempts) for r in sent.collect()}
+    assert got == {2**53 + 1: (500, 1), None: (404, 1)}
