@@ -64,6 +64,41 @@ class Memo(dict):
         return b"".join(map(self.__getitem__, keys))
 
 
+class Shared:
+    """A broadcast value of a class of this package; like functions, it may travel by value."""
+
+    def __init__(self, spark: SparkSession, value):
+        from pyspark import cloudpickle
+
+        self._data, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"_data": self._data, "_value": None}
+
+    @property
+    def value(self):
+        import pickle
+
+        if self._value is None:
+            self._value = pickle.loads(self._data.value)
+        return self._value
+
+
+def per_process(name, make: Callable[[], object]):
+    """A value kept for the life of a worker process.
+
+    Functions may travel to a task by value and then have fresh module variables in each, so
+    the value is held by a module of its own.
+    """
+    import sys
+    from types import ModuleType
+
+    store = sys.modules.setdefault("dripline_worker_values", ModuleType("dripline_worker_values")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def word_hashes() -> Memo:
     from hashlib import blake2b
 

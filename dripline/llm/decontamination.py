@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dripline.llm.common import Memo, land, map_rows, mix, rows, texts, words
+from dripline.llm.common import Memo, Shared, land, map_rows, mix, rows, texts, words
 
 SEED_WORDS = 3
 #: A seed in at most this many documents, or this share of them, is rare.
@@ -195,7 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     limit = max(RARE, int(docs.select("doc_id").count() * RARE_SHARE))
     found = None
     for block in _blocks(benchmark):
-        items = spark.sparkContext.broadcast(Items(block))
+        items = Shared(spark, Items(block))
         regions = land(_regions(docs, items), "regions")
         held = regions.select("doc_id", F.explode("seeds").alias("seed"))
         rare = held.groupBy("seed").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") <= limit).select("seed")

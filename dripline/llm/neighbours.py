@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dripline.llm.common import land, map_rows, rows
+from dripline.llm.common import Shared, land, map_rows, rows
 
 #: The sample's bound, rows of it in a part, the bound of parts, and links of a sampled vector.
 SAMPLE, PART, PARTS_MOST, LINKS = 12_000, 60, 200, 10
@@ -223,7 +223,7 @@ def approximate_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5) -
     parts = max(1, min(PARTS_MOST, len(x) // PART))
     graph = neighbour_graph(all_, x) if len(x) > 1 else np.zeros((1, 0), np.int64)
     part = balanced_parts(x, graph, parts)
-    router = spark.sparkContext.broadcast(learn_router(x, part, graph, parts))
+    router = Shared(spark, learn_router(x, part, graph, parts))
     asked = usable(queries).dropDuplicates(["vec_id"]).where(F.size("v") == x.shape[1])
     index = _routed(all_, router, 0.0)
     routes = _routed(asked, router, MASS)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dripline.llm.common import folds, land, map_rows, rows, texts
+from dripline.llm.common import Shared, folds, land, map_rows, rows, texts
 
 #: Fixed groups of bytes whose shares are statistics.
 GROUPS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b".,;:'\"-?", b"!", b"|", b"#$%&*+/<=>@[]^_{}~\\`", bytes(range(128, 256)), b"\n"]
@@ -195,7 +195,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
         model = Model(np.zeros(WIDTH), np.ones(WIDTH), None, np.zeros(1), np.zeros(1))
     else:
         model = fit(train)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def make():
         def step(batch):

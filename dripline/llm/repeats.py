@@ -20,14 +20,12 @@ does not gather in one task.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dripline.llm.common import land, map_rows, mix, rows, texts
+from dripline.llm.common import land, map_rows, mix, per_process, rows, texts
 
 LENGTH, Q = 100, 36
 WINDOW = LENGTH - Q + 1
@@ -39,9 +37,12 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _K = [np.uint64(c) for c in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0x94D049BB133111EB)]
 
 
-@lru_cache(None)
 def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Powers of the first base and of its inverse, and a random value for each byte."""
+    return per_process(("powers", SEGMENT), _new_powers)
+
+
+def _new_powers():
     size, mask = SEGMENT + 2 * LENGTH, (1 << 64) - 1
     up = np.full(size, _BASES[0], np.uint64)
     down = np.full(size, pow(_BASES[0], -1, 1 << 64), np.uint64)

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dripline.llm.common import Memo, map_rows, rows, texts
+from dripline.llm.common import Memo, map_rows, per_process, rows, texts
 from dripline.session import scratch
 
 END = 1
@@ -76,10 +75,9 @@ class Encoder:
         return np.frombuffer(self.memo.joined(parts) + END.to_bytes(4, "little"), "<i4")
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """The encoder of this worker process, with what it remembers from earlier tasks."""
-    return Encoder(path)
+    return per_process(("encoder", path), lambda: Encoder(path))
 
 
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dripline.llm.common import Memo, folds, land, map_rows, rows, texts
+from dripline.llm.common import Memo, Shared, folds, land, map_rows, rows, texts
 
 CHAIN = 128
 #: Telling words: in so many toxic documents, log-odds and their z-score at least. Kept: at most so many.
@@ -329,7 +329,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("y"))
     train = land(docs.join(marks, "doc_id"), "train")
     known = evidence(train)
-    field = docs.sparkSession.sparkContext.broadcast(fit_field(train, known))
+    field = Shared(docs.sparkSession, fit_field(train, known))
     seen = land(toxic_spans(docs, field), "spans")
     sample = (
         seen.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCUMENTS_MOST).select("peak", "mass", "y").collect()

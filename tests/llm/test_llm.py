@@ -217,7 +217,6 @@ def plain_repeats(texts: dict):
 def test_repeats(spark, odd, nothing, monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 700)
     monkeypatch.setattr(repeats, "CHUNK", 50)
-    repeats._powers.cache_clear()
     line = " ".join(words_of(60, 12))
     texts = {k: " ".join(words_of(k, 40)) + line * (k % 3) + " ".join(words_of(k // 4, 30)) for k in range(60)}
     texts |= {100: "ab" * 900, 101: "ba" * 900, 102: "", 103: None}
