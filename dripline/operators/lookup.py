@@ -17,6 +17,14 @@ def _join(df: DataFrame, table: DataFrame, key: str, seq: list[str] | None, floo
     return spread_join(df, table, key, "_ref", seq or df.columns, floor_rows)
 
 
+def _asked(df: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
+    """The table's rows that some row of ``df`` asks for, so that only they are aggregated."""
+    if df.isStreaming:
+        return table
+    keys = df.select(F.col(key).alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
+    return table.join(keys, F.col(table_key) == F.col("_asked"), "left_semi")
+
+
 def lookup_exists(
     df: DataFrame,
     table: DataFrame,
@@ -30,7 +38,8 @@ def lookup_exists(
 
     ``seq`` names columns that tell rows of one key apart (an offset, an id).
     """
-    known = table.select(F.col(table_key).alias("_ref")).filter(F.col("_ref").isNotNull()).distinct()
+    refs = table.select(F.col(table_key).alias("_ref")).filter(F.col("_ref").isNotNull())
+    known = _asked(df, key, refs, "_ref").distinct()
     joined = _join(df, known, key, seq, floor_rows)
     return joined.withColumn(out, F.col("_ref").isNotNull()).drop("_ref")
 
@@ -45,7 +54,8 @@ def lookup_row(
     floor_rows: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Add the key's row of a cell table as a map; an unknown key gets an empty map."""
-    table = cells_to_map(cells, strict).select(F.col("row_key").alias("_ref"), F.col("cells").alias(out))
+    found = _asked(df, key, cells, "row_key")
+    table = cells_to_map(found, strict).select(F.col("row_key").alias("_ref"), F.col("cells").alias(out))
     joined = _join(df, table, key, seq, floor_rows)
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     return joined.withColumn(out, F.coalesce(out, empty)).drop("_ref")

@@ -28,8 +28,8 @@ def _key_alias(key: str) -> str:
 
 
 def same_keys(left: list[str], right: list[str]) -> Column:
-    """Key equality in which NULL equals NULL, as in a grouping."""
-    return reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)))
+    """Key equality in which NULL equals NULL, as in a grouping; without keys all rows are one group."""
+    return reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)), F.lit(True))
 
 
 def busy_keys(

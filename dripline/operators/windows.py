@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from dripline.functions import times
 
@@ -34,10 +35,22 @@ def windowed_count(df: DataFrame, time: str, keys: list[str], width: str, slide:
 def session_windows(df: DataFrame, time: str, keys: list[str], gap: str) -> DataFrame:
     """Session windows of a stream: the form of ``session_summary`` that closes by watermark.
 
-    Each map task merges its own sessions before the shuffle, so a busy key ships few rows.
+    With the session's settings each map task merges its own sessions before the shuffle, so
+    a busy key ships few rows.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     counted = df.groupBy(*keys, F.session_window(time, gap).alias("_w")).agg(
         F.count(F.lit(1)).alias("row_count"), F.max(time).alias("session_end")
     )
     return counted.select(*keys, F.col("_w.start").alias("session_start"), "session_end", "row_count")
+
+
+def refuse_dropped(query: StreamingQuery) -> None:
+    """Fail where the watermark dropped rows of a finished stream: its delay does not cover the disorder.
+
+    The count is that of rows after partial aggregation, so it is above 0 where any row was dropped.
+    """
+    dropped = sum(
+        s["numRowsDroppedByWatermark"] for progress in query.recentProgress for s in progress["stateOperators"]
+    )
+    if dropped:
+        raise ValueError(f"{dropped} partial rows came behind the watermark; raise the delay")

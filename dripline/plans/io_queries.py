@@ -6,7 +6,7 @@ reader of the result sees.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dripline.functions import messages, times
@@ -20,39 +20,91 @@ from dripline.session import scratch
 from dripline.sinks import batches, files, remote, subtables
 from dripline.sinks.jdbc import numbered
 from dripline.sources.polling import Poller
-from dripline.sources.readers import parquet_rows
 from dripline.sources.synthetic import with_synthetic
 from dripline.streaming import carried
 
 
-def _stream(t: Tables, name: str) -> DataFrame:
-    """The table as a stream; a file stream takes a pattern, not a file's own path."""
-    return parquet_rows(t.spark, f"{t.folder.rstrip('/')}/[{name[0]}]{name[1:]}.parquet", max_files=1000)
+#: Micro-batches that a table is fed in.
+SLICES = 4
 
 
-def _timed_stream(t: Tables) -> DataFrame:
-    return _stream(t, "events").withColumn("ms", times.as_epoch_ms(F.col("ts")))
+def _slice_of(df: DataFrame, arrival: Column) -> Column:
+    """The slice a row arrives in: equal shares of the rows in arrival order, a missing one first."""
+    shares = [k / SLICES for k in range(1, SLICES)]
+    cuts = df.agg(F.percentile_approx(arrival, shares).alias("cuts")).first().cuts or []
+    return sum((F.coalesce(arrival > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
 
 
-def _run(t: Tables, name: str, start) -> DataFrame:
-    """Run a stream to its end into batch folders and read them back."""
+def _feed(t: Tables, df: DataFrame, arrival: Column, name: str, start, closing: DataFrame | None = None) -> str:
+    """Feed rows to a stream slice by slice in arrival order; each start goes on from the checkpoint.
+
+    A start takes what is new as one micro-batch, however many files hold it. ``closing`` comes last.
+    """
     folder = scratch(t.spark, name)
-    start(batches.batch_folders(f"{folder}/out"), folder).awaitTermination()
+    number = _slice_of(df, arrival)
+    for part in [*(df.filter(number == k) for k in range(SLICES)), *([] if closing is None else [closing])]:
+        part.write.mode("append").parquet(f"{folder}/in")
+        query_ = start(t.spark.readStream.schema(df.schema).parquet(f"{folder}/in"), folder)
+        query_.awaitTermination()
+        windows.refuse_dropped(query_)
+    return folder
+
+
+def _timed(t: Tables) -> DataFrame:
+    return t.events.withColumn("ms", times.as_epoch_ms(F.col("ts")))
+
+
+def _run(t: Tables, df: DataFrame, arrival: Column, name: str, start) -> DataFrame:
+    """Run a stream over all slices into batch folders and read them back."""
+    folder = _feed(t, df, arrival, name, lambda stream, at: start(stream, batches.batch_folders(f"{at}/out"), at))
     return batches.read_batches(t.spark, f"{folder}/out")
 
 
+def _disorder_ms(df: DataFrame, arrival: Column) -> int:
+    """How far rows of a later slice may lie behind those of an earlier one."""
+    number = _slice_of(df, arrival).alias("number")
+    spans = df.groupBy(number).agg(F.min("ms").alias("lo"), F.max("ms").alias("hi")).orderBy("number").collect()
+    behind, seen = 0, None
+    for span in spans:
+        lo, hi = span.lo or 0, span.hi or 0
+        behind = max(behind, seen - lo if seen is not None else 0)
+        seen = hi if seen is None else max(seen, hi)
+    return behind
+
+
+def _windowed(t: Tables, name: str, keys: list[str], width_ms: int, aggregate) -> DataFrame:
+    """All windows of the events in arrival order.
+
+    The delay covers the disorder. At the end a row without keys moves the watermark past
+    every window, as the end of a bounded input does; its own window is never given out.
+    """
+    df = _timed(t).select("event_id", *keys, "ms")
+    delay = _disorder_ms(df, F.col("event_id"))
+    end = F.coalesce(F.max("ms"), F.lit(0)) + F.lit(delay + 2 * width_ms)
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema if f.name != "ms"]
+    closing = df.agg(end.alias("ms")).select(*rest, "ms").select(df.columns)
+
+    def start(stream: DataFrame, folder: str):
+        timed = windows.with_event_time(stream, F.col("ms"), f"{delay} milliseconds")
+        writer = aggregate(timed).writeStream.format("parquet").option("path", f"{folder}/out")
+        return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+
+    return t.spark.read.parquet(_feed(t, df, F.col("event_id"), name, start, closing) + "/out")
+
+
 @query(
     "stream_session_start",
     SESSION_SQL.format(arrival="event_id", where="")
     + f"SELECT event_id, user_id, {START_TEXT_SQL} AS start_date_time FROM s",
 )
 def stream_session_start(t: Tables) -> DataFrame:
-    source = _timed_stream(t).select("event_id", "user_id", "ms")
     done = _run(
         t,
+        _timed(t).select("event_id", "user_id", "ms"),
+        F.col("event_id"),
         "stream-sessions",
-        lambda sink, folder: carried.session_stream(
-            source, ["user_id"], ["event_id"], "ms", sink, folder, SIX_HOURS_MS
+        lambda stream, sink, folder: carried.session_stream(
+            stream, ["user_id"], ["event_id"], "ms", sink, folder, SIX_HOURS_MS
         ),
     )
     return done.select("event_id", "user_id", times.time_text(F.col("session_start_ms")).alias("start_date_time"))
@@ -61,12 +113,13 @@ def stream_session_start(t: Tables) -> DataFrame:
 @query("stream_alarms", ALARM_SQL)
 def stream_alarms(t: Tables) -> DataFrame:
     """The whole alarm job as a stream of device lines."""
-    folder = scratch(t.spark, "stream-alarms")
-    pump_lines(t).write.parquet(f"{folder}/lines")
-    lines = parquet_rows(t.spark, f"{folder}/lines", max_files=1000)
-    sink = batches.batch_folders(f"{folder}/out")
-    alarm_stream_job(lines, ["event_id"], sink, folder, SIX_HOURS_MS, strict=False).awaitTermination()
-    return batches.read_batches(t.spark, f"{folder}/out")
+    return _run(
+        t,
+        pump_lines(t),
+        F.col("event_id"),
+        "stream-alarms",
+        lambda stream, sink, folder: alarm_stream_job(stream, ["event_id"], sink, folder, SIX_HOURS_MS, strict=False),
+    )
 
 
 @query(
@@ -75,11 +128,12 @@ def stream_alarms(t: Tables) -> DataFrame:
        FROM events""",
 )
 def stream_running_count(t: Tables) -> DataFrame:
-    source = _stream(t, "events").select("event_id", "event_type")
     return _run(
         t,
+        t.events.select("event_id", "event_type"),
+        F.col("event_id"),
         "stream-count",
-        lambda sink, folder: carried.running_total_stream(source, ["event_type"], ["event_id"], sink, folder),
+        lambda stream, sink, folder: carried.running_total_stream(stream, ["event_type"], ["event_id"], sink, folder),
     )
 
 
@@ -92,11 +146,12 @@ def stream_running_count(t: Tables) -> DataFrame:
 )
 def stream_late_rows(t: Tables) -> DataFrame:
     """Events arriving last first: all but each user's newest are late."""
-    source = _timed_stream(t).select("event_id", "user_id", "ms", (-F.col("event_id")).alias("arrival"))
     done = _run(
         t,
+        _timed(t).select("event_id", "user_id", "ms", (-F.col("event_id")).alias("arrival")),
+        F.col("arrival"),
         "stream-late",
-        lambda sink, folder: carried.late_rows_stream(source, ["user_id"], ["arrival"], "ms", sink, folder),
+        lambda stream, sink, folder: carried.late_rows_stream(stream, ["user_id"], ["arrival"], "ms", sink, folder),
     )
     return done.select("event_id", "user_id", "is_late")
 
@@ -104,33 +159,36 @@ def stream_late_rows(t: Tables) -> DataFrame:
 @query(
     "stream_windowed_count",
     """SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS row_count
-       FROM events GROUP BY 1, 2
-       HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events)""",
+       FROM events GROUP BY 1, 2""",
 )
 def stream_windowed_count(t: Tables) -> DataFrame:
-    """Hourly counts of a stream, as far as the watermark has closed the hours."""
-    folder = scratch(t.spark, "stream-windows")
-    timed = windows.with_event_time(_timed_stream(t), F.col("ms"), "0 seconds")
-    counted = windows.windowed_count(timed, "event_time", ["event_type"], "1 hour")
-    _append(counted, folder)
-    return t.spark.read.parquet(f"{folder}/out").select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "row_count"
+    """Hourly counts of a stream, all windows closed at its end."""
+    counted = _windowed(
+        t,
+        "stream-windows",
+        ["event_type"],
+        3_600_000,
+        lambda timed: windows.windowed_count(timed, "event_time", ["event_type"], "1 hour"),
     )
+    return counted.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "row_count")
 
 
 @query(
     "stream_session_windows",
     SESSION_SQL.format(arrival="epoch_us(ts) // 1000", where="")
     + """SELECT user_id, start_ms AS session_start_ms, max(ms) AS session_end_ms, count(*) AS row_count
-         FROM s GROUP BY user_id, start_ms
-         HAVING max(ms) + 21600000 <= (SELECT max(ms) FROM e)""",
+         FROM s GROUP BY user_id, start_ms""",
 )
 def stream_session_windows(t: Tables) -> DataFrame:
-    """Sessions of a stream, as far as the watermark has closed them."""
-    folder = scratch(t.spark, "stream-session-windows")
-    timed = windows.with_event_time(_timed_stream(t), F.col("ms"), "0 seconds")
-    _append(windows.session_windows(timed, "event_time", ["user_id"], "6 hours"), folder)
-    return t.spark.read.parquet(f"{folder}/out").select(
+    """Sessions of a stream, all closed at its end."""
+    sessions = _windowed(
+        t,
+        "stream-session-windows",
+        ["user_id"],
+        SIX_HOURS_MS,
+        lambda timed: windows.session_windows(timed, "event_time", ["user_id"], "6 hours"),
+    )
+    return sessions.select(
         "user_id",
         F.unix_millis("session_start").alias("session_start_ms"),
         F.unix_millis("session_end").alias("session_end_ms"),
@@ -138,11 +196,6 @@ def stream_session_windows(t: Tables) -> DataFrame:
     )
 
 
-def _append(rows_: DataFrame, folder: str) -> None:
-    writer = rows_.writeStream.format("parquet").option("path", f"{folder}/out")
-    writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-
-
 BUCKET_SQL = """
 SELECT strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr, count(*) AS row_count FROM events GROUP BY 1, 2
 """
@@ -163,10 +216,18 @@ def event_time_buckets(t: Tables) -> DataFrame:
 
 @query("stream_event_time_buckets", BUCKET_SQL)
 def stream_event_time_buckets(t: Tables) -> DataFrame:
-    folder = scratch(t.spark, "stream-buckets")
-    lines = _timed_stream(t).select(messages.json_text(event_id=F.col("event_id"), ts=F.col("ms")).alias("value"))
-    bucketed = files.with_hour_buckets(lines)
-    files.start_hour_buckets(bucketed, f"{folder}/out", f"{folder}/checkpoint", trigger=None).awaitTermination()
+    lines = _timed(t).select(
+        "event_id", messages.json_text(event_id=F.col("event_id"), ts=F.col("ms")).alias("value")
+    )
+    folder = _feed(
+        t,
+        lines,
+        F.col("event_id"),
+        "stream-buckets",
+        lambda stream, at: files.start_hour_buckets(
+            files.with_hour_buckets(stream.select("value")), f"{at}/out", f"{at}/checkpoint", trigger=None
+        ),
+    )
     return _bucket_counts(files.read_hour_buckets(t.spark, f"{folder}/out"))
 
 
@@ -327,3 +388,26 @@ def sql_script(t: Tables) -> DataFrame:
     }
     run_sql_job(t.spark, config, "copy_events")
     return t.spark.read.parquet(folder)
+
+
+@query("sql_ddl_script", "SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ms FROM events WHERE value > 50")
+def sql_ddl_script(t: Tables) -> DataFrame:
+    """A script that declares its own tables with connector options, run as a batch."""
+    folder = scratch(t.spark, "sql-ddl")
+    script = f"""
+        /* it's a source; with a computed column */
+        CREATE TABLE event_source (
+            event_id BIGINT, user_id BIGINT, event_type STRING, `value` DOUBLE, ts TIMESTAMP(3),
+            ms AS unix_millis(ts),
+            WATERMARK FOR ts AS ts - INTERVAL '5' SECOND
+        ) WITH (
+            'connector' = 'filesystem', -- a folder or a file
+            'path' = '{t.path("events")}', 'format' = 'parquet'
+        );
+        CREATE TABLE event_sink (event_id BIGINT, user_id BIGINT, event_type STRING, ms BIGINT)
+        WITH ('connector' = 'filesystem', 'path' = '{folder}', 'format' = 'parquet');
+        INSERT INTO event_sink (user_id, event_id, ms, event_type)
+        SELECT user_id, event_id, ms, event_type FROM event_source WHERE `value` > 50
+    """
+    run_sql_job(t.spark, {"sql": {"copy_events": script}}, "copy_events")
+    return t.spark.read.parquet(folder)

@@ -142,6 +142,24 @@ def late_rows(t: Tables) -> DataFrame:
     return marked.select("event_id", "user_id", "is_late")
 
 
+@query(
+    "late_rows_global",
+    """WITH a AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms, (event_id * 7919) % 1000003 AS arrival
+                  FROM events)
+       SELECT event_id, user_id,
+              ms < max(ms) OVER (ORDER BY arrival, event_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1000 AS is_late
+       FROM a""",
+)
+def late_rows_global(t: Tables) -> DataFrame:
+    """One watermark for the whole stream: its chunks are windows of their own, no task sees all rows."""
+    shuffled = timed_events(t).select(
+        "event_id", "user_id", "ms", ((F.col("event_id") * 7919) % 1000003).alias("arrival")
+    )
+    marked = keyed.late_rows(shuffled, [], ["arrival", "event_id"], F.col("ms"))
+    return marked.select("event_id", "user_id", "is_late")
+
+
 @query(
     "windowed_count",
     """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
@@ -168,15 +186,21 @@ def lookup_exists(t: Tables) -> DataFrame:
     "lookup_row",
     """SELECT e.event_id,
               CASE WHEN c.c_custkey IS NULL THEN ''
-                   ELSE 'name=' || c.c_name || ';nation=' || c.c_nationkey END AS cells
+                   ELSE 'name=' || c.c_name || ';nation=' || c.c_nationkey END AS cells, c.c_acctbal AS balance
        FROM events e LEFT JOIN customer c ON c.c_custkey = e.event_id""",
 )
 def lookup_row(t: Tables) -> DataFrame:
     """Events looked up by id in the customer cells: some ids are customers, most are not."""
     asked = t.events.select("event_id", F.col("event_id").cast("string").alias("id"))
-    stored = customer_cells(t).filter(F.col("qualifier") != "d_balance")
-    found = lookup.lookup_row(asked, stored, "id", ["event_id"])
-    return found.select("event_id", cells_as_text(F.col("cells")).alias("cells"))
+    found = lookup.lookup_row(asked, customer_cells(t), "id", ["event_id"])
+    return found.select("event_id", *texts_and_balance(F.col("cells")))
+
+
+def texts_and_balance(cells):
+    """All cells of a customer: the double as a number, since its text differs between engines."""
+    others = F.map_filter(cells, lambda name, _: name != "balance")
+    balance = F.try_element_at(cells, F.lit("balance")).cast("double")
+    return cells_as_text(others).alias("cells"), balance.alias("balance")
 
 
 def cells_as_text(cells):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dripline.functions import cells, text, times
 from dripline.operators import rows, split
 from dripline.plans.inputs import WHOLE_LINES, customer_cells, pump_lines, timed_events
-from dripline.plans.keyed_queries import cells_as_text
+from dripline.plans.keyed_queries import texts_and_balance
 from dripline.plans.registry import Tables, query
 
 
@@ -232,12 +232,13 @@ def cells_to_map(t: Tables) -> DataFrame:
 
 @query(
     "cell_names",
-    """SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'name=' || c_name || ';nation=' || c_nationkey AS cells
+    """SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'name=' || c_name || ';nation=' || c_nationkey AS cells,
+              c_acctbal AS balance
        FROM customer""",
 )
 def cell_names(t: Tables) -> DataFrame:
-    got = rows.cells_to_map(customer_cells(t).filter(F.col("qualifier") != "d_balance"))
-    return got.select("row_key", cells_as_text(F.col("cells")).alias("cells"))
+    got = rows.cells_to_map(customer_cells(t))
+    return got.select("row_key", *texts_and_balance(F.col("cells")))
 
 
 @query("scan_row_keys", "SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS row_key FROM customer")

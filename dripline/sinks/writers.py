@@ -57,7 +57,11 @@ def start_sink(df: DataFrame, settings: dict[str, Any], name: str) -> StreamingQ
     """Start a stream into the sink; the query's name and checkpoint identify it."""
     kind = _kind(settings)
     writer = df.writeStream.format(kind).queryName(settings.get("name", name))
-    folder = settings.get("checkpoint") or scratch(df.sparkSession, f"checkpoint-{name}")
+    folder = settings.get("checkpoint")
+    if not folder:
+        if kind not in ("console", "memory"):
+            raise ValueError(f"sink {kind!r} of {name} needs a checkpoint, or a restart would write all rows again")
+        folder = scratch(df.sparkSession, f"checkpoint-{name}")
     writer = writer.option("checkpointLocation", folder)
     trigger = settings.get("trigger")
     if trigger == "available_now":
