@@ -359,7 +359,7 @@ def test_sql_job_as_stream(spark, tmp_path):
     cfg = {
         "tables": {
             "src": {"kind": "parquet", "path": str(tmp_path / "in")},
-            "dst": {"sink": "parquet", "path": str(tmp_path / "out"), "trigger": "available_now"},
+            "dst": {"sink": "parquet", "path": str(tmp_path / "out"), "trigger": "available_now", "checkpoint": f"{tmp_path}/c"},
         },
         "sql": {"job": "INSERT INTO dst SELECT id * 2 AS twice FROM src"},
     }
