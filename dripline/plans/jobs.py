@@ -261,9 +261,8 @@ def side_output(j: Job) -> StreamingQuery:
 @job
 def known_ids(j: Job) -> StreamingQuery:
     """Whether each id is in a cell table."""
-    table = j.spark.read.parquet(j.settings["table"])
-
     def write(batch: DataFrame, batch_id: int) -> None:
+        table = batch.sparkSession.read.parquet(j.settings["table"])  # as it is now
         with kept(batch) as held:
             sink(lookup.lookup_exists(held, table, "value", "row_key", j.settings.get("order")), batch_id)
 
@@ -274,9 +273,8 @@ def known_ids(j: Job) -> StreamingQuery:
 @job
 def known_rows(j: Job) -> StreamingQuery:
     """The row of each id in a cell table, as a map."""
-    table = j.spark.read.parquet(j.settings["table"])
-
     def write(batch: DataFrame, batch_id: int) -> None:
+        table = batch.sparkSession.read.parquet(j.settings["table"])
         with kept(batch) as held:
             found = lookup.lookup_row(held, table, "value", j.settings.get("order"), strict=j.strict)
             sink(found, batch_id)
@@ -318,4 +316,7 @@ def scan_table(j: Job) -> StreamingQuery:
 def sql(j: Job) -> StreamingQuery:
     """A named SQL script; gives the last stream it starts."""
     results = run_sql_job(j.spark, j.config, j.settings["script"], stream=True)
-    return [r for r in results if isinstance(r, StreamingQuery)][-1]
+    started = [r for r in results if isinstance(r, StreamingQuery)]
+    if not started:
+        raise ValueError(f"script {j.settings['script']!r} starts no stream")
+    return started[-1]
