@@ -8,11 +8,14 @@ document's place among all ids follows from one total per file.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +24,11 @@ from dripline.session import scratch
 
 END = 1
 #: Words that an encoder remembers at once; punctuation that is split from a word before it.
-REMEMBERED, BEHIND = 300_000, ".,;:!?*#$%&|"
+REMEMBERED, BEHIND = 500_000, ".,;:!?*#$%&|"
+#: Words of these letters only, which keep to one word when they are normalised.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: An encoder takes at most so many rows at a time, and no further row beyond so many characters.
+BLOCK, BLOCK_CHARS = 1000, 4 << 20
 #: Bytes of a stripe and rows between two entries of the row index.
 STRIPE, STRIDE = 16 << 20, 1000
 OPTIONS = {
@@ -45,7 +52,7 @@ class Encoder:
 
     The tokenizer splits at white space and drops it before anything else looks at two words
     together, so the ids of a text are those of its words in turn. It also splits letters from
-    punctuation, and lower-cases; so a word of ASCII letters goes straight to its merges, and
+    punctuation, and lower-cases; so a word of Latin letters goes straight to its merges, and
     punctuation behind one is encoded by itself.
     """
 
@@ -53,26 +60,38 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        merges = tokenizer.model.tokenize
+        merges, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        # How the merges write a letter: its bytes as characters.
+        written = {ord(c): cut(c)[0][0] for c in map(chr, range(0x100)) if LATIN(c) and not c.isascii()}
 
         def make(word: str) -> bytes:
             letters = word.rstrip(BEHIND)
-            if letters.isascii() and letters.isalpha():
+            if LATIN(letters):
                 if letters != word:
                     return memo[letters] + memo[word[len(letters) :]]
-                ids = [t.id for t in merges(word.lower())]
+                ids = [t.id for t in merges(word.lower().translate(written))]
             else:
                 ids = tokenizer.encode(word, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}i", *ids)
 
         memo = self.memo = Memo(make, REMEMBERED)
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        text = text or ""
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        parts = text.replace("\n", " ").split(" ")
-        return np.frombuffer(self.memo.joined(parts) + END.to_bytes(4, "little"), "<i4")
+    def __call__(self, found: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's ids end.
+
+        A block's words are numbered first, so that each distinct word is looked up once a block.
+        """
+        plain = [t.lower() if t and t.isascii() and "<|" not in t else t or "" for t in found]
+        split = pc.split_pattern(pa.array([t.replace("\n", " ") for t in plain], pa.large_string()), " ")
+        numbered = split.flatten().dictionary_encode()
+        ids, word = [self.memo[w] for w in numbered.dictionary.to_pylist()], numbered.indices.to_numpy()
+        size = np.array([len(i) // 4 for i in ids], np.int64)
+        first = np.cumsum(size) - size
+        ends = np.cumsum(size[word])
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[word] - ends + size[word], size[word])
+        last = np.r_[0, ends][np.cumsum(split.value_lengths().to_numpy())]
+        flat = np.insert(np.frombuffer(b"".join(ids), "<i4")[at], last, END)
+        return flat, last + np.arange(1, len(found) + 1)
 
 
 def encoder(path: str) -> Encoder:
@@ -80,6 +99,16 @@ def encoder(path: str) -> Encoder:
     return per_process(("encoder", path), lambda: Encoder(path))
 
 
+def blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of rows that an encoder takes at a time; a very long row ends its run."""
+    first = chars = 0
+    for k, n in enumerate(sizes):
+        chars += n
+        if k + 1 == len(sizes) or k + 1 - first == BLOCK or chars >= BLOCK_CHARS:
+            yield first, k + 1
+            first, chars = k + 1, 0
+
+
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, before, ids`` in ascending order of doc_id, null first, equal ids by text.
 
@@ -92,15 +121,14 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
         def step(batch):
             nonlocal before
             all_, ids = texts(batch), batch.column("doc_id").cast(pa.int64())
-            for k in range(0, len(all_), 1000):
-                found = [encode(t) for t in all_[k : k + 1000]]
-                ends = np.cumsum([len(f) for f in found])
+            for k, stop in blocks([len(t or "") for t in all_]):
+                found, ends = encode(all_[k:stop])
                 starts = np.r_[0, ends[:-1]]
                 yield rows(
-                    doc_id=ids.slice(k, len(found)),
+                    doc_id=ids.slice(k, len(ends)),
                     before=pa.array(starts + before, pa.int64()),
                     ids=pa.ListArray.from_arrays(
-                        pa.array(np.r_[0, ends], pa.int32()), pa.array(np.concatenate(found), pa.int32())
+                        pa.array(np.r_[0, ends], pa.int32()), pa.array(found, pa.int32())
                     ),
                 )
                 before += int(ends[-1])
@@ -117,13 +145,16 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None) ->
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, start, ids``; ``start`` counts the ids of all documents before it."""
+    """``doc_id, start, ids``; ``start`` counts the ids of all documents before it.
+
+    What is broadcast is a name and a number for each file, of which a write has one a task.
+    """
     seen = spark.read.schema("doc_id long, before long, ids array<int>").orc(folder)
     seen = seen.withColumn("file", F.col("_metadata.file_name"))
     totals = seen.groupBy("file").agg(F.max(F.col("before") + F.size("ids")).alias("n"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    return seen.join(base, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "ids")
+    return seen.join(F.broadcast(base), "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "ids")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

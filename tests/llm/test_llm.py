@@ -245,8 +245,13 @@ def test_tokens(spark, odd, nothing):
 
     plain, start = Tokenizer.from_file(tokens.default_tokenizer()), 0
     encode = tokens.Encoder(tokens.default_tokenizer())
-    for text in ("A b,c'S d's 12.5", "x y\tz \x1c", "<|ENDOFTEXT|> <|endoftext|>a", "ÉTÉ é.,", "", "AΣ Σ", "a*b** **", "İx"):
-        assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
+    for text in ("A b,c'S d's 12.5", "x y\tz \x1c", "<|ENDOFTEXT|> <|endoftext|>a", "ÉTÉ é.,", "", "AΣ Σ", "a*b** **", "İx", "Straße, ÀÿÞ.", "e\u0301x"):
+        assert encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
+    flat, ends = encode(["a b", None, "", "a"])
+    one, two = (plain.encode(t, add_special_tokens=False).ids + [1] for t in ("a b", "a"))
+    assert flat.tolist() == [*one, 1, 1, *two] and ends.tolist() == np.cumsum([len(one), 1, 1, len(two)]).tolist()
+    assert list(tokens.blocks([5, tokens.BLOCK_CHARS, 1, 1])) == [(0, 2), (2, 4)] and not list(tokens.blocks([]))
+    assert list(tokens.blocks([1] * (tokens.BLOCK + 1))) == [(0, tokens.BLOCK), (tokens.BLOCK, tokens.BLOCK + 1)]
     got = {r.doc_id: r for r in tokens.token_digests(odd.where("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
     for k, t in sorted({r.doc_id: r.text for r in odd.collect() if r.doc_id is not None}.items()):
         ids = plain.encode(t or "", add_special_tokens=False).ids + [1]
