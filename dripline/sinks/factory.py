@@ -30,7 +30,7 @@ def batch_sink(settings: dict[str, Any]) -> Sink:
     if kind == "kafka":
         return _kafka(settings)
     if kind == "console":
-        return _console(settings.get("prefix"))
+        return writers.console_sink(settings.get("prefix"), settings.get("rows"))
     raise ValueError(f"unknown sink {kind!r}: use folders, subtables, jdbc, http, kafka or console")
 
 
@@ -42,14 +42,3 @@ def _kafka(settings: dict[str, Any]) -> Sink:
         rows.select(value.cast("string").alias("value")).write.format("kafka").options(**options).save()
 
     return write
-
-
-def _console(prefix: str | None) -> Sink:
-    """Spark's console sink shows the first rows of a batch; so does this one."""
-
-    def write(rows: DataFrame, _: int) -> None:
-        if prefix:
-            print(prefix)
-        rows.show(truncate=False)
-
-    return write

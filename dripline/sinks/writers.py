@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterable
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dripline.session import scratch
@@ -39,10 +42,10 @@ def kafka_sink_options(settings: dict[str, Any]) -> dict[str, str]:
 
 
 def write_sink(df: DataFrame, settings: dict[str, Any]) -> None:
-    """Write a batch. The console shows its first rows, as Spark's own console sink does."""
+    """Write a batch. The console takes every row, unless the settings ask for a preview of ``rows``."""
     kind = _kind(settings)
     if kind == "console":
-        df.show(truncate=False)
+        print_rows(df, settings.get("prefix"), settings.get("rows"))
     elif kind == "memory":
         df.createOrReplaceTempView(settings["name"])
     elif kind == "kafka":
@@ -56,7 +59,7 @@ def write_sink(df: DataFrame, settings: dict[str, Any]) -> None:
 def start_sink(df: DataFrame, settings: dict[str, Any], name: str) -> StreamingQuery:
     """Start a stream into the sink; the query's name and checkpoint identify it."""
     kind = _kind(settings)
-    writer = df.writeStream.format(kind).queryName(settings.get("name", name))
+    writer = df.writeStream.queryName(settings.get("name", name)).outputMode(settings.get("mode", "append"))
     folder = settings.get("checkpoint")
     if not folder:
         if kind not in ("console", "memory"):
@@ -72,14 +75,30 @@ def start_sink(df: DataFrame, settings: dict[str, Any], name: str) -> StreamingQ
         writer = writer.options(**kafka_sink_options(settings))
     elif kind in ("text", "parquet"):
         writer = writer.option("path", settings["path"])
-    elif kind == "console" and settings.get("prefix"):
-        return _prefixed_console(writer, settings["prefix"])
-    return writer.outputMode(settings.get("mode", "append")).start()
+    elif kind == "console":
+        return writer.foreachBatch(console_sink(settings.get("prefix"), settings.get("rows"))).start()
+    return writer.format(kind).start()
 
 
-def _prefixed_console(writer, prefix: str) -> StreamingQuery:
-    def show(batch: DataFrame, _: int) -> None:
-        print(prefix)
-        batch.show(truncate=False)
+def console_sink(prefix: str | None = None, rows: int | None = None) -> Callable[[DataFrame, int], None]:
+    return lambda batch, _: print_rows(batch, prefix, rows)
 
-    return writer.foreachBatch(show).start()
+
+def print_rows(df: DataFrame, prefix: str | None = None, rows: int | None = None) -> None:
+    """Print every row as JSON to the log of the executor that holds it; a repeated task prints again.
+
+    With ``rows`` the driver shows so many rows instead, as a preview.
+    """
+    if rows is not None:
+        if prefix:
+            print(prefix)
+        df.show(int(rows), truncate=False)
+        return
+    line = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})
+    df.select(line.alias("line")).foreachPartition(lambda part: print_lines((r.line for r in part), prefix))
+
+
+def print_lines(lines: Iterable[str], prefix: str | None = None) -> None:
+    for line in lines:
+        print(f"{prefix}> {line}" if prefix else line)
+    sys.stdout.flush()

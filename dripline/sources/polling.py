@@ -44,8 +44,9 @@ class Poller:
 
     def next_mark(self, spark: SparkSession, mark: Any = None) -> Any:
         """The greatest value past the mark, or the mark itself when there is none."""
-        latest = self.after(spark, mark).agg(F.max(self.column)).first()[0]
-        return (self.first if mark is None else mark) if latest is None else latest
+        low = self.first if mark is None else mark
+        latest = self.read(spark).filter(F.col(self.column) >= F.lit(low)).agg(F.max(self.column)).first()[0]
+        return low if latest is None else latest
 
 
 def start_polling(
