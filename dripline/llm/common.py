@@ -13,6 +13,8 @@ from dripline.session import written
 
 #: What separates words: space and the controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows become Python objects, several times their size, in parts of at most so many bytes.
+PART_BYTES = 4 << 20
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
@@ -105,6 +107,16 @@ def word_hashes() -> Memo:
     return Memo(lambda word: blake2b(word, digest_size=8).digest())
 
 
+def halves(batch: pa.RecordBatch, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in order, cut where it holds more bytes than that; a single row stays whole."""
+    if batch.nbytes <= most or batch.num_rows < 2:
+        yield batch
+    else:
+        middle = batch.num_rows // 2
+        yield from halves(batch.slice(0, middle), most)
+        yield from halves(batch.slice(middle), most)
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]],
@@ -113,14 +125,15 @@ def map_rows(
 ) -> DataFrame:
     """``mapInArrow`` with set-up once per task.
 
-    ``make()`` runs in the task and gives the function of a batch. With ``last`` it is called
-    once more with None after the final batch.
+    ``make()`` runs in the task and gives the function of a batch, which sees at most PART_BYTES
+    of rows, or one row. With ``last`` it is called once more with None after the final batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            yield from step(batch)
+            for part in halves(batch):
+                yield from step(part)
         if last:
             yield from step(None)
 

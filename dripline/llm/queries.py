@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dripline.llm import decontamination, jaccard, mixing, neighbours, private, quality, repeats, tokens, toxicity, warc
+from dripline.llm import decontamination, divergence, jaccard, mixing, neighbours, private, quality, repeats, tokens, toxicity, warc
 from dripline.llm.common import table
 from dripline.llm.registry import query
 
@@ -55,6 +55,40 @@ SELECT doc_id, n AS n_bytes, n_removed, n_spans,
 FROM pieces
 """
 
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DIVERGENCE_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, {LOWER.format("coalesce(text, '')")} AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c, count(DISTINCT r) AS d FROM words GROUP BY ALL),
+kept AS (SELECT lang, term, sum(c) AS c FROM counts GROUP BY ALL HAVING sum(d) >= {divergence.LEAST_DOCUMENTS}),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+grid AS (
+  SELECT s.lang, s.source, k.term, coalesce(t.c, 0) AS c, k.c AS k
+  FROM sources s JOIN kept k USING (lang) LEFT JOIN counts t USING (lang, source, term)),
+sums AS (SELECT lang, source, sum(c) AS n FROM grid GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, term, g.c,
+    1 + (1000000000::HUGEINT * (g.c + 5)) // (s.n + 5 * v) AS p, 1 + (1000000000::HUGEINT * (g.k + 5)) // (l.n + 5 * v) AS q
+  FROM grid g JOIN sums s USING (lang, source) JOIN langs l USING (lang)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP}
+"""
+
 
 @query("op1_ngram_jaccard_join", JACCARD_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,3 +139,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents"))
