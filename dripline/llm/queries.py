@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dripline.llm import decontamination, divergence, jaccard, mixing, neighbours, private, quality, repeats, tokens, toxicity, warc
+from dripline.llm import (
+    decontamination,
+    divergence,
+    jaccard,
+    lexical,
+    mixing,
+    neighbours,
+    private,
+    quality,
+    repeats,
+    tokens,
+    toxicity,
+    warc,
+)
 from dripline.llm.common import table
 from dripline.llm.registry import query
 
@@ -89,6 +102,29 @@ SELECT lang, source, part, item, value::BIGINT AS value,
 FROM found QUALIFY part = 'pair' OR rank <= {divergence.TOP}
 """
 
+LEXICAL_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+whole AS (SELECT count(*)::BIGINT AS n, sum(len(w))::BIGINT AS l FROM docs WHERE len(w) > 0),
+asked AS (
+  SELECT item_id, t, count(*) AS times FROM (
+    SELECT item_id,
+      unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+    FROM benchmark) GROUP BY ALL),
+uses AS (
+  SELECT r, doc_id, size, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS size, unnest(w) AS t FROM docs)
+  WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM uses, whole GROUP BY t),
+scores AS (
+  SELECT item_id, r, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n) // l))))::BIGINT AS score
+  FROM uses JOIN weights USING (t) JOIN asked USING (t), whole GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {lexical.TOP}
+"""
+
 
 @query("op1_ngram_jaccard_join", JACCARD_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,3 +180,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_source_divergence", DIVERGENCE_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
+
+
+@query("op13_lexical_search", LEXICAL_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
