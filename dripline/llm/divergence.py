@@ -191,7 +191,7 @@ def source_divergence(docs: DataFrame) -> DataFrame:
         "lang", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "source", "n", "kept", "lang_n"
     )
 
-    def work(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def work(key, left, right):
         found = diverge(left, right)
         lang = pa.array([key[0].as_py()] * len(found), pa.string())
         return pa.table([lang, *(found[c] for c in ("source", "part", "item", "value"))], ["lang", "source", "part", "item", "value"])

@@ -9,6 +9,7 @@ from dripline.llm import (
     decontamination,
     divergence,
     jaccard,
+    languages,
     lexical,
     mixing,
     neighbours,
@@ -182,6 +183,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
 
 
+@query("op12_language")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.language_scores(table(spark, folder, "documents"))
+
+
 @query("op13_lexical_search", LEXICAL_SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
