@@ -2,8 +2,9 @@
 
 Rows are dealt by ranges of doc_id and sorted, so files ascend and each holds one range; the
 statistics of stripes and row groups, and Bloom filters on doc_id, prune what a lookup reads.
-Stripes are read in parallel. A row keeps the number of ids before it in its file, so a
-document's place among all ids follows from one total per file.
+Stripes are read in parallel. A row keeps the number of its range and of the ids before it in
+that range, so a document's place among all ids follows from one total per range, however many
+files a range was written to.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 BLOCK, BLOCK_CHARS = 1000, 4 << 20
 #: Bytes of a stripe and rows between two entries of the row index.
 STRIPE, STRIDE = 16 << 20, 1000
+TOKENS = "doc_id long, part long, before long, ids array<int>"
 OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(STRIPE),
@@ -110,13 +113,13 @@ def blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, before, ids`` in ascending order of doc_id, null first, equal ids by text.
+    """``doc_id, part, before, ids`` in ascending order of doc_id, null first, equal ids by text.
 
-    ``before`` counts the ids of earlier rows of the same partition, which becomes one file.
+    ``before`` counts the ids of earlier rows of the same partition, whose number is ``part``.
     """
 
     def make():
-        encode, before = encoder(tokenizer), 0
+        encode, before, part = encoder(tokenizer), 0, TaskContext.get().partitionId()
 
         def step(batch):
             nonlocal before
@@ -126,6 +129,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
                 starts = np.r_[0, ends[:-1]]
                 yield rows(
                     doc_id=ids.slice(k, len(ends)),
+                    part=pa.array(np.full(len(ends), part), pa.int64()),
                     before=pa.array(starts + before, pa.int64()),
                     ids=pa.ListArray.from_arrays(
                         pa.array(np.r_[0, ends], pa.int32()), pa.array(found, pa.int32())
@@ -136,7 +140,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
         return step
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return map_rows(ordered, make, "doc_id long, before long, ids array<int>")
+    return map_rows(ordered, make, TOKENS)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None) -> None:
@@ -147,14 +151,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None) ->
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, ids``; ``start`` counts the ids of all documents before it.
 
-    What is broadcast is a name and a number for each file, of which a write has one a task.
+    What is broadcast is two numbers for each task of the write.
     """
-    seen = spark.read.schema("doc_id long, before long, ids array<int>").orc(folder)
-    seen = seen.withColumn("file", F.col("_metadata.file_name"))
-    totals = seen.groupBy("file").agg(F.max(F.col("before") + F.size("ids")).alias("n"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    return seen.join(F.broadcast(base), "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "ids")
+    seen = spark.read.schema(TOKENS).orc(folder)
+    totals = seen.groupBy("part").agg(F.max(F.col("before") + F.size("ids")).alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    return seen.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "ids")
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -229,6 +229,26 @@ def test_repeats(spark, odd, nothing, monkeypatch):
     assert repeats.repeat_digests(nothing).count() == 0
 
 
+def test_many_surroundings_of_one_string():
+    """300,000 surroundings of one Q-gram with a low hash, which is the anchor of all strings around it."""
+    draw = np.random.default_rng(8)
+    flat = draw.integers(0, 256, repeats.SEGMENT, dtype=np.uint8)
+    g, _, first, _ = repeats.anchors(flat)
+    low, at = int(g.min()), int(first[g.argmin()])
+    while repeats.anchors(flat[at + 1 : at + 1 + repeats.LENGTH])[0][0] == low:
+        at += 1
+    gram, side, seen = flat[at : at + repeats.Q], repeats.LENGTH - repeats.Q, {}
+    for _ in range(1200):
+        raw = draw.integers(0, 256, (250, side + repeats.Q + side), dtype=np.uint8)
+        raw[:, side : side + repeats.Q] = gram
+        g, c, first, last = repeats.anchors(raw.ravel())
+        ours, flat = g == low, raw.ravel()
+        for key, a, b in zip(c[ours].tolist(), first[ours], last[ours]):
+            own = flat[a : b + repeats.LENGTH].tobytes()
+            assert seen.setdefault(key, own) == own
+    assert len(seen) >= 290_000
+
+
 def test_mixing(spark, odd, nothing):
     assert mixing.targets([10, 10, 10], [3, 1, 2]) == [20.0, 25 / 3, 50 / 3]
     assert mixing.apportion([10.0, 1.0, 1.0], 4, [9, 9, 9]) == [4, 0, 0] or sum(mixing.apportion([10.0, 1.0, 1.0], 4, [9, 9, 9])) == 4
@@ -260,6 +280,23 @@ def test_tokens(spark, odd, nothing):
     assert tokens.token_digests(odd).count() == odd.count() and tokens.token_digests(nothing).count() == 0
 
 
+def test_token_starts_do_not_depend_on_files(spark, tmp_path):
+    docs = spark.createDataFrame([(k, "word " * (k % 9)) for k in range(300)], "doc_id long, text string")
+    want = {r.doc_id: (r.start, r.n_tokens) for r in tokens.token_digests(docs).collect()}
+    assert [want[k][0] for k in range(1, 300)] == list(np.cumsum([want[k][1] for k in range(299)]))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        tokens.write_tokens(docs, str(tmp_path / "cut"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(list((tmp_path / "cut").glob("*.orc"))) > 40
+    got = tokens.read_tokens(spark, str(tmp_path / "cut")).collect()
+    assert {r.doc_id: (r.start, len(r.ids)) for r in got} == want
+    # Ranges are ordered as numbers, beyond any number of digits.
+    parts = [(k, part, 0, [5] * (k + 1)) for k, part in enumerate((9, 99_999, 100_000, 1_000_000))]
+    spark.createDataFrame(parts, tokens.TOKENS).repartition(3).write.orc(str(tmp_path / "far"))
+    assert sorted((r.doc_id, r.start) for r in tokens.read_tokens(spark, str(tmp_path / "far")).collect()) == [(0, 0), (1, 1), (2, 3), (3, 6)]
+
 def test_pipeline_stages(spark, odd):
     docs = odd
     for name, stage in corpus_pipeline.STAGES[:-1]:
