@@ -6,8 +6,9 @@ occurrences in toxic documents are the labelled tokens. The field has two states
 hashed features of a word and its neighbours, and transitions. Forward-backward marginals give
 toxic words with offsets; their peak and sum, through a logistic fit, give the document's score.
 
-A chain is a run of CHAIN words of a document; the next run starts a new chain. Thus any
-document costs time in proportion to its words, and documents run side by side.
+A document is one chain, however long. It is laid out in columns of CHAIN words side by side;
+what a column does to a message is one 2 x 2 table, so messages cross the edges between columns
+exactly, and time is in proportion to the words.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from pyspark.sql import types as T
 from dripline.llm.common import Memo, Shared, folds, land, map_rows, rows, texts
 
 CHAIN = 128
-#: Telling words: in so many toxic documents, log-odds and their z-score at least. Kept: at most so many.
-LEAST_DOCUMENTS, LEAST_ODDS, LEAST_Z, WORDS_MOST = 4, 2.5, 4.0, 20_000
-#: The field is fitted on at most so many chains with telling words, and as many without.
-CHAINS_MOST = 3000
-#: The logistic fit sees at most so many documents.
-DOCUMENTS_MOST = 50_000
+#: Evidence: words of so many documents. Telling words: in so many toxic documents, log-odds and z-score at least.
+LEAST_DOCUMENTS, LEAST_ODDS, LEAST_Z = 4, 2.5, 4.0
+#: The fit sees about so many labelled documents, drawn by a hash of their id; the field is fitted on
+#: about so many runs of CHAIN words of theirs with telling words, and as many without.
+DOCUMENTS, CHAINS = 16_000, 3000
+RANGE = 1 << 40
 HASHED, FEATURES, STEPS, RATE, PENALTY = 1 << 14, 5, 80, 0.2, 2.0
 #: Distinct words that a task counts before it gives them out.
 COUNTED = 500_000
@@ -85,7 +86,7 @@ def _word_counts(train: DataFrame) -> DataFrame:
 
 
 def evidence(train: DataFrame) -> Evidence:
-    """Counts over all training documents; at most WORDS_MOST words come to the driver."""
+    """Counts over all training documents; the words that come to the driver are among theirs."""
     total = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
     toxic, clean = total.get(1, 0), total.get(0, 0)
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1 - F.col("toxic") + 0.5)) - F.log(
@@ -93,9 +94,8 @@ def evidence(train: DataFrame) -> Evidence:
     )
     z = odds / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     found = (
-        _word_counts(train).where("word <> ''")
-        .select("word", "toxic", odds.alias("odds"), z.alias("z"))
-        .where("abs(z) > 2").orderBy(F.desc(F.abs("z")), "word").limit(WORDS_MOST).collect()
+        _word_counts(train).where(f"word <> '' and toxic + clean >= {LEAST_DOCUMENTS}")
+        .select("word", "toxic", odds.alias("odds"), z.alias("z")).where("abs(z) > 2").collect()
     )
     telling = [r.word for r in found if r.toxic >= LEAST_DOCUMENTS and r.odds >= LEAST_ODDS and r.z >= LEAST_Z]
     return Evidence({r.word: r.odds for r in found}, frozenset(telling))
@@ -128,26 +128,74 @@ def _tail(w: str) -> str:
     return "tail " + w[-4:]
 
 
-def _messages(score: np.ndarray, steps: np.ndarray, held: np.ndarray):
+def _messages(score: np.ndarray, steps: np.ndarray, held: np.ndarray, into=None, after=None):
     """Forward and backward messages of chains in columns; with two states each is one ratio.
 
     ``score`` is state 1's, state 0 has zero. ``steps`` is the 2 x 2 table of transition weights.
-    ``held`` marks real positions, which come first in each column.
+    ``held`` marks real positions, which come first in each column. ``into`` is the forward message
+    before a column's first position, ``after`` the backward one, with the weight of its position,
+    behind the last; both are nan where a chain begins or ends.
     """
     e, m = np.where(held, np.exp(np.clip(score, -30, 30)), 1.0), np.exp(steps)
     ahead, back = np.empty_like(e), np.ones_like(e)
     ahead[0] = e[0]
+    if into is not None:
+        on = ~np.isnan(into)
+        ahead[0, on] = e[0, on] * (m[0, 1] + into[on] * m[1, 1]) / (m[0, 0] + into[on] * m[1, 0])
+        size, on = held.sum(0), ~np.isnan(after)
+        back[size[on] - 1, on] = (m[1, 0] + after[on] * m[1, 1]) / (m[0, 0] + after[on] * m[0, 1])
     for t in range(1, len(e)):
         ahead[t] = e[t] * (m[0, 1] + ahead[t - 1] * m[1, 1]) / (m[0, 0] + ahead[t - 1] * m[1, 0])
     for t in range(len(e) - 2, -1, -1):
-        after = e[t + 1] * back[t + 1]
-        back[t] = np.where(held[t + 1], (m[1, 0] + after * m[1, 1]) / (m[0, 0] + after * m[0, 1]), 1.0)
+        ahead_of = e[t + 1] * back[t + 1]
+        back[t] = np.where(held[t + 1], (m[1, 0] + ahead_of * m[1, 1]) / (m[0, 0] + ahead_of * m[0, 1]), back[t])
     return e, m, ahead, back
 
 
-def marginals(score: np.ndarray, steps: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """Probability of state 1 at each position."""
-    _, _, ahead, back = _messages(score, steps, held)
+def _through(e: np.ndarray, m: np.ndarray, held: np.ndarray, onward: bool) -> np.ndarray:
+    """What each column does to a message that passes it: 2 x 2 tables (scaled), in reading order or against it."""
+    table = np.broadcast_to(np.eye(2)[:, :, None], (2, 2, e.shape[1])).copy()
+    own = m.T if onward else m
+    for t in range(len(e)) if onward else range(len(e) - 1, -1, -1):
+        new = np.stack([own[0, 0] * table[0] + own[0, 1] * table[1], e[t] * (own[1, 0] * table[0] + own[1, 1] * table[1])])
+        new /= new.max((0, 1))
+        table = np.where(held[t], new, table)
+    return table
+
+
+def joined_messages(score: np.ndarray, steps: np.ndarray, held: np.ndarray, place: np.ndarray):
+    """Messages of long chains cut into columns: ``place`` numbers a chain's columns from 0.
+
+    A chain's columns follow one another. Each column's effect on a message is one table, so what
+    reaches a column's edge is found column by column and not position by position.
+    """
+    into, after = np.full(len(place), np.nan), np.full(len(place), np.nan)
+    if place.max(initial=0):
+        e, m = np.where(held, np.exp(np.clip(score, -30, 30)), 1.0), np.exp(steps)
+        ends = np.r_[place[1:] == 0, True]
+        tables, first = _through(e, m, held, True), _messages(score[:, place == 0], steps, held[:, place == 0])
+        leaving = np.zeros(len(place))
+        leaving[place == 0] = first[2][-1]  # padding is none: a column before another one is full
+        for k in range(1, place.max() + 1):
+            at = np.flatnonzero(place == k)
+            into[at] = leaving[at - 1]
+            t = tables[:, :, at]
+            leaving[at] = (t[1, 0] + t[1, 1] * into[at]) / (t[0, 0] + t[0, 1] * into[at])
+        tables = _through(e, m, held, False)
+        ended = _messages(score[:, ends], steps, held[:, ends])
+        entering = np.zeros(len(place))
+        entering[ends] = ended[0][0] * ended[3][0]
+        for k in range(place.max() - 1, -1, -1):
+            at = np.flatnonzero((place == k) & ~ends)
+            after[at] = entering[at + 1]
+            t = tables[:, :, at]
+            entering[at] = (t[1, 0] + t[1, 1] * after[at]) / (t[0, 0] + t[0, 1] * after[at])
+    return _messages(score, steps, held, into, after)
+
+
+def marginals(score: np.ndarray, steps: np.ndarray, held: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Probability of state 1 at each position of chains that may run over several columns."""
+    _, _, ahead, back = joined_messages(score, steps, held, place)
     both = ahead * back
     return both / (1 + both)
 
@@ -197,12 +245,13 @@ class Field:
         grid = np.zeros((min(CHAIN, sizes.max()), chains.sum()))
         held = np.zeros(grid.shape, bool)
         grid[at % CHAIN, column], held[at % CHAIN, column] = score, True
-        p = marginals(grid, self.steps, held)[at % CHAIN, column]
+        place = np.arange(chains.sum()) - np.repeat(np.cumsum(chains) - chains, chains)
+        p = marginals(grid, self.steps, held, place)[at % CHAIN, column]
         return np.split(p, np.cumsum(sizes)[:-1])
 
 
 def _chains(train: DataFrame, known: Evidence):
-    """A bounded sample of chains with their labels, even over chains with and without telling words."""
+    """A bounded sample of runs of words with their labels, even over runs with and without telling words."""
 
     def make():
         def step(batch):
@@ -218,11 +267,15 @@ def _chains(train: DataFrame, known: Evidence):
 
         return step
 
-    all_ = map_rows(train.select("text", "y"), make, "words array<string>, toxic boolean")
-    return [
-        r for side in (True, False)
-        for r in all_.where(F.col("toxic") == side).orderBy(F.xxhash64("words"), "words").limit(CHAINS_MOST).collect()
-    ]
+    all_ = map_rows(train.select("text", "y"), make, "words array<string>, toxic boolean").distinct()
+    many = {r.toxic: r["count"] for r in all_.groupBy("toxic").count().collect()}
+    drawn = F.pmod(F.xxhash64("words"), F.lit(RANGE)) < F.when(F.col("toxic"), _share(many.get(True), CHAINS)).otherwise(_share(many.get(False), CHAINS))
+    return sorted(all_.where(drawn).collect(), key=lambda r: (r.toxic, r.words))
+
+
+def _share(many: int | None, most: int) -> int:
+    """Hash values below this draw about ``most`` of so many."""
+    return int(min(1.0, most / max(1, many or 0)) * RANGE)
 
 
 def fit_field(train: DataFrame, known: Evidence) -> Field:
@@ -307,8 +360,10 @@ def _signals(peak, mass, log, greatest, least):
 
 
 def _logistic(sample) -> np.ndarray:
-    """Weights of the two signals and a constant, by Newton steps with a small ridge."""
-    peak, mass, y = np.array([[r.peak, r.mass, r.y] for r in sample], float).T
+    """Weights of the two signals and a constant, by Newton steps with a small ridge; zeros without rows."""
+    if not sample:
+        return np.zeros(3)
+    peak, mass, y = np.array(sorted([r.peak, r.mass, r.y] for r in sample), float).T
     x = np.stack([*_signals(peak, mass, np.log, np.maximum, np.minimum), np.ones(len(y))], 1)
     w = np.zeros(3)
     for _ in range(30):
@@ -321,20 +376,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted, n_spans, spans`` for each row of ``doc_id, text``.
 
     Learns from rows of ``labels (doc_id, toxic)`` whose fold is not 0; null labels are passed
-    over. Empty texts get the score of a document without toxic words, a null doc_id is not
+    over, and of several labels of one doc_id the larger counts. Empty texts get the score of a document without toxic words, a null doc_id is not
     held out, repeated rows are scored each. Without training rows every score is 0.5.
     """
-    docs = docs.select("doc_id", "text")
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     marks = labels.where("doc_id is not null and toxic in (0, 1)").where(folds("doc_id", 5) != 0)
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("y"))
-    train = land(docs.join(marks, "doc_id"), "train")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(RANGE)) < _share(marks.count(), DOCUMENTS)
+    marks = F.broadcast(land(marks.where(drawn), "marks"))  # about DOCUMENTS pairs of numbers
+    train = land(docs.join(marks, "doc_id").dropDuplicates(["doc_id", "text"]), "train")
     known = evidence(train)
-    field = Shared(docs.sparkSession, fit_field(train, known))
-    seen = land(toxic_spans(docs, field), "spans")
-    sample = (
-        seen.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCUMENTS_MOST).select("peak", "mass", "y").collect()
-    )
-    w = _logistic(sample) if sample else np.zeros(3)
+    field = fit_field(train, known)
+    shared = Shared(spark, field)
+    w = _logistic(toxic_spans(train, shared).join(marks, "doc_id").select("peak", "mass", "y").collect())
+    seen = toxic_spans(docs, shared)
     a, b = _signals(F.col("peak"), F.col("mass"), F.log, lambda c, v: F.greatest(c, F.lit(v)), lambda c, v: F.least(c, F.lit(v)))
     score = 1 / (1 + F.exp(-(a * float(w[0]) + b * float(w[1]) + float(w[2]))))
     return seen.select(

@@ -142,6 +142,32 @@ def test_chain_marginals_against_enumeration():
     assert np.allclose(p[:, 0], weight / total) and np.allclose(expected, steps_seen / total)
 
 
+def test_marginals_of_chains_over_several_columns():
+    draw = np.random.default_rng(7)
+    steps = draw.normal(size=(2, 2))
+    for sizes in ([10], [3, 4, 5], [1, 9, 4, 2, 30]):
+        score, high = [draw.normal(size=n) * 3 for n in sizes], 4
+        columns = [(s[k : k + high], k // high) for s in score for k in range(0, len(s), high)]
+        grid, held = np.zeros((high, len(columns))), np.zeros((high, len(columns)), bool)
+        for k, (part, _) in enumerate(columns):
+            grid[: len(part), k], held[: len(part), k] = part, True
+        got = toxicity.marginals(grid, steps, held, np.array([place for _, place in columns]))
+        cut = np.concatenate([got[: len(part), k] for k, (part, _) in enumerate(columns)])
+        whole = [toxicity.marginals(s[:, None], steps, np.ones((len(s), 1), bool), np.zeros(1, int))[:, 0] for s in score]
+        assert np.allclose(cut, np.concatenate(whole), atol=1e-12)
+
+
+def test_word_evidence_counts_all_documents(spark):
+    draw = random.Random(9)
+    found = [(" ".join(draw.choice(["a", "B.", "c", "vile" if y else "mild", "d"]) for _ in range(6)), y) for y in [0, 1] * 100]
+    known = toxicity.evidence(spark.createDataFrame(found, "text string, y long").repartition(7))
+    sides = [[{toxicity.plain(w) for w in t.split()} for t, y in found if y == k] for k in (0, 1)]
+    for word, odds in known.odds.items():
+        (clean, n), (toxic, m) = ((sum(word in d for d in side), len(side)) for side in sides)
+        assert abs(odds - np.log((toxic + 0.5) / (m + 1.5 - toxic)) + np.log((clean + 0.5) / (n + 1.5 - clean))) < 1e-9
+    assert known.telling == {"vile"} and {"vile", "mild"} <= set(known.odds)
+
+
 def test_decontamination(spark, odd, nothing):
     item = words_of(50, 30)
     edited = item[:6] + ["new"] + item[6:14] + item[15:22] + ["other"] + item[23:]
