@@ -75,7 +75,7 @@ def alarm_stream_job(
     gap_ms: int = SILENCE_MS,
     strict: bool = True,
     trigger: str | None = None,
-    forget_after_ms: int | None = None,
+    ttl_ms: int | None = None,
 ) -> StreamingQuery:
     """The whole job on a stream of lines. Sessions go on from one micro-batch to the next."""
     return session_stream(
@@ -88,5 +88,5 @@ def alarm_stream_job(
         gap_ms,
         name="alarms",
         trigger=trigger,
-        forget_after_ms=forget_after_ms,
+        ttl_ms=ttl_ms,
     )

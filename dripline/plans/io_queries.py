@@ -17,8 +17,10 @@ from dripline.plans.keyed_queries import ALARM_SQL, SESSION_SQL, START_TEXT_SQL
 from dripline.plans.registry import Tables, query
 from dripline.plans.sqljob import run_sql_job
 from dripline.session import scratch
-from dripline.sinks import batches, files, remote, subtables
+from dripline.sinks import batches, files, remote, stores, subtables
 from dripline.sinks.jdbc import numbered
+from dripline.sinks.upserts import UpsertTable
+from dripline.sources import polled
 from dripline.sources.polling import Poller
 from dripline.sources.synthetic import with_synthetic
 from dripline.streaming import carried
@@ -28,25 +30,34 @@ from dripline.streaming import carried
 SLICES = 4
 
 
-def _slice_of(df: DataFrame, arrival: Column) -> Column:
-    """The slice a row arrives in: equal shares of the rows in arrival order, a missing one first."""
+#: Rows of a file that a slice is written to.
+FILE_ROWS = 1_000_000
+
+
+def _slices(df: DataFrame, arrival: Column) -> tuple[Column, int]:
+    """The slice a row arrives in (equal shares of the rows in arrival order, a missing one first), and all rows."""
     shares = [k / SLICES for k in range(1, SLICES)]
-    cuts = df.agg(F.percentile_approx(arrival, shares).alias("cuts")).first().cuts or []
-    return sum((F.coalesce(arrival > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    seen = df.agg(F.percentile_approx(arrival, shares).alias("cuts"), F.count(F.lit(1)).alias("n")).first()
+    return sum((F.coalesce(arrival > cut, F.lit(False)).cast("int") for cut in seen.cuts or []), F.lit(0)), seen.n
 
 
 def _feed(t: Tables, df: DataFrame, arrival: Column, name: str, start, closing: DataFrame | None = None) -> str:
-    """Feed rows to a stream slice by slice in arrival order; each start goes on from the checkpoint.
+    """Run a stream over the slices of a table, a micro-batch each; ``closing`` comes last.
 
-    A start takes what is new as one micro-batch, however many files hold it. ``closing`` comes last.
+    Slices are written one after another with the same number of files, which a micro-batch takes
+    at a time, oldest first.
     """
     folder = scratch(t.spark, name)
-    number = _slice_of(df, arrival)
-    for part in [*(df.filter(number == k) for k in range(SLICES)), *([] if closing is None else [closing])]:
-        part.write.mode("append").parquet(f"{folder}/in")
-        query_ = start(t.spark.readStream.schema(df.schema).parquet(f"{folder}/in"), folder)
-        query_.awaitTermination()
-        windows.refuse_dropped(query_)
+    number, rows_ = _slices(df, arrival)
+    files_ = -(-rows_ // (SLICES * FILE_ROWS)) or 1
+    for k in range(SLICES):
+        df.filter(number == k).repartition(files_).write.mode("append").parquet(f"{folder}/in")
+    if closing is not None:
+        closing.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_).parquet(f"{folder}/in")
+    query_ = start(stream, folder)
+    query_.awaitTermination()
+    windows.refuse_dropped(query_)
     return folder
 
 
@@ -62,7 +73,7 @@ def _run(t: Tables, df: DataFrame, arrival: Column, name: str, start) -> DataFra
 
 def _disorder_ms(df: DataFrame, arrival: Column) -> int:
     """How far rows of a later slice may lie behind those of an earlier one."""
-    number = _slice_of(df, arrival).alias("number")
+    number = _slices(df, arrival)[0].alias("number")
     spans = df.groupBy(number).agg(F.min("ms").alias("lo"), F.max("ms").alias("hi")).orderBy("number").collect()
     behind, seen = 0, None
     for span in spans:
@@ -196,6 +207,27 @@ def stream_session_windows(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "stream_closed_sessions",
+    SESSION_SQL.format(arrival="epoch_us(ts) // 1000", where="")
+    + """SELECT user_id, start_ms AS session_start_ms, max(ms) AS session_end_ms, count(*) AS row_count
+         FROM s GROUP BY user_id, start_ms""",
+)
+def stream_closed_sessions(t: Tables) -> DataFrame:
+    """Sessions as their timers give them out, fed out of order; a last row without user ends all others."""
+    df = _timed(t).select("event_id", "user_id", "ms")
+    delay = _disorder_ms(df, F.col("event_id"))
+    end = (F.coalesce(F.max("ms"), F.lit(0)) + F.lit(delay + 2 * SIX_HOURS_MS)).alias("ms")
+    closing = df.agg(end).select(F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"), "ms")
+
+    def start(stream: DataFrame, folder: str):
+        closed = carried.closed_sessions(stream, ["user_id"], "ms", SIX_HOURS_MS, delay)
+        return carried.start_batches(closed, batches.batch_folders(f"{folder}/out"), folder, "closed-sessions")
+
+    folder = _feed(t, df, F.col("event_id"), "stream-closed", start, closing)
+    return batches.read_batches(t.spark, f"{folder}/out")
+
+
 BUCKET_SQL = """
 SELECT strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr, count(*) AS row_count FROM events GROUP BY 1, 2
 """
@@ -355,6 +387,67 @@ def incremental_poll_next(t: Tables) -> DataFrame:
     return _orders_poller(t, False).after(t.spark).agg(F.max("o_orderdate").alias("next_mark"))
 
 
+def _polled_in_turns(t: Tables, inclusive: bool) -> DataFrame:
+    """Orders that come in by date in several turns; a poll after each starts anew from its checkpoint.
+
+    For the inclusive form some rows of a turn's last day come with the next turn.
+    """
+    folder = scratch(t.spark, "polled")
+    orders = t.orders.select("o_orderkey", "o_orderdate").where("o_orderdate is not null")
+    day = F.unix_date(F.col("o_orderdate").cast("date"))
+    turn = day * 2 + (F.pmod("o_orderkey", F.lit(2)) if inclusive else F.lit(0))
+    cuts = orders.agg(F.percentile_approx(day, [0.3, 0.6]).alias("cuts")).first().cuts or []
+    edges = [None, *(2 * c for c in cuts), None]
+    for low, high in zip(edges, edges[1:]):
+        part = orders if low is None else orders.where(turn > low)
+        part = part if high is None else part.where(turn <= high)
+        part.write.mode("append").parquet(f"{folder}/table")
+        stream = polled.polled(
+            t.spark, f"{folder}/table", orders.schema, "o_orderdate", "1993-01-01", inclusive, ("o_orderkey",)
+        )
+        carried.start_batches(stream, batches.batch_folders(f"{folder}/out"), folder, "polled-orders").awaitTermination()
+    return batches.read_batches(t.spark, f"{folder}/out")
+
+
+TURNS_SQL = "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate {} TIMESTAMP '1993-01-01'"
+
+
+@query("stream_polled_table", TURNS_SQL.format(">"))
+def stream_polled_table(t: Tables) -> DataFrame:
+    return _polled_in_turns(t, False)
+
+
+@query("stream_polled_table_inclusive", TURNS_SQL.format(">="))
+def stream_polled_table_inclusive(t: Tables) -> DataFrame:
+    return _polled_in_turns(t, True)
+
+
+@query(
+    "doc_upsert_batches",
+    """SELECT 'user_events' AS index, user_id || '_' || event_type AS id,
+              '{"event_id":' || max(event_id) || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' AS body
+       FROM events GROUP BY user_id, event_type""",
+)
+def doc_upsert_batches(t: Tables) -> DataFrame:
+    """Documents whose ids come again in later batches, each batch written again before the next."""
+    writes = t.events.select("event_id", "user_id", "event_type")
+    ids, order = ["user_id", "event_type"], ["event_id"]
+
+    def start(stream: DataFrame, folder: str):
+        store = stores.document_table("user_events", ids, order, f"{folder}/table", buckets=16)
+
+        def twice(batch: DataFrame, batch_id: int) -> None:
+            with batches.kept(batch) as held:
+                store(held, batch_id)
+                store(held, batch_id)
+
+        return carried.start_batches(stream, twice, folder, "upserts")
+
+    folder = _feed(t, writes, F.col("event_id"), "upserts", start)
+    table = UpsertTable(f"{folder}/table", ["index", "id"], order, 16).read(t.spark)
+    return table.select("index", "id", "body")
+
+
 SYNTHETIC_SQL = """
 SELECT CAST(event_id AS INTEGER) AS f_sequence,
        CAST((event_id % 2147483648 * 1103515245 + 12345) % 2147483648 % 1000000 + 1 AS INTEGER) AS f_random,

@@ -27,6 +27,7 @@ from dripline.sinks.batches import Sink, kept
 from dripline.sinks.factory import batch_sink
 from dripline.sinks.files import start_hour_buckets, with_hour_buckets
 from dripline.sinks.jdbc import jdbc_table
+from dripline.sources.polled import polled
 from dripline.sources.polling import Poller, start_polling, start_scanning
 from dripline.sources.readers import open_source
 from dripline.streaming.carried import running_total_stream, start_batches
@@ -126,7 +127,7 @@ def pump_alarms(j: Job) -> StreamingQuery:
         int(j.settings.get("gap_ms", alarms.SILENCE_MS)),
         j.strict,
         j.trigger,
-        j.settings.get("forget_after_ms"),
+        j.settings.get("ttl_ms"),
     )
 
 
@@ -198,10 +199,13 @@ def order_rows(j: Job) -> StreamingQuery:
 
 @job
 def order_documents(j: Job) -> StreamingQuery:
-    """Order events to a document index, the last write per id."""
-    sink = stores.document_sink(
-        j.settings.get("index", "order_events"), ["orderId", "timestamp"], ["timestamp", "userId"], j.sink()
-    )
+    """Order events to a document index, the last write per id: a sink that keeps ids settles it over all batches."""
+    named = j.settings.get("index", "order_events"), ["orderId", "timestamp"], ["timestamp", "userId"]
+    where = j._block(j.settings["sink"])
+    if where.get("kind") == "upserts":
+        sink = stores.document_table(*named, where["path"], int(where.get("buckets", stores.BUCKETS)))
+    else:
+        sink = stores.document_sink(*named, j.sink())
     return j.start(_orders(j), sink)
 
 
@@ -285,17 +289,17 @@ def known_rows(j: Job) -> StreamingQuery:
 
 @job
 def poll_table(j: Job) -> StreamingQuery:
-    """New rows of a JDBC table or a folder, by a mark that only grows."""
+    """New rows of a folder or a JDBC table, by a mark that only grows."""
     where = j._block(j.settings["source"])
+    inclusive, unique = bool(where.get("inclusive", False)), tuple(where.get("unique", ()))
+    if where.get("kind") == "parquet":
+        schema = j.spark.read.parquet(where["path"]).schema
+        return j.start(polled(j.spark, where["path"], schema, where["column"], str(where["first"]), inclusive, unique))
 
     def read(spark: SparkSession) -> DataFrame:
-        if where.get("kind") == "parquet":
-            return spark.read.parquet(where["path"])
         return jdbc_table(spark, where, where["table"], where.get("split"))
 
-    poller = Poller(
-        read, where["column"], where["first"], bool(where.get("inclusive", False)), tuple(where.get("unique", ()))
-    )
+    poller = Poller(read, where["column"], where["first"], inclusive, unique)
     return start_polling(j.spark, poller, j.sink(), j.folder, j.trigger or "5 seconds", j.name)
 
 

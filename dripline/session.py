@@ -60,6 +60,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def files_of(spark: SparkSession, path: str):
+    """The file system a path is on, and the path as it takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: cheap to read again, safe to lose."""
     folder = scratch(df.sparkSession, name)

@@ -11,13 +11,17 @@ from dripline.sinks import remote, writers
 from dripline.sinks.batches import Sink, batch_folders
 from dripline.sinks.jdbc import jdbc_sink
 from dripline.sinks.subtables import BUCKETS, subtable_sink
+from dripline.sinks.upserts import BUCKETS as UPSERT_BUCKETS
+from dripline.sinks.upserts import UpsertTable
 
 
 def batch_sink(settings: dict[str, Any]) -> Sink:
-    """``folders``, ``subtables``, ``jdbc``, ``http``, ``kafka`` or ``console``."""
+    """``folders``, ``upserts``, ``subtables``, ``jdbc``, ``http``, ``kafka`` or ``console``."""
     kind = settings.get("kind")
     if kind == "folders":
         return batch_folders(settings["path"])
+    if kind == "upserts":
+        return UpsertTable(settings["path"], list(settings["keys"]), list(settings["order"]), int(settings.get("buckets", UPSERT_BUCKETS))).write
     if kind == "subtables":
         return subtable_sink(settings["path"], int(settings.get("buckets", BUCKETS)))
     if kind == "jdbc":
@@ -31,7 +35,7 @@ def batch_sink(settings: dict[str, Any]) -> Sink:
         return _kafka(settings)
     if kind == "console":
         return writers.console_sink(settings.get("prefix"), settings.get("rows"))
-    raise ValueError(f"unknown sink {kind!r}: use folders, subtables, jdbc, http, kafka or console")
+    raise ValueError(f"unknown sink {kind!r}: use folders, upserts, subtables, jdbc, http, kafka or console")
 
 
 def _kafka(settings: dict[str, Any]) -> Sink:

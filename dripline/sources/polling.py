@@ -11,11 +11,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dripline.streaming.versions import VersionedTable
+from dripline.sinks.batches import batch_folders
 
 
 @dataclass(frozen=True)
@@ -59,21 +60,23 @@ def start_polling(
 ) -> StreamingQuery:
     """Poll at each tick of a clock stream; ``sink(rows, batch_id)`` takes what is new.
 
-    The range of a batch is written down before its rows are read, so a batch that is
-    repeated after a failure reads the same range again. Ranges and the clock's
-    checkpoint live in ``folder``, which must be shared.
+    For stores that only Spark's readers reach; files are better polled by ``polled``. The range
+    of a batch is written down before its rows are read, so a batch that is repeated after a
+    failure reads the same range again. Ranges and the clock's checkpoint live in ``folder``,
+    which must be shared.
     """
-    marks = VersionedTable(f"{folder}/marks")
+    marks, write = f"{folder}/marks", batch_folders(f"{folder}/marks")
+
+    def at(batch_id: int):
+        return spark.read.parquet(f"{marks}/batch_id={batch_id}").first()
 
     def poll(_: DataFrame, batch_id: int) -> None:
-        before = marks.before(spark, batch_id)
-        low = before.first()["high"] if before is not None else poller.first
-        written = marks.at(spark, batch_id)
-        if written is None:
+        low = at(batch_id - 1)["high"] if batch_id else poller.first
+        try:
+            low, high = at(batch_id)
+        except AnalysisException:  # the first try of this batch
             high = poller.next_mark(spark, low)
-            marks.write(spark.createDataFrame([(low, high)], ["low", "high"]), batch_id)
-        else:
-            low, high = written.first()
+            write(spark.createDataFrame([(low, high)], ["low", "high"]), batch_id)
         if high != low or poller.inclusive:
             sink(poller.after(spark, low, high), batch_id)
 

@@ -1,29 +1,33 @@
-"""Keyed streaming jobs that carry a little state from one micro-batch to the next.
+"""Keyed streaming operators on Spark's own state store.
 
-Each micro-batch runs the batch operator, so a busy key is split over many tasks here
-too. What earlier batches leave behind is one row per key (last time and session start,
-total so far, greatest time so far). It joins the next batch as a row ordered first:
-its order columns are NULL.
+``transformWithStateInPandas`` keeps one small value per key (last time and session start, total
+so far, greatest time so far) in the session's state store (RocksDB, see ``session.SETTINGS``),
+versioned and recovered with the query's checkpoint. A key's rows of a micro-batch are sorted by
+their arrival columns and folded as whole arrays, so a busy key costs one pass of numpy over its
+rows; what a micro-batch may hold (``max.rows``, ``maxFilesPerTrigger``) bounds what a task holds.
 
-State is kept per batch (see ``KeyedState``), of which a batch reads the keys it has and
-writes those back. Sinks get the batch number, so a repeated batch gives the same rows in
-the same place.
+``closed_sessions`` keeps the open sessions of a key and a timer for the first that can end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from dripline.operators import keyed
-from dripline.operators.skew import FLOOR_ROWS
-from dripline.sinks.batches import Sink, kept
-from dripline.streaming.versions import KeyedState
+from dripline.functions import times
+from dripline.sinks.batches import Sink
 
-CARRIED = "_carried"
+#: A value folded over a key's sorted rows: the new column, and the state that is left.
+Fold = Callable[[pd.DataFrame, tuple | None], tuple[np.ndarray, tuple]]
+_HAS = "_has_"
+_EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def start_batches(
@@ -32,136 +36,218 @@ def start_batches(
     folder: str,
     name: str,
     trigger: str | None = None,
+    ttl_ms: int | None = None,
 ) -> StreamingQuery:
-    """Run ``work`` on each micro-batch; without a trigger interval, on all there is now."""
+    """Run ``work`` on each micro-batch; without a trigger interval, on all there is now.
+
+    With a TTL Spark would go on with batches without rows for ever, to look for expired state; a
+    query that ends with its input does without them, and expired state is not seen all the same.
+    """
+    spark = stream.sparkSession
     writer = stream.writeStream.foreachBatch(work).queryName(name)
     writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
-    return (
-        writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
-    ).start()
+    if trigger:
+        return writer.trigger(processingTime=trigger).start()
+    before = spark.conf.get(_EMPTY_BATCHES)
+    spark.conf.set(_EMPTY_BATCHES, before if ttl_ms is None else "false")
+    try:
+        return writer.trigger(availableNow=True).start()  # takes the session's settings along
+    finally:
+        spark.conf.set(_EMPTY_BATCHES, before)
 
 
-def _carry_on(
-    stream: DataFrame,
-    keys: list[str],
-    order: list[str],
-    state: list[str],
-    apply: Callable[[DataFrame], DataFrame],
-    state_row: Callable[[], list[Column]],
-    sink: Sink,
-    folder: str,
-    name: str,
-    trigger: str | None,
-    prune: Callable[[DataFrame], DataFrame] | None = None,
-    full_every: int = 20,
-) -> StreamingQuery:
-    table = KeyedState(f"{folder}/state", keys, full_every)
-
-    def run(rows: DataFrame, batch_id: int) -> None:
-        with kept(rows.withColumn(CARRIED, F.lit(False))) as arrived:
-            before = table.of(arrived, batch_id)
-            known = arrived
-            if before is not None:
-                known = arrived.unionByName(before.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
-            with kept(apply(known)) as done:
-                inner = [CARRIED, *(s for s in state if s not in stream.columns)]
-                sink(done.filter(~F.col(CARRIED)).drop(*inner), batch_id)
-                # The last row per key in arrival order; a carried row is before all others.
-                last = F.max(F.struct(*order, *state_row()))
-                left = done.groupBy(*keys).agg(last.alias("_last"))
-                left = left.select(*keys, *(F.col("_last")[s].alias(s) for s in state))
-                table.write(left, batch_id, prune)
-
-    return start_batches(stream, run, folder, name, trigger)
+class _Folded(StatefulProcessor):
+    """Sorts a key's rows of a micro-batch and folds them onto what the key carries."""
 
+    def __init__(self, columns: list[str], by: list[str], out: str, state: str, fold: Fold, ttl_ms: int | None):
+        self.columns, self.by, self.out = columns, by, out
+        self.state, self.fold, self.ttl_ms = state, fold, ttl_ms
 
-def session_stream(
-    stream: DataFrame,
-    keys: list[str],
-    order: list[str],
-    ts: str,
-    sink: Sink,
-    folder: str,
-    gap_ms: int = 60_000,
-    out: str = "session_start_ms",
-    name: str = "sessions",
-    trigger: str | None = None,
-    forget_after_ms: int | None = None,
-    floor_rows: int = FLOOR_ROWS,
-    full_every: int = 20,
-) -> StreamingQuery:
-    """Stamp each row of a stream with its session's start.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.carried = handle.getValueState("carried", self.state, self.ttl_ms)
 
-    Arrival order within a micro-batch is ``order``; batches follow one another.
-    ``forget_after_ms`` drops keys silent for that long, measured in event time, whenever
-    the whole state is written (every ``full_every`` batches).
-    """
-    if forget_after_ms is not None and forget_after_ms < gap_ms:
-        raise ValueError("forget_after_ms below gap_ms would open sessions anew inside their gap")
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(rows, ignore_index=True)
+        found.columns = self.columns  # computed columns come in order, but may have lost their names
+        found = found.sort_values(self.by, kind="stable", na_position="first", ignore_index=True)
+        found[self.out], left = self.fold(found, self.carried.get())
+        self.carried.update(left)
+        yield found
 
-    def apply(rows: DataFrame) -> DataFrame:
-        opened = F.col("_open") if "_open" in rows.columns else None
-        return keyed.session_start(rows, keys, order, F.col(ts), gap_ms, out, floor_rows, opened)
+    def close(self) -> None:
+        pass
 
-    def state_row() -> list[Column]:
-        return [F.coalesce(ts, F.lit(0).cast("bigint")).alias(ts), F.col(out).alias("_open")]
 
-    def prune(left: DataFrame) -> DataFrame:
-        return left.filter(F.col(ts) >= left.agg(F.max(ts)).scalar() - forget_after_ms)
+def _with_state(
+    stream: DataFrame, keys: list[str], order: list[str], out: str, state: str, fold: Fold, ttl_ms: int | None
+) -> DataFrame:
+    """The stream with the folded column ``out`` (a whole number, never NULL).
 
-    return _carry_on(
-        stream, keys, order, [ts, "_open"], apply, state_row, sink, folder, name, trigger,
-        prune if forget_after_ms is not None else None, full_every,
+    Whole numbers cross to pandas without NULLs, each beside a column that says whether there
+    was one: pandas would turn them to floats. NULLs of the order columns are first.
+    """
+    whole = [f.name for f in stream.schema.fields if isinstance(f.dataType, T.IntegralType) and f.name not in keys]
+    marked = stream.select(
+        *(F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(stream.schema[c].dataType)).alias(c) if c in whole else F.col(f"`{c}`") for c in stream.columns),
+        *(F.col(f"`{c}`").isNotNull().alias(_HAS + c) for c in whole),
+    )
+    by = [b for c in order for b in ([_HAS + c, c] if c in whole else [c])]
+    schema = T.StructType([*marked.schema.fields, T.StructField(out, T.LongType())])
+    done = marked.groupBy(*(F.col(f"`{k}`") for k in keys)).transformWithStateInPandas(
+        _Folded(marked.columns, by, out, state, fold, ttl_ms), schema, "Append", "None" if ttl_ms is None else "ProcessingTime"
+    )
+    return done.select(
+        *(F.when(F.col(_HAS + c), F.col(f"`{c}`")).alias(c) if c in whole else F.col(f"`{c}`") for c in stream.columns), out
     )
 
 
-def running_total_stream(
-    stream: DataFrame,
-    keys: list[str],
-    order: list[str],
-    sink: Sink,
-    folder: str,
-    value: str | None = None,
-    out: str = "total",
-    name: str = "totals",
-    trigger: str | None = None,
-    floor_rows: int = FLOOR_ROWS,
-) -> StreamingQuery:
-    """The key's total so far on every row of a stream; counts rows when no value is given."""
+def _session_fold(ts: str, gap_ms: int) -> Fold:
+    def fold(found: pd.DataFrame, carried: tuple | None):
+        at = found[ts].to_numpy()
+        opens = np.r_[carried is None or at[0] - carried[0] > gap_ms, np.diff(at) > gap_ms]
+        last = np.maximum.accumulate(np.where(opens, np.arange(len(at)), -1))
+        start = np.where(last >= 0, at[last], 0 if carried is None else carried[1])
+        return start, (int(at[-1]), int(start[-1]))
 
-    def apply(rows: DataFrame) -> DataFrame:
-        own = F.col(value) if value else F.lit(1).cast("bigint")
-        amount = F.when(F.col(CARRIED), F.col("_total")).otherwise(own) if "_total" in rows.columns else own
-        return keyed.running_total(rows, keys, order, amount, out, floor_rows)
+    return fold
 
-    return _carry_on(
-        stream, keys, order, ["_total"], apply, lambda: [F.col(out).alias("_total")], sink, folder, name, trigger
+
+def session_starts(
+    stream: DataFrame, keys: list[str], order: list[str], ts: str, gap_ms: int = 60_000,
+    out: str = "session_start_ms", ttl_ms: int | None = None,
+) -> DataFrame:
+    """Stamp each row of a stream with its session's start.
+
+    Arrival order within a micro-batch is ``order``; batches follow one another. A missing time
+    counts as 0. A key silent for ``ttl_ms`` of processing time is forgotten; its next row opens a
+    session.
+    """
+    return _with_state(stream, keys, order, out, "last bigint, open bigint", _session_fold(ts, gap_ms), ttl_ms)
+
+
+def running_totals(
+    stream: DataFrame, keys: list[str], order: list[str], value: str | None = None, out: str = "total",
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """The key's total so far on every row of a stream; counts rows when no value (a whole number) is given."""
+
+    def fold(found: pd.DataFrame, carried: tuple | None):
+        own = np.ones(len(found), np.int64) if value is None else found[value].to_numpy(np.int64)
+        total = np.cumsum(own) + (0 if carried is None else carried[0])
+        some = (0 if carried is None else carried[1]) + (len(found) if value is None else np.cumsum(found[_HAS + value].to_numpy()))
+        left = (int(total[-1]), int(np.max(some)))
+        # A total of no values yet is marked by the least number and becomes NULL below.
+        return np.where(np.broadcast_to(some, len(total)) > 0, total, _NONE), left
+
+    done = _with_state(stream, keys, order, out, "total bigint, some bigint", fold, ttl_ms)
+    return done.withColumn(out, F.when(F.col(out) != _NONE, F.col(out)))
+
+
+_NONE = -(1 << 63)
+
+
+def late_marks(
+    stream: DataFrame, keys: list[str], order: list[str], ts: str, delay_ms: int = 1000, out: str = "is_late",
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Mark rows of a stream that arrive behind the key's watermark; a row without a time has no mark."""
+
+    def fold(found: pd.DataFrame, carried: tuple | None):
+        at = np.where(found[_HAS + ts].to_numpy(), found[ts].to_numpy(), _NONE)
+        seen = np.maximum.accumulate(np.maximum(at, _NONE if carried is None else carried[0]))
+        return seen, (int(seen[-1]),)
+
+    done = _with_state(stream, keys, order, "_seen", "seen bigint", fold, ttl_ms)
+    return done.withColumn(out, F.col(ts) < F.col("_seen") - delay_ms).drop("_seen")
+
+
+class _Closing(StatefulProcessor):
+    """Open sessions of a key, as starts, ends and numbers of rows; a timer stands for the earliest end."""
+
+    def __init__(self, keys: list[str], gap_ms: int):
+        self.keys, self.gap_ms = keys, gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "starts array<bigint>, ends array<bigint>, counts array<bigint>")
+
+    def _keep(self, sessions: list[tuple[int, int, int]]) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if sessions:
+            self.open.update(tuple(map(list, zip(*sessions))))
+            self.handle.registerTimer(min(end for _, end, _ in sessions) + self.gap_ms + 1)
+        else:
+            self.open.clear()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        at = np.sort(np.concatenate([part.iloc[:, len(self.keys)].to_numpy() for part in rows]))
+        cuts = np.flatnonzero(np.r_[True, np.diff(at) > self.gap_ms])
+        ends = np.r_[cuts[1:], len(at)]
+        found = [(int(at[a]), int(at[b - 1]), int(b - a)) for a, b in zip(cuts, ends)]
+        held = self.open.get()
+        merged: list[list[int]] = []
+        for start, end, n in sorted([*found, *(zip(*held) if held else [])]):
+            if merged and start - merged[-1][1] <= self.gap_ms:
+                merged[-1] = [merged[-1][0], max(merged[-1][1], end), merged[-1][2] + n]
+            else:
+                merged.append([start, end, n])
+        self._keep([tuple(m) for m in merged])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, held = timerValues.getCurrentWatermarkInMs(), self.open.get()
+        sessions = list(zip(*held)) if held else []
+        done = [s for s in sessions if s[1] + self.gap_ms < now]
+        self._keep([s for s in sessions if s[1] + self.gap_ms >= now])
+        if done:
+            named = {k: [v] * len(done) for k, v in zip(self.keys, key)}
+            start, end, n = zip(*done)
+            yield pd.DataFrame({**named, "session_start_ms": start, "session_end_ms": end, "row_count": n})
+
+    def close(self) -> None:
+        pass
+
+
+def closed_sessions(
+    stream: DataFrame, keys: list[str], ts: str, gap_ms: int = 60_000, delay_ms: int = 0
+) -> DataFrame:
+    """``keys, session_start_ms, session_end_ms, row_count`` of sessions, each given once it is over.
+
+    Sessions are in event time, rows may come ``delay_ms`` out of order. A session is over when the
+    watermark is more than ``gap_ms`` past its last row; then its timer gives it out and its state
+    goes. A missing time counts as 0, which is behind any watermark: Spark drops such rows as late.
+    """
+    timed = stream.select(*(F.col(f"`{k}`") for k in keys), F.coalesce(F.col(ts), F.lit(0).cast("bigint")).alias("_ms"))
+    timed = timed.withColumn("_time", times.as_time(F.col("_ms"))).withWatermark("_time", f"{delay_ms} milliseconds")
+    schema = T.StructType(
+        [*(stream.schema[k] for k in keys)]
+        + [T.StructField(n, T.LongType()) for n in ("session_start_ms", "session_end_ms", "row_count")]
+    )
+    return timed.groupBy(*(F.col(f"`{k}`") for k in keys)).transformWithStateInPandas(
+        _Closing(keys, gap_ms), schema, "Append", "EventTime"
     )
 
 
-def late_rows_stream(
-    stream: DataFrame,
-    keys: list[str],
-    order: list[str],
-    ts: str,
-    sink: Sink,
-    folder: str,
-    delay_ms: int = 1000,
-    out: str = "is_late",
-    name: str = "late",
-    trigger: str | None = None,
-    floor_rows: int = FLOOR_ROWS,
-) -> StreamingQuery:
-    """Mark rows of a stream that arrive behind the key's watermark."""
+def session_stream(
+    stream: DataFrame, keys: list[str], order: list[str], ts: str, sink: Sink, folder: str, gap_ms: int = 60_000,
+    out: str = "session_start_ms", name: str = "sessions", trigger: str | None = None, ttl_ms: int | None = None,
+) -> StreamingQuery:
+    """``session_starts`` into a sink."""
+    return start_batches(session_starts(stream, keys, order, ts, gap_ms, out, ttl_ms), sink, folder, name, trigger, ttl_ms)
 
-    def apply(rows: DataFrame) -> DataFrame:
-        seen = keyed.running_max(rows, keys, order, F.col(ts), "_seen", floor_rows)
-        return seen.withColumn(out, F.col(ts) < F.col("_seen") - delay_ms)
 
-    def state_row() -> list[Column]:
-        return [F.col("_seen").alias(ts)]
+def running_total_stream(
+    stream: DataFrame, keys: list[str], order: list[str], sink: Sink, folder: str, value: str | None = None,
+    out: str = "total", name: str = "totals", trigger: str | None = None, ttl_ms: int | None = None,
+) -> StreamingQuery:
+    """``running_totals`` into a sink."""
+    return start_batches(running_totals(stream, keys, order, value, out, ttl_ms), sink, folder, name, trigger, ttl_ms)
 
-    def without_seen(df: DataFrame, batch_id: int) -> None:
-        sink(df.drop("_seen"), batch_id)
 
-    return _carry_on(stream, keys, order, [ts], apply, state_row, without_seen, folder, name, trigger)
+def late_rows_stream(
+    stream: DataFrame, keys: list[str], order: list[str], ts: str, sink: Sink, folder: str, delay_ms: int = 1000,
+    out: str = "is_late", name: str = "late", trigger: str | None = None, ttl_ms: int | None = None,
+) -> StreamingQuery:
+    """``late_marks`` into a sink."""
+    return start_batches(late_marks(stream, keys, order, ts, delay_ms, out, ttl_ms), sink, folder, name, trigger, ttl_ms)

@@ -1,6 +1,7 @@
 """Sources, sinks, settings and SQL jobs."""
 
 import json
+import random
 import time
 
 import pytest
@@ -10,8 +11,9 @@ from dripline import config, session
 from dripline.functions import cells
 from dripline.operators import rows
 from dripline.plans import etl, sqljob
-from dripline.sinks import batches, files, jdbc, remote, stores, subtables, writers
-from dripline.sources import kafka, polling, readers, synthetic
+from dripline.sinks import batches, files, jdbc, remote, stores, subtables, upserts, writers
+from dripline.sources import kafka, polled, polling, readers, synthetic
+from dripline.streaming.carried import start_batches
 from test_rows import PUMP
 
 KAFKA = {"bootstrap.servers": "h1:9092,h2:9092", "topic": "t1, t2", "group.id": "g", "auto.offset.reset": "earliest"}
@@ -384,17 +386,84 @@ def test_young_users(spark):
     assert sorted(r.age for r in etl.young_users(df).collect()) == [8, 29]
 
 
-def test_console_and_memory_sinks(spark, capfd, tmp_path):
+def test_console_and_memory_sinks(spark, capsys, monkeypatch, tmp_path):
     writers.write_sink(spark.range(2), {"sink": "memory", "name": "kept_rows"})
     assert spark.table("kept_rows").count() == 2
     spark.range(2).write.parquet(str(tmp_path / "in"))
-    stream = readers.parquet_rows(spark, str(tmp_path / "in"))
-    writers.start_sink(stream, {"sink": "console", "prefix": "side:>", "trigger": "available_now"}, "shown").awaitTermination()
-    assert "side:>" in capfd.readouterr().out
+    stream, log = readers.parquet_rows(spark, str(tmp_path / "in")), str(tmp_path / "log")
+
+    # A task's prints go to the log of its executor, here to a file.
+    def to_file(lines, prefix=None):
+        with open(log, "a") as out:
+            out.writelines(f"{prefix}> {line}\n" for line in lines)
+
+    monkeypatch.setattr(writers, "print_lines", to_file)
+    writers.start_sink(stream, {"sink": "console", "prefix": "side:", "trigger": "available_now"}, "shown").awaitTermination()
+    assert sorted((tmp_path / "log").read_text().split("\n")) == ["", 'side:> {"id":0}', 'side:> {"id":1}']
+    monkeypatch.undo()
+    writers.print_lines(iter(["a", "b"]), "side:")
+    writers.print_lines(iter(["c"]))
+    assert capsys.readouterr().out == "side:> a\nside:> b\nc\n"
     with pytest.raises(ValueError, match="unknown sink"):
         writers.write_sink(spark.range(1), {"sink": "pigeon"})
 
 
+def test_upserts_over_batches(spark, tmp_path):
+    """Ids over several batches, one batch cut off and two repeated; replaced folders go, NULL ids are one id."""
+    table, want, rng = upserts.UpsertTable(str(tmp_path / "t"), ["k"], ["n"], buckets=4), {}, random.Random(6)
+    assert table.read(spark) is None
+    for batch_id in range(6):
+        rows = [(rng.choice(["a", "b", "c", "d", None]), rng.randrange(9), f"{batch_id}-{k}") for k in range(rng.randrange(4))]
+        df = spark.createDataFrame(rows, "k string, n int, v string")
+        if batch_id == 3:
+            with pytest.raises(Exception):
+                table.write(df.withColumn("v", F.raise_error(F.lit("lost"))), batch_id)
+            assert {r.k: r.v for r in table.read(spark).collect()} == want
+        table.write(df, batch_id)
+        if batch_id % 2:
+            table.write(df, batch_id)
+        for k in {r[0] for r in rows}:
+            want[k] = max((n, v) for key, n, v in rows if key == k)[1]
+        got = table.read(spark)
+        assert got is None and not want or {r.k: r.v for r in got.collect()} == want and got.count() == len(want)
+    assert len(list((tmp_path / "t" / "manifests").iterdir())) <= 2
+    live = {r.written for r in spark.read.parquet(str(tmp_path / "t" / "manifests" / "batch=5")).where("bucket >= 0").collect()}
+    held = {int(p.parent.name.split("=")[1]) for p in (tmp_path / "t" / "rows").glob("batch=*/bucket=*")}
+    assert live <= held and len(held - live) <= 2
+    with pytest.raises(ValueError, match="follow one another"):
+        table.write(spark.createDataFrame([("a", 1, "x")], "k string, n int, v string"), 9)
+    with pytest.raises(ValueError, match="4 buckets"):
+        upserts.UpsertTable(str(tmp_path / "t"), ["k"], ["n"], buckets=8).read(spark)
+
+
+def test_polled_table(spark, tmp_path):
+    """Polls of a growing folder, each started anew: late rows on the mark are lost when strict and taken once when inclusive."""
+    turns = [[(1, 5, "a"), (2, 6, "b"), (3, 7, "c")], [(4, 7, "d"), (5, 9, "e")], [], [(6, 9, "f"), (7, 9, None), (8, None, "x"), (9, 12, "z")]]
+    for inclusive, want in ((False, [2, 3, 5, 9]), (True, [1, 2, 3, 4, 5, 6, 7, 9])):
+        at = f"{tmp_path}/{inclusive}"
+        for rows in turns:
+            if rows:
+                spark.createDataFrame(rows, "id int, m int, s string").coalesce(1).write.mode("append").parquet(f"{at}/in")
+            stream = polled.polled(spark, f"{at}/in", "s string, id int", "m", "5", inclusive, ("id",))
+            start_batches(stream, batches.batch_folders(f"{at}/out"), at, "polled").awaitTermination()
+        got = batches.read_batches(spark, f"{at}/out")
+        assert sorted(r.id for r in got.collect()) == want and got.columns == ["s", "id"]
+    with pytest.raises(Exception, match="ids"):
+        stream = polled.polled(spark, f"{at}/in", "id int", "m", "5", True)
+        start_batches(stream, batches.batch_folders(f"{at}/no"), f"{at}/no", "refused").awaitTermination()
+
+
+def test_polls_read_only_row_groups_past_the_mark(spark, tmp_path):
+    spark.range(100_000).repartitionByRange(4, "id").write.option("parquet.block.size", 20_000).parquet(str(tmp_path / "t"))
+    reader = polled.PolledReader({"path": str(tmp_path / "t"), "column": "id", "first": "-1"}, ["id"])
+    end = reader.latestOffset()
+    assert end == {"mark": 99_999, "ids": None}
+    every, some = reader.partitions(reader.initialOffset(), end), reader.partitions({"mark": 74_000, "ids": None}, end)
+    assert len({p.path for p in every}) == 4 and len({p.path for p in some}) <= 2
+    assert sum(b.num_rows for p in some for b in reader.read(p)) == 99_999 - 74_000
+    assert reader.partitions(end, end) == []
+
+
 class NamedSession:
     """The part of a session that names the shared folder and the master."""
 

@@ -1,6 +1,7 @@
 """Streams fed in several files: same rows as the batch form, also after a failure."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,6 @@ from dripline.operators import keyed, windows
 from dripline.plans import alarms
 from dripline.sinks import batches
 from dripline.streaming import carried
-from dripline.streaming.versions import KeyedState, VersionedTable
 from test_keyed import expected_sessions, made_rows
 from test_rows import PUMP
 
@@ -35,7 +35,7 @@ def test_sessions(spark, tmp_path, cuts):
     stream = feed(spark, str(tmp_path), rows, cuts)
     sink = batches.batch_folders(f"{tmp_path}/out")
     carried.session_stream(
-        stream, ["key"], ["seq"], "ts", sink, str(tmp_path), floor_rows=20, full_every=2
+        stream, ["key"], ["seq"], "ts", sink, str(tmp_path), ttl_ms=3_600_000
     ).awaitTermination()
     got = batches.read_batches(spark, f"{tmp_path}/out")
     assert set(got.columns) == {"key", "seq", "ts", "session_start_ms"}
@@ -47,11 +47,11 @@ def test_totals_and_late_rows(spark, tmp_path):
     rows = made_rows(12)
     df = spark.createDataFrame(rows, SCHEMA)
     for name, start, whole in (
-        ("totals", lambda s, sink, f: carried.running_total_stream(s, ["key"], ["seq"], sink, f, floor_rows=20),
+        ("totals", lambda s, sink, f: carried.running_total_stream(s, ["key"], ["seq"], sink, f),
          keyed.running_total(df, ["key"], ["seq"])),
         ("sums", lambda s, sink, f: carried.running_total_stream(s, ["key"], ["seq"], sink, f, value="ts"),
          keyed.running_total(df, ["key"], ["seq"], F.col("ts"))),
-        ("late", lambda s, sink, f: carried.late_rows_stream(s, ["key"], ["seq"], "ts", sink, f, floor_rows=20),
+        ("late", lambda s, sink, f: carried.late_rows_stream(s, ["key"], ["seq"], "ts", sink, f),
          keyed.late_rows(df, ["key"], ["seq"], F.col("ts"))),
     ):
         folder = str(tmp_path / name)
@@ -86,43 +86,46 @@ def test_restart_after_failure(spark, tmp_path, fail_after_write):
     assert len(got) == len(rows) and {r.seq: r.session_start_ms for r in got} == expected_sessions(rows)
 
 
-def test_forgetting_silent_keys(spark, tmp_path):
-    rows = [("old", 0, 1_000), ("new", 1, 10_000_000), ("new", 2, 10_000_001)]
-    stream = feed(spark, str(tmp_path), rows, [1, 2])
+def test_silent_keys_are_forgotten(spark, tmp_path):
+    """A key unheard of for the TTL starts anew; one heard of in time goes on."""
+    at, sink = str(tmp_path), batches.batch_folders(f"{tmp_path}/out")
+    for n, wait in ((0, 0), (1, 0), (2, 7)):
+        time.sleep(wait)
+        stream = feed(spark, at, [("a", n, 1000 + n)], [])
+        carried.session_stream(stream, ["key"], ["seq"], "ts", sink, at, ttl_ms=6_000 if wait else 60_000).awaitTermination()
+    got = {r.seq: r.session_start_ms for r in batches.read_batches(spark, f"{at}/out").collect()}
+    assert got == {0: 1000, 1: 1000, 2: 1000}
+    at, sink = f"{at}/short", batches.batch_folders(f"{at}/short-out")
+    for n, wait in ((0, 0), (1, 4)):
+        time.sleep(wait)
+        stream = feed(spark, at, [("a", n, 1000 + n)], [])
+        carried.session_stream(stream, ["key"], ["seq"], "ts", sink, at, ttl_ms=1_000).awaitTermination()
+    got = {r.seq: r.session_start_ms for r in batches.read_batches(spark, f"{tmp_path}/short-out").collect()}
+    assert got == {0: 1000, 1: 1001}
+
+
+def test_odd_rows_of_a_stream(spark, tmp_path):
+    """NULL keys, orders, times and large whole numbers, in columns beside the ones that are used."""
+    schema = "key string, seq bigint, ts bigint, big bigint, tags array<string>, m map<string,int>, s struct<a:int,b:string>"
+    far = 2**60 + 1
+    rows = [(None, 1, 5, far, ["x"], {"k": 1}, (1, None)), (None, None, 3, None, None, None, None), ("a", 2, None, far, [], {}, (None, "b")), ("a", 3, far, None, ["y", None], {"k": None}, (2, "c"))]
+    stream = feed(spark, str(tmp_path), rows, [1], schema)
     sink = batches.batch_folders(f"{tmp_path}/out")
-    carried.session_stream(
-        stream, ["key"], ["seq"], "ts", sink, str(tmp_path), forget_after_ms=3_600_000, full_every=2
-    ).awaitTermination()
-    assert [r.key for r in spark.read.parquet(f"{tmp_path}/state/version=2").collect()] == ["new"]
-
-
-def test_keyed_state(spark, tmp_path):
-    """Changes and full states over many batches, NULL keys among them, against a dict."""
-    state, want = KeyedState(str(tmp_path / "s"), ["k"], full_every=3), {}
-    rng = random.Random(3)
-    for n in range(8):
-        keys = rng.sample(["a", "b", "c", None], 2)
-        batch = spark.createDataFrame([(k,) for k in keys], "k string")
-        before = state.of(batch, n)
-        got = {r.k: r.v for r in before.collect()} if before is not None else {}
-        assert got == {k: want[k] for k in keys if k in want}
-        changed = spark.createDataFrame([(k, 10 * n) for k in keys], "k string, v int")
-        state.write(changed, n)
-        state.write(changed, n)
-        want.update({k: 10 * n for k in keys})
-    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["version=6", "version=7"]
-    assert {r.k: r.v for r in spark.read.parquet(str(tmp_path / "s" / "version=6")).collect()}.keys() == want.keys()
-
-
-def test_versions(spark, tmp_path):
-    table = VersionedTable(str(tmp_path / "v"))
-    assert table.before(spark, 0) is None and table.at(spark, 0) is None
-    for n in range(4):
-        table.write(spark.createDataFrame([(n,)], "n int"), n)
-    assert table.before(spark, 4).first().n == 3 and table.at(spark, 2).first().n == 2
-    assert table.at(spark, 1) is None
-    with pytest.raises(ValueError):
-        table.before(spark, 2)
+    carried.running_total_stream(stream, ["key"], ["seq"], sink, str(tmp_path), value="big").awaitTermination()
+    got = batches.read_batches(spark, f"{tmp_path}/out")
+    want = keyed.running_total(spark.createDataFrame(rows, schema).withColumn("at", F.coalesce("seq", F.lit(1.5))), ["key"], ["at"], F.col("big")).drop("at")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_sessions_are_closed_by_their_timers(spark, tmp_path):
+    """Sessions out of order within the delay, restarted after each file; the last one stays open."""
+    rows = [("a", 0, 1), ("b", 1, 10), ("a", 2, 100_000), ("a", 3, 60_001), ("b", 4, 300_000), (None, 5, 290_000), ("a", 6, 900_000), ("a", 7, 2_000_000)]
+    at, sink = str(tmp_path), batches.batch_folders(f"{tmp_path}/out")
+    for part in (rows[:4], rows[4:7], rows[7:]):
+        stream = feed(spark, at, part, [])
+        carried.start_batches(carried.closed_sessions(stream, ["key"], "ts", 60_000, 100_000), sink, at, "closed").awaitTermination()
+    got = {tuple(r) for r in batches.read_batches(spark, f"{at}/out").collect()}
+    assert got == {("a", 1, 100_000, 3), ("b", 10, 10, 1), (None, 290_000, 290_000, 1), ("b", 300_000, 300_000, 1), ("a", 900_000, 900_000, 1)}
 
 
 def test_alarm_job(spark, tmp_path):
