@@ -38,9 +38,8 @@ def _running(
     out: str,
     floor_rows: int,
 ) -> DataFrame:
-    position = F.col(order[0])
     data = df.withColumn("_value", value)
-    rows, busy_rows = with_chunks(data, keys, position, floor_rows)
+    rows, busy_rows = with_chunks(data, keys, order, floor_rows)
     here = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = busy_rows.groupBy(*keys, CHUNK).agg(fold(F.col("_value")).alias("_part"))
@@ -106,7 +105,6 @@ def session_start(
     out: str = "session_start_ms",
     floor_rows: int = FLOOR_ROWS,
     open_session: Column | None = None,
-    levels: int = 1,
 ) -> DataFrame:
     """Stamp each row with the time its session began.
 
@@ -116,11 +114,9 @@ def session_start(
 
     ``open_session`` is non-NULL on rows that stand for what came before this data: such a
     row, ordered first (its order columns are NULL), continues the session of that start.
-    ``levels`` is for order columns that are not a dense sequence (see ``with_chunks``).
     """
     forced = F.lit(None).cast("bigint") if open_session is None else open_session
     data = df.withColumn("_ts", F.coalesce(ts_ms, F.lit(0).cast("bigint"))).withColumn("_forced", forced)
-    position = F.col(order[0])
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     gap = F.col("_prev").isNull() | (F.col("_ts") - F.col("_prev") > gap_ms)
     opens = F.coalesce("_forced", F.when(gap, F.col("_ts")))
@@ -128,7 +124,7 @@ def session_start(
     # What the chunks of busy keys hand on: their first and last time, and the last
     # session opened inside them. The first row's own case is settled once the chunk
     # before it is known.
-    rows, busy_rows = with_chunks(data, keys, position, floor_rows, levels)
+    rows, busy_rows = with_chunks(data, keys, order, floor_rows)
     at = F.struct(*order)
     inner = F.when(F.col("_forced").isNotNull() | F.col("_prev").isNotNull(), opens)
     chunks = (
@@ -171,12 +167,12 @@ def session_summary(
 
     Built on the chunked stamping: ``session_window`` alone would send all rows of a
     key to one task. Rows with the same key and time are counted together first, so
-    times are distinct and bursts of them can be cut.
+    times are distinct.
     """
     data = df.select(*keys, ts_ms.alias("_time")).filter(F.col("_time").isNotNull())
     moments = data.groupBy(*keys, "_time").agg(F.count(F.lit(1)).alias("_rows_then"))
     stamped = session_start(
-        moments, keys, ["_time"], F.col("_time"), gap_ms, "session_start_ms", floor_rows, levels=2
+        moments, keys, ["_time"], F.col("_time"), gap_ms, "session_start_ms", floor_rows
     )
     return stamped.groupBy(*keys, "session_start_ms").agg(
         F.max("_time").alias("session_end_ms"), F.sum("_rows_then").alias("row_count")

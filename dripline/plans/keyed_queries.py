@@ -72,6 +72,22 @@ def session_start_busy_keys(t: Tables) -> DataFrame:
     return stamped.select("event_id", "event_type", "start_ms")
 
 
+BURST_SQL = "CASE WHEN event_id % 1000 = 0 THEN event_id * 1000000 WHEN event_id % 3 = 0 THEN 7 ELSE event_id END"
+
+
+@query(
+    "session_start_bursts",
+    (SESSION_SQL.format(arrival=BURST_SQL, where="") + "SELECT event_id, event_type, start_ms FROM s")
+    .replace("21600000", "600000")
+    .replace("PARTITION BY user_id", "PARTITION BY event_type"),
+)
+def session_start_bursts(t: Tables) -> DataFrame:
+    """Busy types whose arrivals lie far apart, close together and, a third of them, on one position."""
+    data = timed_events(t).select("event_id", "event_type", "ms", F.expr(BURST_SQL).alias("arrival"))
+    stamped = keyed.session_start(data, ["event_type"], ["arrival", "event_id"], F.col("ms"), 600_000, "start_ms")
+    return stamped.select("event_id", "event_type", "start_ms")
+
+
 @query(
     "session_summary",
     SESSION_SQL.format(arrival="epoch_us(ts) // 1000", where="")

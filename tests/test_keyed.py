@@ -99,7 +99,7 @@ def test_empty_input(spark):
 
 def test_chunks_are_bounded_and_ordered(spark):
     rows = [("hot", i, 0) for i in range(5_000)] + [(f"k{i}", i, 0) for i in range(100)]
-    got, of_busy = skew.with_chunks(frame(spark, rows), ["key"], F.col("seq"), floor_rows=100)
+    got, of_busy = skew.with_chunks(frame(spark, rows), ["key"], ["seq"], floor_rows=100)
     assert of_busy.count() == 5_000
     chunks = got.groupBy("key", "_chunk").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     chunks = chunks.orderBy("key", "_chunk").collect()
@@ -125,19 +125,44 @@ def test_word_totals(spark):
     assert {(r.word, r.total) for r in keyed.word_totals(df, "word").collect()} == {("a", 2), ("b", 1), ("", 1)}
 
 
-def test_bursts_are_cut_by_a_second_level(spark):
-    """Nearly all positions in a thousandth of the range: one level leaves one full chunk."""
-    rows = [("hot", i, 0) for i in range(4_000)] + [("hot", 10_000_000, 0), ("k", 5, 0)]
-    df = frame(spark, rows)
-
-    def fullest(levels):
-        got, _ = skew.with_chunks(df, ["key"], F.col("seq"), floor_rows=100, levels=levels)
-        chunks = got.groupBy("key", "_chunk").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-        hot = chunks.filter("key = 'hot'").orderBy("_chunk").collect()
-        assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
-        return max(c.n for c in hot)
-
-    assert fullest(1) == 4_000 and fullest(2) <= 101
+def bursts(name):
+    """Positions of one busy key, in seven ways that leave equal shares of the range too full."""
+    rng = random.Random(8)
+    return {
+        "one far out": [*range(4_000), 10_000_000],
+        "geometric": [int(1.01**k) for k in range(4_000)],
+        "one position": [7] * 4_000,
+        "half on one": [7] * 2_000 + [rng.randrange(10**6) for _ in range(2_000)],
+        "nulls": [None] * 1_500 + [7] * 1_500 + list(range(1_000)),
+        "two bursts": [rng.randrange(300) + 10**12 * (k % 2) for k in range(4_000)],
+        "large": [2**60 + 300 * k for k in range(4_000)],
+    }[name]
+
+
+@pytest.mark.parametrize("name", ["one far out", "geometric", "one position", "half on one", "nulls", "two bursts", "large"])
+def test_bursts_are_cut_at_quantiles(spark, name):
+    """No chunk of a busy key above twice its share, in order, and the same sessions as in one window."""
+    rows = [("hot", p, k * 1000 % 977_000, k) for k, p in enumerate(bursts(name))] + [("k", 5, 0, 0)]
+    df = spark.createDataFrame(rows, "key string, seq long, ts long, id long")
+    order = ["seq", "id"]
+    chunks, of_busy = skew.with_chunks(df, ["key"], order, floor_rows=100)
+    assert of_busy.count() == len(rows) - 1
+    at = F.struct(*order)
+    hot = chunks.where("key = 'hot'").groupBy("_chunk").agg(F.count("*").alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi"))
+    hot = hot.orderBy("_chunk").collect()
+    first = lambda s: (s.seq is not None, s.seq or 0, s.id)
+    assert max(c.n for c in hot) <= 200 and all(first(a.hi) < first(b.lo) for a, b in zip(hot, hot[1:]))
+    got = keyed.session_start(df, ["key"], order, F.col("ts"), floor_rows=100).collect()
+    want = keyed.session_start(df, ["key"], order, F.col("ts"), floor_rows=1_000_000).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_rows_without_an_order_are_still_cut(spark):
+    rows = [("hot", 1, k) for k in range(3_000)]
+    got, _ = skew.with_chunks(frame(spark, rows), ["key"], ["seq"], floor_rows=100)
+    assert got.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 200
+    total = keyed.running_total(frame(spark, rows), ["key"], ["seq"], floor_rows=100).collect()
+    assert sorted(r.total for r in total) == list(range(1, 3_001))
 
 
 def test_summary_of_copies(spark):
