@@ -23,7 +23,7 @@ from dripline.sinks.upserts import UpsertTable
 from dripline.sources import polled
 from dripline.sources.polling import Poller
 from dripline.sources.synthetic import with_synthetic
-from dripline.streaming import carried
+from dripline.streaming import carried, lateness
 
 
 #: Micro-batches that a table is fed in.
@@ -41,14 +41,18 @@ def _slices(df: DataFrame, arrival: Column) -> tuple[Column, int]:
     return sum((F.coalesce(arrival > cut, F.lit(False)).cast("int") for cut in seen.cuts or []), F.lit(0)), seen.n
 
 
-def _feed(t: Tables, df: DataFrame, arrival: Column, name: str, start, closing: DataFrame | None = None) -> str:
+def _feed(
+    t: Tables, df: DataFrame, arrival: Column, name: str, start, closing: DataFrame | None = None, slice_: Column | None = None
+) -> str:
     """Run a stream over the slices of a table, a micro-batch each; ``closing`` comes last.
 
+    ``slice_`` numbers the slice of a row, else slices are equal shares in arrival order.
+
     Slices are written one after another with the same number of files, which a micro-batch takes
     at a time, oldest first.
     """
     folder = scratch(t.spark, name)
-    number, rows_ = _slices(df, arrival)
+    number, rows_ = _slices(df, arrival) if slice_ is None else (slice_, df.count())
     files_ = -(-rows_ // (SLICES * FILE_ROWS)) or 1
     for k in range(SLICES):
         df.filter(number == k).repartition(files_).write.mode("append").parquet(f"{folder}/in")
@@ -228,6 +232,41 @@ def stream_closed_sessions(t: Tables) -> DataFrame:
     return batches.read_batches(t.spark, f"{folder}/out")
 
 
+DAY_MS = 86_400_000
+
+
+@query(
+    "stream_late_output",
+    """WITH e AS (SELECT *, epoch_us(ts) // 1000 AS ms, event_id % 4 AS k FROM events),
+            seen AS (SELECT k, max(max(ms)) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                               - 10 * 86400000 AS reached FROM e GROUP BY k),
+            m AS (SELECT e.*, ms // 86400000 * 86400000 AS start,
+                         coalesce((ms // 86400000 + 1) * 86400000 <= reached, false) AS late FROM e JOIN seen USING (k))
+       SELECT 'late' AS part, event_id, event_type, start AS window_start_ms, CAST(1 AS BIGINT) AS row_count FROM m WHERE late
+       UNION ALL
+       SELECT 'count', NULL, event_type, start, count(*) FROM m WHERE NOT late GROUP BY event_type, start""",
+)
+def stream_late_output(t: Tables) -> DataFrame:
+    """Daily counts and, beside them, the events that come more than ten days behind earlier slices."""
+    df = _timed(t).select("event_id", "event_type", "ms")
+    delay = 10 * DAY_MS
+    end = (F.coalesce(F.max("ms"), F.lit(0)) + F.lit(delay + 2 * DAY_MS)).alias("ms")
+    closing = df.agg(end).select(F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"), "ms")
+
+    def start(stream: DataFrame, folder: str):
+        sinks = (batches.batch_folders(f"{folder}/{part}") for part in ("counts", "late"))
+        return lateness.start_counts_and_late(stream, ["event_type"], "ms", DAY_MS, delay, *sinks, folder)
+
+    folder = _feed(t, df, F.col("event_id"), "stream-late-output", start, closing, F.pmod("event_id", F.lit(SLICES)))
+    counts, late = (batches.read_batches(t.spark, f"{folder}/{part}") for part in ("counts", "late"))
+    late = late.select(
+        F.lit("late").alias("part"), "event_id", "event_type", (F.floor(F.col("ms") / DAY_MS) * DAY_MS).alias("window_start_ms"),
+        F.lit(1).cast("bigint").alias("row_count"),
+    )
+    none = F.lit(None).cast("bigint").alias("event_id")
+    return late.unionByName(counts.select(F.lit("count").alias("part"), none, "event_type", "window_start_ms", "row_count"))
+
+
 BUCKET_SQL = """
 SELECT strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr, count(*) AS row_count FROM events GROUP BY 1, 2
 """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dripline.operators import keyed, windows
 from dripline.plans import alarms
 from dripline.sinks import batches
-from dripline.streaming import carried
+from dripline.streaming import carried, lateness
 from test_keyed import expected_sessions, made_rows
 from test_rows import PUMP
 
@@ -128,6 +128,20 @@ def test_sessions_are_closed_by_their_timers(spark, tmp_path):
     assert got == {("a", 1, 100_000, 3), ("b", 10, 10, 1), (None, 290_000, 290_000, 1), ("b", 300_000, 300_000, 1), ("a", 900_000, 900_000, 1)}
 
 
+def test_late_rows_go_to_their_own_sink(spark, tmp_path):
+    """Rows behind the watermark by a whole window come out as they came; others are counted, over a restart."""
+    at = str(tmp_path)
+    counts, late = (batches.batch_folders(f"{at}/{part}") for part in ("counts", "late"))
+    parts = [[("a", 0, 1_000), ("a", 1, 1_500), (None, 2, 12_000)], [("a", 3, 1_900), ("a", 4, 9_999), ("b", None, 11_000), (None, 5, None)], [("a", 6, 50_000)], [("b", 7, 13_000)]]
+    for part in parts:
+        stream = feed(spark, at, part, [])
+        lateness.start_counts_and_late(stream, ["key"], "ts", 1_000, 2_000, counts, late, at, salts=2).awaitTermination()
+    late_rows = batches.read_batches(spark, f"{at}/late")
+    assert {tuple(r) for r in late_rows.select("key", "seq", "ts").collect()} == {("a", 3, 1_900), ("a", 4, 9_999), (None, 5, None), ("b", 7, 13_000)}
+    got = {tuple(r) for r in batches.read_batches(spark, f"{at}/counts").collect()}
+    assert got == {("a", 1_000, 2), (None, 12_000, 1), ("b", 11_000, 1)}
+
+
 def test_alarm_job(spark, tmp_path):
     """Alarms over two files: the session goes on, blank and all-zero alarms are told apart."""
     stamps = [0, 60_000, 120_001, 120_002]
