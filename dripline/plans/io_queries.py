@@ -285,6 +285,26 @@ def event_time_buckets(t: Tables) -> DataFrame:
     return _bucket_counts(files.read_hour_buckets(t.spark, folder))
 
 
+@query(
+    "hour_parts",
+    """WITH l AS (SELECT strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr,
+                         length('{"event_id":' || event_id || ',"ts":' || epoch_us(ts) // 1000 || '}') + 1 AS n FROM events)
+       SELECT dt, hr, count(*) AS row_count, CAST(sum(n) AS BIGINT) AS line_bytes, true AS within FROM l GROUP BY dt, hr""",
+)
+def hour_parts(t: Tables) -> DataFrame:
+    """Hours in files of at most 4,000 bytes, written in two batches, one of them twice, and the first week merged."""
+    folder, most = scratch(t.spark, "parts"), 4000
+    events = t.events.select("event_id", messages.json_text(event_id=F.col("event_id"), ts=times.as_epoch_ms(F.col("ts"))).alias("value"))
+    for batch_id in (0, 0, 1):
+        lines = events.where(F.pmod("event_id", F.lit(2)) == batch_id).select("value")
+        files.write_hour_buckets(files.with_hour_buckets(lines), folder, batch_id, most)
+    files.compact_hours(t.spark, folder, "2024010800", most)
+    sizes = files.part_sizes(t.spark, folder).groupBy("dt", "hr")
+    return sizes.agg(
+        F.sum("row_count").alias("row_count"), F.sum("part_bytes").alias("line_bytes"), (F.max("part_bytes") <= most).alias("within")
+    )
+
+
 @query("stream_event_time_buckets", BUCKET_SQL)
 def stream_event_time_buckets(t: Tables) -> DataFrame:
     lines = _timed(t).select(

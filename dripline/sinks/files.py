@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dripline.functions import text, times
 from dripline.functions.once import with_once
+from dripline.session import files_of, written
+from dripline.sinks.batches import kept
 
-# How often files roll, and rows per file as a bound on their size.
+# How often files roll, and the bytes of a file at most.
 ROLL = "3 minutes"
-ROWS_PER_FILE = 250_000
+PART_BYTES = 100 << 20
 
 
 def with_hour_buckets(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
@@ -31,19 +33,47 @@ def with_hour_buckets(lines: DataFrame, column: str = "value", strict: bool = Tr
     )
 
 
-def write_hour_buckets(bucketed: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Write a batch. Rows gather by hour first, so an hour does not get a file from every task.
+def with_parts(bucketed: DataFrame, part_bytes: int = PART_BYTES, name: str = "") -> DataFrame:
+    """Add ``part``, the file of its hour that a line goes to; none holds more than ``part_bytes``.
 
-    The gathering is a rebalance: Spark splits an hour that is too big for one task and
-    packs small ones together.
+    An hour's bytes give the number of its slices, which lines join by a hash, so that a busy hour
+    is cut by many tasks. Inside a slice the bytes before a line (a prefix sum) give its file; files
+    are filled to the limit less the hour's longest line, so that no line overruns it. A line longer
+    than the limit is a file of its own.
     """
-    (
-        bucketed.hint("rebalance", "dt", "hr")
-        .write.partitionBy("dt", "hr")
-        .option("maxRecordsPerFile", rows_per_file)
-        .mode("append")
-        .text(path)
-    )
+    size = F.octet_length("value") + 1
+    hours = bucketed.groupBy("dt", "hr").agg(F.sum(size).alias("_bytes"), F.max(size).alias("_longest"))
+    unit = F.greatest(F.lit(part_bytes) - F.col("_longest"), F.lit(1)).alias("_unit")
+    slices = F.ceil(F.col("_bytes") / (0.9 * part_bytes)).alias("_slices")
+    hours = hours.select(F.col("dt").alias("_dt"), F.col("hr").alias("_hr"), unit, slices)
+    # As many rows as there are hours: Spark broadcasts them where they are few.
+    rows = bucketed.join(hours, F.col("dt").eqNullSafe(F.col("_dt")) & F.col("hr").eqNullSafe(F.col("_hr")), "left")
+    rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.rand(7)), "_slices"))
+    before = Window.partitionBy("dt", "hr", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / F.col("_unit"))
+    return rows.select("value", "dt", "hr", F.concat(F.lit(name), F.col("_slice"), F.lit("-"), number).alias("part"))
+
+
+def write_hour_buckets(bucketed: DataFrame, path: str, batch_id: int = 0, part_bytes: int = PART_BYTES) -> None:
+    """Write a batch by hour, in files of at most ``part_bytes``; written again, it replaces itself.
+
+    A batch's parts bear its number. What an earlier try left is removed first, as it may have
+    had other parts.
+    """
+    _remove_parts(bucketed.sparkSession, path, f"b{batch_id}-")
+    _write_parts(with_parts(bucketed, part_bytes, f"b{batch_id}-"), path)
+
+
+def _write_parts(parts: DataFrame, path: str) -> None:
+    by = ["dt", "hr", "part"]
+    parts.repartition(*by).sortWithinPartitions(*by).write.partitionBy(*by).mode("append").text(path)
+
+
+def _remove_parts(spark: SparkSession, path: str, name: str) -> None:
+    """Remove the parts whose names start so."""
+    store, where = files_of(spark, f"{path}/dt=*/hr=*/part={name}*")
+    for status in store.globStatus(where) or []:
+        store.delete(status.getPath(), True)
 
 
 def start_hour_buckets(
@@ -51,23 +81,79 @@ def start_hour_buckets(
     path: str,
     checkpoint: str,
     trigger: str | None = ROLL,
-    rows_per_file: int = ROWS_PER_FILE,
+    part_bytes: int = PART_BYTES,
     name: str = "hour_buckets",
 ) -> StreamingQuery:
-    """Write a stream. New files show up when their micro-batch commits, exactly once."""
-    writer = (
-        bucketed.writeStream.format("text")
-        .partitionBy("dt", "hr")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", rows_per_file)
-        .queryName(name)
-    )
+    """Write a stream; a micro-batch that is repeated replaces the files it left."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch) as held:
+            write_hour_buckets(held, path, batch_id, part_bytes)
+
+    writer = bucketed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(name)
     return (
         writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     ).start()
 
 
+def part_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``dt, hr, part, row_count, part_bytes`` of every file that readers see."""
+    lines = _visible(spark, path)
+    return lines.groupBy("dt", "hr", "part").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.octet_length("value") + 1).alias("part_bytes")
+    )
+
+
+def compact_hours(spark: SparkSession, path: str, before: str, part_bytes: int = PART_BYTES) -> int:
+    """Merge the small files of the hours before ``before`` (``yyyyMMddHH``); gives the number of files replaced.
+
+    The merged files come first, which no reader sees yet; then a manifest that shows them and
+    hides what they replace; then the replaced files go. A run that fails anywhere is made good
+    by the next one.
+    """
+    runs = _manifests(spark, path)
+    run = 1 + max([0, *runs])
+    for _, hidden in sorted(runs.items()):  # what a failed run may have left
+        _remove_hidden(spark, path, hidden)
+    _remove_parts(spark, path, f"m{run}-")
+    closed = F.concat("dt", "hr") < before
+    sizes = part_sizes(spark, path).where(closed).groupBy("dt", "hr")
+    wasteful = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("part_bytes").alias("s")).where(F.col("n") > 2 * F.ceil(F.col("s") / part_bytes))
+    old = written(part_sizes(spark, path).where(closed).join(wasteful, ["dt", "hr"], "left_semi").select("dt", "hr", "part"), "replaced")
+    replaced = old.collect()  # names of files that are about to go, which the driver removes
+    if replaced:
+        merged = _visible(spark, path).join(old, ["dt", "hr", "part"], "left_semi").select("value", "dt", "hr")
+        _write_parts(with_parts(merged, part_bytes, f"m{run}-"), path)
+        old.coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifests/run={run}")
+        _remove_hidden(spark, path, replaced)
+    return len(replaced)
+
+
+def _manifests(spark: SparkSession, path: str) -> dict[int, list]:
+    """The files that each finished run has replaced."""
+    store, where = files_of(spark, f"{path}/_manifests/run=*/_SUCCESS")
+    done = [s.getPath().getParent().toString() for s in store.globStatus(where) or []]
+    return {int(p.rsplit("=", 1)[1]): spark.read.parquet(p).collect() for p in done}
+
+
+def _remove_hidden(spark: SparkSession, path: str, hidden: list) -> None:
+    for r in hidden:
+        store, where = files_of(spark, f"{path}/dt={r.dt}/hr={r.hr}/part={r.part}")
+        store.delete(where, True)
+
+
+def _visible(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of all parts but those that a merge has replaced, or has not finished."""
+    lines = spark.read.schema("value string, dt string, hr string, part string").text(path)
+    runs = _manifests(spark, path)
+    merged = F.regexp_extract(F.coalesce("part", F.lit("")), "^m([0-9]+)-", 1)
+    lines = lines.where((merged == "") | merged.isin([str(r) for r in runs]))
+    hidden = [(r.dt, r.hr, r.part) for rows in runs.values() for r in rows]
+    if not hidden:
+        return lines
+    return lines.join(spark.createDataFrame(hidden, "dt string, hr string, part string"), ["dt", "hr", "part"], "left_anti")
+
+
 def read_hour_buckets(spark: SparkSession, path: str) -> DataFrame:
     """The lines with their ``dt`` and ``hr`` as text."""
-    return spark.read.schema("value string, dt string, hr string").text(path)
+    return _visible(spark, path).select("value", "dt", "hr")

@@ -152,11 +152,44 @@ def test_hour_buckets(spark, tmp_path):
     assert files.with_hour_buckets(bad, strict=False).first().dt == "19700101"
 
 
-def test_busy_hour_is_split(spark, tmp_path):
-    df = spark.range(1000).select(F.to_json(F.struct("id", F.lit(0).alias("ts"))).alias("value"))
-    files.write_hour_buckets(files.with_hour_buckets(df), str(tmp_path / "b"), rows_per_file=100)
-    assert len(list((tmp_path / "b").rglob("part-*"))) >= 10
-    assert files.read_hour_buckets(spark, str(tmp_path / "b")).count() == 1000
+def test_files_of_an_hour_are_bounded_by_bytes(spark, tmp_path):
+    """Lines of many lengths, one longer than the limit, repeats among them; a batch written again replaces itself."""
+    rng, at = random.Random(4), str(tmp_path / "b")
+    lines = ["x" * rng.randrange(90) for _ in range(800)] + ["same line"] * 400 + ["é" * 30] * 20
+    df = spark.createDataFrame([(v, "20240101", "05") for v in lines], "value string, dt string, hr string").repartition(5)
+    for _ in range(2):
+        files.write_hour_buckets(df, at, 3, 1_000)
+    sizes = files.part_sizes(spark, at).collect()
+    assert sum(r.row_count for r in sizes) == len(lines) and max(r.part_bytes for r in sizes) <= 1_000
+    assert sum(r.part_bytes for r in sizes) == sum(len(v.encode()) + 1 for v in lines)
+    on_disk = [p.stat().st_size for p in (tmp_path / "b").rglob("part-*")]
+    assert len(on_disk) == len(sizes) and max(on_disk) <= 1_000
+    long = spark.createDataFrame([("y" * 5_000, "20240101", "06"), ("z", "20240101", "06")], "value string, dt string, hr string")
+    files.write_hour_buckets(long, at, 4, 1_000)
+    assert files.part_sizes(spark, at).where("hr = '06'").count() == 2
+
+
+def test_closed_hours_are_compacted(spark, tmp_path):
+    """Many small files become few, no line changes, open hours stay; a run that failed midway is not seen."""
+    at = str(tmp_path / "b")
+    schema = "value string, dt string, hr string"
+    for n in range(6):
+        files.write_hour_buckets(spark.createDataFrame([(f"{n}-{h}-{k}", "20240101", f"0{h}") for h in (1, 2) for k in range(3)], schema), at, n)
+    want = sorted(map(tuple, files.read_hour_buckets(spark, at).collect()))
+    assert files.compact_hours(spark, at, "2024010102") == 6
+    assert sorted(map(tuple, files.read_hour_buckets(spark, at).collect())) == want
+    assert {(r.hr, r["count"]) for r in files.part_sizes(spark, at).groupBy("hr").count().collect()} == {("01", 1), ("02", 6)}
+    assert len(list((tmp_path / "b").glob("dt=*/hr=01/part=*"))) == 1
+    # A run that has written its merged files, but no manifest yet.
+    merged = files.read_hour_buckets(spark, at).where("hr = '02'")
+    files._write_parts(files.with_parts(merged, name="m2-"), at)
+    assert sorted(map(tuple, files.read_hour_buckets(spark, at).collect())) == want
+    assert files.compact_hours(spark, at, "2024010103") == 6
+    assert sorted(map(tuple, files.read_hour_buckets(spark, at).collect())) == want
+    # A run that has written its manifest, but removed nothing yet: readers do not see what it replaced.
+    files._write_parts(spark.createDataFrame([("0-2-0", "20240101", "02")], schema).withColumn("part", F.lit("b0-0-0")), at)
+    assert sorted(map(tuple, files.read_hour_buckets(spark, at).collect())) == want
+    assert files.compact_hours(spark, at, "2024010103") == 0 and files.part_sizes(spark, at).count() == 2
 
 
 def test_hour_pruning(spark, tmp_path):
