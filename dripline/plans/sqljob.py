@@ -42,6 +42,8 @@ def script_of(config: dict[str, Any], name: str) -> str:
 
 def _open_view(spark: SparkSession, name: str, settings: dict[str, Any], stream: bool, columns: dict[str, str]) -> None:
     plain = {k: v for k, v in settings.items() if k not in ("computed", "watermark")}
+    if columns and plain.get("kind") == "datagen":
+        plain = {**plain, "columns": columns}
     rows = open_source(spark, plain, stream)
     if columns:
         rows = rows.select(*(F.col(c).cast(kind).alias(c) for c, kind in columns.items()))

@@ -112,6 +112,13 @@ def settings_of(table: Declared, sink: bool) -> dict[str, Any]:
                 made[names[m[2]]] = int(rest.pop(option))
             elif m and rest[option] == ("sequence" if m[1] == "f_sequence" else "random"):
                 rest.pop(option)
+            elif option == "number-of-rows":
+                made["number_of_rows"] = int(rest.pop(option))
+            elif (own := re.fullmatch(r"fields\.(\w+)\.(kind|start|end|min|max|length)", option)) and own[1] in table.columns:
+                value = rest[option]
+                if own[2] != "kind" or value in ("sequence", "random"):
+                    rest.pop(option)
+                    made.setdefault("fields", {}).setdefault(own[1], {})[own[2]] = value if own[2] == "kind" else int(value)
     else:
         raise ValueError(f"connector {connector!r} of table {table.name} is not offered as a {'sink' if sink else 'source'}")
     if rest:

@@ -42,6 +42,28 @@ def test_unknown_options_fail():
             sqltext.settings_of(sqltext.declared(TABLE.replace(old, new)), sink=False)
 
 
+def test_generated_tables_take_any_columns(spark, tmp_path):
+    source = """CREATE TABLE readings (
+      id BIGINT, level SMALLINT, name VARCHAR(8), share DOUBLE, ok BOOLEAN, price DECIMAL(10, 2), at TIMESTAMP(3), twice AS id * 2
+    ) WITH ('connector' = 'datagen', 'fields.id.kind' = 'sequence', 'fields.id.start' = '5', 'fields.id.end' = '204',
+      'fields.level.min' = '-3', 'fields.level.max' = '3', 'fields.name.length' = '8', 'fields.share.kind' = 'random'{});"""
+    sink = f"CREATE TABLE s (id BIGINT, level SMALLINT, name STRING, share DOUBLE, ok BOOLEAN, twice BIGINT) WITH ('connector' = 'filesystem', 'path' = '{tmp_path}/s');"
+    script = source.format("") + sink + "INSERT INTO s SELECT id, level, name, share, ok, twice FROM readings"
+    sqljob.run_sql_job(spark, {"sql": {"j": script}}, "j")
+    got = spark.read.parquet(f"{tmp_path}/s").orderBy("id").collect()
+    assert [r.id for r in got] == list(range(5, 205)) and all(r.twice == 2 * r.id for r in got)
+    assert {r.level for r in got} == set(range(-3, 4)) and {len(r.name) for r in got} == {8}
+    assert {r.ok for r in got} == {True, False} and len({r.share for r in got}) > 150
+    few = source.format(", 'number-of-rows' = '7'")
+    sqljob.run_sql_job(spark, {"sql": {"j": few}}, "j")
+    assert spark.table("readings").count() == 7
+    endless = few.replace("'fields.id.kind' = 'sequence', 'fields.id.start' = '5', 'fields.id.end' = '204',", "").replace(", 'number-of-rows' = '7'", "")
+    with pytest.raises(ValueError, match="number-of-rows"):
+        sqljob.run_sql_job(spark, {"sql": {"j": endless}}, "j")
+    with pytest.raises(ValueError, match="unknown options"):
+        sqljob.run_sql_job(spark, {"sql": {"j": source.format(", 'fields.other.min' = '1'")}}, "j")
+
+
 def test_insert_needs_the_sinks_columns(spark, tmp_path):
     sink = f"CREATE TABLE s (a INT, b STRING) WITH ('connector' = 'filesystem', 'path' = '{tmp_path}/s');"
     sqljob.run_sql_job(spark, {"sql": {"j": sink + "INSERT INTO s (b) SELECT 7 AS x"}}, "j")
