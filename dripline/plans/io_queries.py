@@ -6,6 +6,8 @@ reader of the result sees.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from dripline.plans.keyed_queries import ALARM_SQL, SESSION_SQL, START_TEXT_SQL
 from dripline.plans.registry import Tables, query
 from dripline.plans.sqljob import run_sql_job
 from dripline.session import scratch
-from dripline.sinks import batches, files, remote, stores, subtables
+from dripline.sinks import batches, files, remote, splits, stores, subtables
 from dripline.sinks.jdbc import numbered
 from dripline.sinks.upserts import UpsertTable
 from dripline.sources import polled
@@ -232,6 +234,23 @@ def stream_closed_sessions(t: Tables) -> DataFrame:
     return batches.read_batches(t.spark, f"{folder}/out")
 
 
+@query(
+    "split_sinks",
+    """SELECT CASE WHEN user_id < 100 THEN 'small' WHEN event_type = 'error' THEN 'error' WHEN value > 50 THEN 'high' ELSE 'main' END
+              AS tag, event_id, user_id FROM events""",
+)
+def split_sinks(t: Tables) -> DataFrame:
+    """Three tags and the rest, each to a sink of its own from one pass over the events."""
+    folder = scratch(t.spark, "split")
+    tags = {"small": F.col("user_id") < 100, "error": F.col("event_type") == "error", "high": F.col("value") > 50}
+    sinks = {tag: batches.batch_folders(f"{folder}/{tag}") for tag in (*tags, split.MAIN)}
+    splits.split_sink(tags, sinks, folder)(t.events, 0)
+    parts = [
+        batches.read_batches(t.spark, f"{folder}/{tag}").select(F.lit(tag).alias("tag"), "event_id", "user_id") for tag in sinks
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 DAY_MS = 86_400_000
 
 

@@ -27,6 +27,7 @@ from dripline.sinks.batches import Sink, kept
 from dripline.sinks.factory import batch_sink
 from dripline.sinks.files import start_hour_buckets, with_hour_buckets
 from dripline.sinks.jdbc import jdbc_table
+from dripline.sinks.splits import split_sink
 from dripline.sources.polled import polled
 from dripline.sources.polling import Poller, start_polling, start_scanning
 from dripline.sources.readers import open_source
@@ -249,17 +250,8 @@ def raw_lines(j: Job) -> StreamingQuery:
 def side_output(j: Job) -> StreamingQuery:
     """Order events of small user ids to the side sink, the others to the main one, if any."""
     limit = int(j.settings.get("limit", 100))
-    main = j.sink() if "sink" in j.settings else None
-    side = j.sink("side_sink")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        with kept(batch) as held:
-            parts = split.split_by(held, {"side": F.col("userId") < limit})
-            side(parts["side"], batch_id)
-            if main:
-                main(parts[split.MAIN], batch_id)
-
-    return j.start(_orders(j), write)
+    sinks = {"side": j.sink("side_sink")} | ({split.MAIN: j.sink()} if "sink" in j.settings else {})
+    return j.start(_orders(j), split_sink({"side": F.col("userId") < limit}, sinks, j.folder))
 
 
 @job

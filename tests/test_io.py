@@ -11,7 +11,7 @@ from dripline import config, session
 from dripline.functions import cells
 from dripline.operators import rows
 from dripline.plans import etl, sqljob
-from dripline.sinks import batches, files, jdbc, remote, stores, subtables, upserts, writers
+from dripline.sinks import batches, files, jdbc, remote, splits, stores, subtables, upserts, writers
 from dripline.sources import kafka, polled, polling, readers, synthetic
 from dripline.streaming.carried import start_batches
 from test_rows import PUMP
@@ -441,6 +441,57 @@ def test_console_and_memory_sinks(spark, capsys, monkeypatch, tmp_path):
         writers.write_sink(spark.range(1), {"sink": "pigeon"})
 
 
+def test_requests_in_flight_with_deadlines(spark, tmp_path):
+    """A slow, a failing and a hanging service: all rows come back once, slow requests overlap, hanging ones end."""
+
+    def mixed():
+        def send(buffer):
+            first = buffer[0]["id"]
+            if first % 10 == 7:
+                time.sleep(60)
+            if first % 10 == 8:
+                raise OSError("lost")
+            time.sleep(0.05)
+            return 503 if first % 10 == 9 else 200
+
+        return send
+
+    settings = remote.RemoteSettings(writers=1, buffer_rows=1, retries=1, timeout_seconds=0.6, in_flight=20, queued=3, delay_seconds=0.01)
+    began = time.time()
+    got = remote.send_rows(spark.range(100), mixed, settings).collect()
+    assert time.time() - began < 40
+    want = {7: (remote.FAILED, 2), 8: (remote.FAILED, 2), 9: (503, 2)}
+    assert [(r.id, r.status, r.attempts) for r in got] == [(k, *want.get(k % 10, (200, 1))) for k in sorted(r.id for r in got)] and len(got) == 100
+    sink = remote.remote_sink(mixed, settings, remote.dead_letter_sink({"storage": "hbase", "table": "t", "hbase": {"path": str(tmp_path)}}))
+    sink(spark.range(20), 0)
+    dead = rows.cells_to_map(batches.read_batches(spark, str(tmp_path / "t"))).collect()
+    assert sorted((json.loads(r.cells["row"])["id"], int(r.cells["status"])) for r in dead) == [(7, -1), (8, -1), (9, 503), (17, -1), (18, -1), (19, 503)]
+
+
+def test_bodies():
+    buffer = [{"a": 1, "b": "x\ty\nz\\"}, {"a": None, "b": "é"}]
+    assert remote.json_lines(buffer).decode().split("\n")[1] == '{"a": null, "b": "é"}'
+    assert remote.delimited(["b", "a"])(buffer).decode() == "x\\\ty\\nz\\\\\t1\né\t\\N\n"
+    given = remote.RemoteSettings.of({"threshold": {"inFlight": 8, "queueCapacity": 5, "backOff": 3}})
+    assert (given.in_flight, given.queued, given.back_off) == (8, 5, 3.0)
+
+
+def test_split_sinks_compute_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    df = spark.range(90).withColumn("v", F.when(F.col("id") > 2, F.col("id"))).mapInArrow(counted, "id long, v long")
+    sinks = {tag: batches.batch_folders(f"{tmp_path}/{tag}") for tag in ("low", "even", "main")}
+    splits.split_sink({"low": F.col("v") < 10, "even": F.col("id") % 2 == 0}, sinks, str(tmp_path / "work"))(df, 0)
+    got = {tag: sorted(r.id for r in batches.read_batches(spark, f"{tmp_path}/{tag}").collect()) for tag in sinks}
+    assert got["low"] == list(range(3, 10)) and got["even"] == [0, 2, *range(10, 90, 2)] and got["main"] == [1, *range(11, 90, 2)]
+    assert seen.value == 90 and not list((tmp_path / "work").glob("split-*"))
+
+
 def test_upserts_over_batches(spark, tmp_path):
     """Ids over several batches, one batch cut off and two repeated; replaced folders go, NULL ids are one id."""
     table, want, rng = upserts.UpsertTable(str(tmp_path / "t"), ["k"], ["n"], buckets=4), {}, random.Random(6)
