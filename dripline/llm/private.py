@@ -150,7 +150,7 @@ def _read(docs: DataFrame) -> DataFrame:
                 found = base_spans(text)
                 spans.append([dict(zip(("kind", "start", "end"), s)) for s in found])
                 near.append([dict(zip(("entity", "term", "start", "end"), s)) for s in around(text, found)])
-                for w in {term(x) for x in set(text.split())}:
+                for w in {term(x) for x in set(WORD.findall(text))}:
                     counts[w] = counts.get(w, 0) + 1
                 if len(counts) > COUNTED:
                     yield from counted()

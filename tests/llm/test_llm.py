@@ -225,6 +225,39 @@ def test_warc_round_trip(spark):
     assert warc.page_derivatives(pages).count() == 6 and warc.page_derivatives(pages.limit(0)).count() == 0
 
 
+def test_pages_of_any_kind(spark):
+    """Odd charsets, codings, lengths and tags have defined results, and long malformed pages take no long time."""
+    import gzip
+    import time
+
+    for name in ("idna", "undefined", "punycode", "base64", "rot13", "nonsense", "utf-16"):
+        text, used = warc.decoded(b"plain \xc3\xa9", f"text/html; charset={name}")
+        assert used == ("utf-16" if name == "utf-16" else "utf-8") and (name == "utf-16" or text == "plain é")
+    for piece in ("<a ", "<title", "<title>", "<script", "<script>", "<!--", "<p", "</", "<a href=", "<a href='", "< ", "&lt"):
+        began = time.time()
+        warc.scanned(piece * (1_000_000 // len(piece)))
+        assert time.time() - began < 2, piece
+    page = "<TITLE>x &lt; y</TITLE ><p>a<b>c</b><BR/>d < e<!-- no --><style>z</style ><A class=q HREF=u>l</a><a href='v&amp;w'>m</a><script>never"
+    assert warc.plain_text(page) == "x < y\nac\nd < e lm" and warc.scanned(page)[1:] == ("x &lt; y", ["u", "v&amp;w"])
+    packed = gzip.compress("<p>é".encode())
+    chunks = b"".join(b"%x\r\n%s\r\n" % (len(c), c) for c in (packed[:7], packed[7:])) + b"0\r\n\r\n"
+    http = [("Transfer-Encoding", "chunked"), ("Content-Encoding", "gzip")]
+    assert warc.payload(http, chunks) == "<p>é".encode() and warc.payload(http, b"not chunked") == b"not chunked"
+    good = warc.member(warc.record("response", [("WARC-Record-ID", "a")], b"HTTP/1.1 200 OK\r\n\r\nhi"))
+    bad = b"WARC/1.1\r\nContent-Length: ten\r\n\r\n"
+    assert warc.opened(good + good[:-9]) == warc.opened(good) and warc.opened(b"junk") == b"" and warc.opened(None) == b""
+    assert [b for _, b in warc.parsed(bad + warc.opened(good))] == [b"HTTP/1.1 200 OK\r\n\r\nhi"]
+    rows = [(1, good), (2, good[:20]), (3, None), (None, good), (4, warc.member(bad))]
+    got = warc.derived(spark.createDataFrame(rows, "page_id long, member binary")).collect()
+    assert sorted((r.page_id or 0, r.kind) for r in got) == [(0, "conversion"), (0, "metadata"), (1, "conversion"), (1, "metadata")]
+
+
+def test_terms_beside_other_blanks_are_judged(spark):
+    rows = [(k, "write zebra\u00a0fish to a.b@c.org now" if k < 3 else "now write to somebody") for k in range(9)]
+    got = private.personal_digests(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 0").first()
+    assert "remove:6:16" in got.spans
+
+
 def plain_repeats(texts: dict):
     seen, out = set(), {}
     for k in sorted(texts):
