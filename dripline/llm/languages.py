@@ -14,6 +14,7 @@ from collections import Counter
 from dataclasses import dataclass
 from itertools import combinations
 from math import exp
+from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dripline.llm.common import Memo, Shared, folds, land, map_rows, rows, texts
+from dripline.llm.common import Memo, Shared, folds, land, map_rows, per_process, rows, texts
 
 #: Number of hashed features, and the lengths of n-grams.
 WIDTH, GRAMS = 4096, (1, 2, 3)
@@ -135,12 +136,29 @@ class Machines:
     pairs: list[tuple[int, str, str]]
     weights: np.ndarray
     constants: np.ndarray
+    name: str = ""
 
     def memo(self) -> Memo:
+        """The scores of words; n-grams, which many words share, are remembered too."""
+        weights, width = np.ascontiguousarray(self.weights, "<f4"), len(self.constants)
+        most = max(1, REMEMBERED // (200 + 4 * width))
+        grams = Memo(lambda gram: weights[_slot(gram)].tobytes(), most)
+
         def make(word: str) -> bytes:
-            return (self.weights[word_slots(word)].sum(0) + self.constants).astype("<f4").tobytes()
+            edged = f"<{word}>"
+            parts = [edged[k : k + n] for n in GRAMS for k in range(len(edged) - n + 1)]
+            own = np.frombuffer(weights[_slot("=" + word)].tobytes() + grams.joined(parts), "<f4")
+            return (own.reshape(-1, width).sum(0, dtype=float) + self.constants).astype("<f4").tobytes()
+
+        return Memo(make, most)
 
-        return Memo(make, max(1, REMEMBERED // (200 + 4 * len(self.constants))))
+    def kept_memo(self) -> Memo:
+        """One memo for all tasks of a worker process that use these machines."""
+        held = per_process("languages", dict)
+        if self.name not in held:
+            held.clear()
+            held[self.name] = self.memo()
+        return held[self.name]
 
     def decide(self, text: str | None, memo: Memo) -> tuple[str, float]:
         """The language of a text and a score from 0 to 1."""
@@ -209,7 +227,7 @@ def learn(docs: DataFrame) -> Machines:
     weights, constants = np.zeros((WIDTH, first + len(pairs)), np.float32), np.zeros(first + len(pairs))
     for r in dealt.groupBy("machine").applyInArrow(fitted, "machine long, w binary, constant double").collect():
         weights[:, r.machine], constants[r.machine] = np.frombuffer(r.w, "<f4"), r.constant
-    return Machines(groups, pairs, weights, constants)
+    return Machines(groups, pairs, weights, constants, uuid4().hex)
 
 
 def language_scores(docs: DataFrame) -> DataFrame:
@@ -225,7 +243,7 @@ def language_scores(docs: DataFrame) -> DataFrame:
 
     def make():
         model = machines.value
-        memo = model.memo()
+        memo = model.kept_memo()
 
         def step(batch):
             found = [model.decide(t, memo) for t in texts(batch)]
