@@ -22,12 +22,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from dripline.functions import times
+from dripline.session import STATE_STORE
 from dripline.sinks.batches import Sink
 
 #: A value folded over a key's sorted rows: the new column, and the state that is left.
 Fold = Callable[[pd.DataFrame, tuple | None], tuple[np.ndarray, tuple]]
 _HAS = "_has_"
 _EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def start_batches(
@@ -40,20 +42,22 @@ def start_batches(
 ) -> StreamingQuery:
     """Run ``work`` on each micro-batch; without a trigger interval, on all there is now.
 
-    With a TTL Spark would go on with batches without rows for ever, to look for expired state; a
-    query that ends with its input does without them, and expired state is not seen all the same.
+    The state of these operators needs the RocksDB store, whatever else the session uses. With a TTL
+    Spark would go on with batches without rows for ever, to look for expired state; a query that
+    ends with its input does without them, and expired state is not seen all the same.
     """
-    spark = stream.sparkSession
+    conf = stream.sparkSession.conf
     writer = stream.writeStream.foreachBatch(work).queryName(name)
     writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
-    if trigger:
-        return writer.trigger(processingTime=trigger).start()
-    before = spark.conf.get(_EMPTY_BATCHES)
-    spark.conf.set(_EMPTY_BATCHES, before if ttl_ms is None else "false")
-    try:
-        return writer.trigger(availableNow=True).start()  # takes the session's settings along
+    wanted = {_PROVIDER: STATE_STORE} | ({_EMPTY_BATCHES: "false"} if ttl_ms is not None and not trigger else {})
+    before = {key: conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        conf.set(key, value)
+    try:  # a query takes the session's settings of its start along
+        return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
     finally:
-        spark.conf.set(_EMPTY_BATCHES, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 class _Folded(StatefulProcessor):
