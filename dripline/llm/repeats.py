@@ -6,10 +6,10 @@ hash among its Q-grams (leftmost of equals). Equal strings have their anchors at
 place inside, so their anchors fall into the same Q-gram bucket.
 
 1. Anchors are bucketed by their Q-gram. An anchor *owns* a run of starts; anchors of a bucket
-   that agree on all bytes they own (64 bits more) are copies, and all but the first are removed.
+   that agree on all bytes they own (64 bits beside the bucket's 48) are copies, and all but the first are removed.
 2. Buckets with different surroundings are refined: the starts they own get the bucket ids of
    q bytes, then of 2q from the ids at offsets i and i + q, then of 4q from those, reusing the
-   ids of the last round. Starts with one final id (128 bits) are equal strings, and all but
+   ids of the last round. Starts with one final id (96 bits) are equal strings, and all but
    the first of them are removed.
 
 A task keeps one entry of each (bucket, surroundings) it meets, so large groups of copies
@@ -70,11 +70,11 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     last = np.r_[first[1:], len(at)] - 1
     own = (total[last + LENGTH] - total[first]) * down[first]
     place = (at[first] - first) * 256 + last - first
-    return gram[at[first]], mix(own * _K[1] + place.astype(np.uint64)), first, last
+    return gram[at[first]] >> np.uint64(16), mix(own * _K[1] + place.astype(np.uint64)), first, last
 
 
 def final_ids(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two parts, of 64 bits each, of the id of the LENGTH-byte string at each start of one segment."""
+    """Two parts, of 64 and 32 bits, of the id of the LENGTH-byte string at each start of one segment."""
     up, down, code = _powers()
     n, q = len(raw), LENGTH // 4
     value = code[raw]
@@ -87,7 +87,7 @@ def final_ids(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             ids = mix(ids[:-width] * _K[lane] + ids[width:] * _K[lane + 1])
             width *= 2
         out.append(ids)
-    return out[0], out[1]
+    return out[0], out[1] >> np.uint64(32)
 
 
 def _first_of_each(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
