@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +17,10 @@ from dripline.sinks.batches import kept
 # How often files roll, and the bytes of a file at most.
 ROLL = "3 minutes"
 PART_BYTES = 100 << 20
+#: Files that a task writes, where they are small; opening a file takes longer than filling it.
+TASK_FILES = 50
+#: Folders that the driver removes at a time.
+REMOVERS = 16
 
 
 def with_hour_buckets(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
@@ -33,19 +40,32 @@ def with_hour_buckets(lines: DataFrame, column: str = "value", strict: bool = Tr
     )
 
 
-def with_parts(bucketed: DataFrame, part_bytes: int = PART_BYTES, name: str = "") -> DataFrame:
+def _each(part_bytes: int) -> int:
+    """Files of a slice, and of a task: many small ones, a single large one."""
+    return max(1, min(TASK_FILES, PART_BYTES // part_bytes))
+
+
+def _hours(bucketed: DataFrame, part_bytes: int) -> DataFrame:
+    """``_dt, _hr``, the bytes a file of the hour is filled to, about its files, and its slices."""
+    size = F.octet_length("value") + 1
+    hours = bucketed.groupBy("dt", "hr").agg(F.sum(size).alias("_bytes"), F.max(size).alias("_longest"))
+    unit = F.greatest(F.lit(part_bytes) - F.col("_longest"), F.lit(1)).alias("_unit")
+    files = F.ceil(F.col("_bytes") / (0.9 * part_bytes)).alias("_files")
+    slices = F.ceil(F.col("_bytes") / (0.9 * part_bytes * _each(part_bytes))).alias("_slices")
+    return hours.select(F.col("dt").alias("_dt"), F.col("hr").alias("_hr"), unit, files, slices)
+
+
+def with_parts(bucketed: DataFrame, part_bytes: int = PART_BYTES, name: str = "", hours: DataFrame | None = None) -> DataFrame:
     """Add ``part``, the file of its hour that a line goes to; none holds more than ``part_bytes``.
 
     An hour's bytes give the number of its slices, which lines join by a hash, so that a busy hour
-    is cut by many tasks. Inside a slice the bytes before a line (a prefix sum) give its file; files
+    is cut by many tasks. Inside a slice the bytes before a line (a prefix sum) give its file; a slice
+    is to hold TASK_FILES small files, of which only the last is not full, or one large file. Files
     are filled to the limit less the hour's longest line, so that no line overruns it. A line longer
     than the limit is a file of its own.
     """
     size = F.octet_length("value") + 1
-    hours = bucketed.groupBy("dt", "hr").agg(F.sum(size).alias("_bytes"), F.max(size).alias("_longest"))
-    unit = F.greatest(F.lit(part_bytes) - F.col("_longest"), F.lit(1)).alias("_unit")
-    slices = F.ceil(F.col("_bytes") / (0.9 * part_bytes)).alias("_slices")
-    hours = hours.select(F.col("dt").alias("_dt"), F.col("hr").alias("_hr"), unit, slices)
+    hours = _hours(bucketed, part_bytes) if hours is None else hours
     # As many rows as there are hours: Spark broadcasts them where they are few.
     rows = bucketed.join(hours, F.col("dt").eqNullSafe(F.col("_dt")) & F.col("hr").eqNullSafe(F.col("_hr")), "left")
     rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.rand(7)), "_slices"))
@@ -61,19 +81,34 @@ def write_hour_buckets(bucketed: DataFrame, path: str, batch_id: int = 0, part_b
     had other parts.
     """
     _remove_parts(bucketed.sparkSession, path, f"b{batch_id}-")
-    _write_parts(with_parts(bucketed, part_bytes, f"b{batch_id}-"), path)
+    _write_cut(bucketed, path, part_bytes, f"b{batch_id}-")
+
+
+def _write_cut(bucketed: DataFrame, path: str, part_bytes: int, name: str) -> None:
+    """Cut hours into parts and write them, by as many tasks as their files ask for.
+
+    Spark would join the tasks of few bytes, however many files those are.
+    """
+    hours = written(_hours(bucketed, part_bytes), "hours")
+    files = hours.agg(F.sum("_files")).first()[0] or 0
+    _write_parts(with_parts(bucketed, part_bytes, name, hours), path, -(-files // _each(part_bytes)))
 
 
-def _write_parts(parts: DataFrame, path: str) -> None:
+def _write_parts(parts: DataFrame, path: str, tasks: int = 0) -> None:
     by = ["dt", "hr", "part"]
-    parts.repartition(*by).sortWithinPartitions(*by).write.partitionBy(*by).mode("append").text(path)
+    dealt = parts.repartition(tasks, *by) if tasks else parts.repartition(*by)
+    dealt.sortWithinPartitions(*by).write.partitionBy(*by).mode("append").text(path)
 
 
 def _remove_parts(spark: SparkSession, path: str, name: str) -> None:
     """Remove the parts whose names start so."""
     store, where = files_of(spark, f"{path}/dt=*/hr=*/part={name}*")
-    for status in store.globStatus(where) or []:
-        store.delete(status.getPath(), True)
+    _remove(store, (status.getPath() for status in store.globStatus(where) or []))
+
+
+def _remove(store, folders: Iterable) -> None:
+    with ThreadPoolExecutor(REMOVERS) as pool:
+        list(pool.map(lambda folder: store.delete(folder, True), folders))
 
 
 def start_hour_buckets(
@@ -117,13 +152,14 @@ def compact_hours(spark: SparkSession, path: str, before: str, part_bytes: int =
         _remove_hidden(spark, path, hidden)
     _remove_parts(spark, path, f"m{run}-")
     closed = F.concat("dt", "hr") < before
-    sizes = part_sizes(spark, path).where(closed).groupBy("dt", "hr")
-    wasteful = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("part_bytes").alias("s")).where(F.col("n") > 2 * F.ceil(F.col("s") / part_bytes))
-    old = written(part_sizes(spark, path).where(closed).join(wasteful, ["dt", "hr"], "left_semi").select("dt", "hr", "part"), "replaced")
+    sizes = written(part_sizes(spark, path).where(closed), "sizes")
+    hours = sizes.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"), F.sum("part_bytes").alias("s"))
+    wasteful = hours.where(F.col("n") > 2 * F.ceil(F.col("s") / part_bytes))
+    old = written(sizes.join(wasteful, ["dt", "hr"], "left_semi").select("dt", "hr", "part"), "replaced")
     replaced = old.collect()  # names of files that are about to go, which the driver removes
     if replaced:
         merged = _visible(spark, path).join(old, ["dt", "hr", "part"], "left_semi").select("value", "dt", "hr")
-        _write_parts(with_parts(merged, part_bytes, f"m{run}-"), path)
+        _write_cut(merged, path, part_bytes, f"m{run}-")
         old.coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifests/run={run}")
         _remove_hidden(spark, path, replaced)
     return len(replaced)
@@ -137,9 +173,8 @@ def _manifests(spark: SparkSession, path: str) -> dict[int, list]:
 
 
 def _remove_hidden(spark: SparkSession, path: str, hidden: list) -> None:
-    for r in hidden:
-        store, where = files_of(spark, f"{path}/dt={r.dt}/hr={r.hr}/part={r.part}")
-        store.delete(where, True)
+    store, _ = files_of(spark, path)
+    _remove(store, (spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={r.dt}/hr={r.hr}/part={r.part}") for r in hidden))
 
 
 def _visible(spark: SparkSession, path: str) -> DataFrame:

@@ -169,6 +169,19 @@ def test_files_of_an_hour_are_bounded_by_bytes(spark, tmp_path):
     assert files.part_sizes(spark, at).where("hr = '06'").count() == 2
 
 
+def test_small_files_are_full_and_dealt_to_many_tasks(spark, tmp_path):
+    """Only the last file of a slice is not full, and few bytes in many files do not end in one task."""
+    at = str(tmp_path / "b")
+    lines = spark.range(6_000).selectExpr("lpad(id, 19, '0') AS value", "'20240101' AS dt", "lpad(id % 3, 2, '0') AS hr")
+    files.write_hour_buckets(lines, at, 0, 400)
+    sizes = files.part_sizes(spark, at).collect()
+    assert sum(r.row_count for r in sizes) == 6_000 and max(r.part_bytes for r in sizes) <= 400
+    slices = -(-40_000 // (360 * files.TASK_FILES))
+    assert len(sizes) <= 3 * (-(-40_000 // 380) + slices)
+    writers = {p.name.split("-")[1] for p in (tmp_path / "b").rglob("part-*.txt")}
+    assert len(writers) > 3
+
+
 def test_closed_hours_are_compacted(spark, tmp_path):
     """Many small files become few, no line changes, open hours stay; a run that failed midway is not seen."""
     at = str(tmp_path / "b")
