@@ -2,11 +2,15 @@
 
 ``transformWithStateInPandas`` keeps one small value per key (last time and session start, total
 so far, greatest time so far) in the session's state store (RocksDB, see ``session.SETTINGS``),
-versioned and recovered with the query's checkpoint. A key's rows of a micro-batch are sorted by
-their arrival columns and folded as whole arrays, so a busy key costs one pass of numpy over its
-rows; what a micro-batch may hold (``max.rows``, ``maxFilesPerTrigger``) bounds what a task holds.
-
-``closed_sessions`` keeps the open sessions of a key and a timer for the first that can end.
+versioned and recovered with the query's checkpoint. Keys are dealt to ``BUCKETS`` by a hash, and a
+call sees the rows of a bucket: pandas takes much longer over a call, and over each frame it gives
+back, than over a row, and many keys have few rows. The state is a map from key to value, of which
+only the keys that have rows are read and written. A bucket's rows of a micro-batch are sorted by key
+and arrival columns, and each key's are folded as whole arrays, so a busy key costs one pass of numpy
+over its rows; what a micro-batch may hold (``max.rows``, ``maxFilesPerTrigger``) bounds what a task
+holds.
+
+``closed_sessions`` keeps the open sessions of keys and a timer for the first of a bucket that can end.
 """
 
 from __future__ import annotations
@@ -25,8 +29,11 @@ from dripline.functions import times
 from dripline.session import STATE_STORE
 from dripline.sinks.batches import Sink
 
-#: A value folded over a key's sorted rows: the new column, and the state that is left.
-Fold = Callable[[pd.DataFrame, tuple | None], tuple[np.ndarray, tuple]]
+#: A value folded over a key's sorted rows (columns by name): the new column, and the state that is left.
+Fold = Callable[[dict[str, np.ndarray], tuple | None], tuple[np.ndarray, tuple]]
+#: Groups that keys are dealt to; a checkpoint keeps to the number it was made with.
+BUCKETS = 256
+_BUCKET = "_bucket"
 _HAS = "_has_"
 _EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -60,22 +67,59 @@ def start_batches(
             conf.set(key, value)
 
 
+def _runs(found: pd.DataFrame, keys: list[str], by: list[str]) -> tuple[pd.DataFrame, list[tuple]]:
+    """A bucket's rows sorted by key and ``by``, and of each key its values, its first row and the one behind its last.
+
+    Whether a key column has a value is in a column beside it.
+    """
+    code = found.groupby([c for k in keys for c in (k, _HAS + k)], sort=False, dropna=False).ngroup()
+    found = found.assign(_code=code).sort_values(["_code", *by], kind="stable", na_position="first", ignore_index=True)
+    code = found.pop("_code").to_numpy()
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    firsts = [found[c].iloc[starts].tolist() for k in keys for c in (k, _HAS + k)]
+    plain = lambda v: v.to_pydatetime() if isinstance(v, pd.Timestamp) else v
+    named = [tuple(plain(v) if has else None for v, has in zip(row[::2], row[1::2])) for row in zip(*firsts)]
+    return found, list(zip(named, starts.tolist(), [*starts[1:].tolist(), len(code)]))
+
+
+def _whole(stream: DataFrame) -> list[str]:
+    return [f.name for f in stream.schema.fields if isinstance(f.dataType, T.IntegralType)]
+
+
+def _marked(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Whole numbers without NULLs, beside them and beside keys whether there was a value, and the bucket.
+
+    pandas would turn whole numbers with NULLs to floats.
+    """
+    whole = _whole(stream)
+    marks = [c for c in stream.columns if c in whole or c in keys]
+    return stream.select(
+        *(F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(stream.schema[c].dataType)).alias(c) if c in whole else F.col(f"`{c}`") for c in stream.columns),
+        *(F.col(f"`{c}`").isNotNull().alias(_HAS + c) for c in marks),
+        F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in keys)), F.lit(BUCKETS)).alias(_BUCKET),
+    )
+
+
 class _Folded(StatefulProcessor):
-    """Sorts a key's rows of a micro-batch and folds them onto what the key carries."""
+    """Sorts a bucket's rows of a micro-batch and folds each key's onto what the key carries."""
 
-    def __init__(self, columns: list[str], by: list[str], out: str, state: str, fold: Fold, ttl_ms: int | None):
-        self.columns, self.by, self.out = columns, by, out
+    def __init__(self, columns: list[str], keys: T.StructType, by: list[str], out: str, state: str, fold: Fold, ttl_ms: int | None):
+        self.columns, self.keys, self.by, self.out = columns, keys, by, out
         self.state, self.fold, self.ttl_ms = state, fold, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.carried = handle.getValueState("carried", self.state, self.ttl_ms)
+        self.carried = handle.getMapState("carried", self.keys, self.state, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         found = pd.concat(rows, ignore_index=True)
         found.columns = self.columns  # computed columns come in order, but may have lost their names
-        found = found.sort_values(self.by, kind="stable", na_position="first", ignore_index=True)
-        found[self.out], left = self.fold(found, self.carried.get())
-        self.carried.update(left)
+        found, runs = _runs(found.drop(columns=_BUCKET), self.keys.names, self.by)
+        columns = {c: found[c].to_numpy() for c in found.columns}
+        folded = np.empty(len(found), np.int64)
+        for one, a, b in runs:
+            folded[a:b], left = self.fold({c: v[a:b] for c, v in columns.items()}, self.carried.getValue(one))
+            self.carried.updateValue(one, left)
+        found[self.out] = folded
         yield found
 
     def close(self) -> None:
@@ -85,20 +129,13 @@ class _Folded(StatefulProcessor):
 def _with_state(
     stream: DataFrame, keys: list[str], order: list[str], out: str, state: str, fold: Fold, ttl_ms: int | None
 ) -> DataFrame:
-    """The stream with the folded column ``out`` (a whole number, never NULL).
-
-    Whole numbers cross to pandas without NULLs, each beside a column that says whether there
-    was one: pandas would turn them to floats. NULLs of the order columns are first.
-    """
-    whole = [f.name for f in stream.schema.fields if isinstance(f.dataType, T.IntegralType) and f.name not in keys]
-    marked = stream.select(
-        *(F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(stream.schema[c].dataType)).alias(c) if c in whole else F.col(f"`{c}`") for c in stream.columns),
-        *(F.col(f"`{c}`").isNotNull().alias(_HAS + c) for c in whole),
-    )
+    """The stream with the folded column ``out`` (a whole number, never NULL). NULLs of the order columns are first."""
+    whole, marked = _whole(stream), _marked(stream, keys)
     by = [b for c in order for b in ([_HAS + c, c] if c in whole else [c])]
-    schema = T.StructType([*marked.schema.fields, T.StructField(out, T.LongType())])
-    done = marked.groupBy(*(F.col(f"`{k}`") for k in keys)).transformWithStateInPandas(
-        _Folded(marked.columns, by, out, state, fold, ttl_ms), schema, "Append", "None" if ttl_ms is None else "ProcessingTime"
+    schema = T.StructType([*marked.drop(_BUCKET).schema.fields, T.StructField(out, T.LongType())])
+    named = T.StructType([T.StructField(k, stream.schema[k].dataType) for k in keys])
+    done = marked.groupBy(_BUCKET).transformWithStateInPandas(
+        _Folded(marked.columns, named, by, out, state, fold, ttl_ms), schema, "Append", "None" if ttl_ms is None else "ProcessingTime"
     )
     return done.select(
         *(F.when(F.col(_HAS + c), F.col(f"`{c}`")).alias(c) if c in whole else F.col(f"`{c}`") for c in stream.columns), out
@@ -106,8 +143,8 @@ def _with_state(
 
 
 def _session_fold(ts: str, gap_ms: int) -> Fold:
-    def fold(found: pd.DataFrame, carried: tuple | None):
-        at = found[ts].to_numpy()
+    def fold(found: dict[str, np.ndarray], carried: tuple | None):
+        at = found[ts]
         opens = np.r_[carried is None or at[0] - carried[0] > gap_ms, np.diff(at) > gap_ms]
         last = np.maximum.accumulate(np.where(opens, np.arange(len(at)), -1))
         start = np.where(last >= 0, at[last], 0 if carried is None else carried[1])
@@ -135,10 +172,11 @@ def running_totals(
 ) -> DataFrame:
     """The key's total so far on every row of a stream; counts rows when no value (a whole number) is given."""
 
-    def fold(found: pd.DataFrame, carried: tuple | None):
-        own = np.ones(len(found), np.int64) if value is None else found[value].to_numpy(np.int64)
+    def fold(found: dict[str, np.ndarray], carried: tuple | None):
+        rows = len(found[_HAS + keys[0]])
+        own = np.ones(rows, np.int64) if value is None else found[value].astype(np.int64)
         total = np.cumsum(own) + (0 if carried is None else carried[0])
-        some = (0 if carried is None else carried[1]) + (len(found) if value is None else np.cumsum(found[_HAS + value].to_numpy()))
+        some = (0 if carried is None else carried[1]) + (rows if value is None else np.cumsum(found[_HAS + value]))
         left = (int(total[-1]), int(np.max(some)))
         # A total of no values yet is marked by the least number and becomes NULL below.
         return np.where(np.broadcast_to(some, len(total)) > 0, total, _NONE), left
@@ -156,8 +194,8 @@ def late_marks(
 ) -> DataFrame:
     """Mark rows of a stream that arrive behind the key's watermark; a row without a time has no mark."""
 
-    def fold(found: pd.DataFrame, carried: tuple | None):
-        at = np.where(found[_HAS + ts].to_numpy(), found[ts].to_numpy(), _NONE)
+    def fold(found: dict[str, np.ndarray], carried: tuple | None):
+        at = np.where(found[_HAS + ts], found[ts], _NONE)
         seen = np.maximum.accumulate(np.maximum(at, _NONE if carried is None else carried[0]))
         return seen, (int(seen[-1]),)
 
@@ -166,48 +204,75 @@ def late_marks(
 
 
 class _Closing(StatefulProcessor):
-    """Open sessions of a key, as starts, ends and numbers of rows; a timer stands for the earliest end."""
+    """Open sessions of a bucket's keys, as starts, ends and numbers of rows; a timer stands for the earliest end."""
 
-    def __init__(self, keys: list[str], gap_ms: int):
-        self.keys, self.gap_ms = keys, gap_ms
+    def __init__(self, columns: list[str], keys: T.StructType, gap_ms: int):
+        self.columns, self.keys, self.gap_ms = columns, keys, gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "starts array<bigint>, ends array<bigint>, counts array<bigint>")
-
-    def _keep(self, sessions: list[tuple[int, int, int]]) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if sessions:
-            self.open.update(tuple(map(list, zip(*sessions))))
-            self.handle.registerTimer(min(end for _, end, _ in sessions) + self.gap_ms + 1)
-        else:
-            self.open.clear()
+        self.open = handle.getMapState("open", self.keys, "starts array<bigint>, ends array<bigint>, counts array<bigint>")
+        self.timer = handle.getValueState("timer", "at bigint")
+
+    def _wake(self, at: int | None) -> None:
+        """Move the bucket's timer."""
+        held = self.timer.get()
+        if held and held[0] != at:
+            self.handle.deleteTimer(held[0])
+        if at is None:
+            self.timer.clear()
+        elif not held or held[0] != at:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        at = np.sort(np.concatenate([part.iloc[:, len(self.keys)].to_numpy() for part in rows]))
+        found = pd.concat(rows, ignore_index=True)
+        found.columns = self.columns
+        found, runs = _runs(found, self.keys.names, ["_ms"])
+        all_, held = found["_ms"].to_numpy(), self.timer.get()
+        first = held[0] if held else None
+        for one, a, b in runs:
+            sessions = self._merged(all_[a:b], self.open.getValue(one))
+            self.open.updateValue(one, tuple(map(list, zip(*sessions))))
+            due = min(end for _, end, _ in sessions) + self.gap_ms + 1
+            first = due if first is None else min(first, due)
+        self._wake(first)
+        return iter(())
+
+    def _merged(self, at: np.ndarray, held: tuple | None) -> list[list[int]]:
         cuts = np.flatnonzero(np.r_[True, np.diff(at) > self.gap_ms])
         ends = np.r_[cuts[1:], len(at)]
         found = [(int(at[a]), int(at[b - 1]), int(b - a)) for a, b in zip(cuts, ends)]
-        held = self.open.get()
         merged: list[list[int]] = []
         for start, end, n in sorted([*found, *(zip(*held) if held else [])]):
             if merged and start - merged[-1][1] <= self.gap_ms:
                 merged[-1] = [merged[-1][0], max(merged[-1][1], end), merged[-1][2] + n]
             else:
                 merged.append([start, end, n])
-        self._keep([tuple(m) for m in merged])
-        return iter(())
+        return merged
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now, held = timerValues.getCurrentWatermarkInMs(), self.open.get()
-        sessions = list(zip(*held)) if held else []
-        done = [s for s in sessions if s[1] + self.gap_ms < now]
-        self._keep([s for s in sessions if s[1] + self.gap_ms >= now])
+        """Sessions of the bucket that are over; a timer may come early, as sessions grow."""
+        now, first, done = timerValues.getCurrentWatermarkInMs(), None, []
+        for one, held in list(self.open.iterator()):
+            sessions = list(zip(*held))
+            left = [s for s in sessions if s[1] + self.gap_ms >= now]
+            if len(left) < len(sessions):
+                done += [(*one, *s) for s in sessions if s[1] + self.gap_ms < now]
+                if left:
+                    self.open.updateValue(tuple(one), tuple(map(list, zip(*left))))
+                else:
+                    self.open.removeKey(tuple(one))
+            if left:
+                due = min(s[1] for s in left) + self.gap_ms + 1
+                first = due if first is None else min(first, due)
+        self.timer.clear()  # Spark takes the timer that has come away
+        self._wake(first)
         if done:
-            named = {k: [v] * len(done) for k, v in zip(self.keys, key)}
-            start, end, n = zip(*done)
-            yield pd.DataFrame({**named, "session_start_ms": start, "session_end_ms": end, "row_count": n})
+            whole = [isinstance(f.dataType, T.IntegralType) for f in self.keys] + [True] * 3
+            names = [*self.keys.names, "session_start_ms", "session_end_ms", "row_count"]
+            columns = [pd.array(v, "Int64") if w else list(v) for v, w in zip(zip(*done), whole)]
+            yield pd.DataFrame(dict(zip(names, columns)))
 
     def close(self) -> None:
         pass
@@ -228,8 +293,9 @@ def closed_sessions(
         [*(stream.schema[k] for k in keys)]
         + [T.StructField(n, T.LongType()) for n in ("session_start_ms", "session_end_ms", "row_count")]
     )
-    return timed.groupBy(*(F.col(f"`{k}`") for k in keys)).transformWithStateInPandas(
-        _Closing(keys, gap_ms), schema, "Append", "EventTime"
+    named, marked = T.StructType([T.StructField(k, stream.schema[k].dataType) for k in keys]), _marked(timed, keys)
+    return marked.groupBy(_BUCKET).transformWithStateInPandas(
+        _Closing(marked.columns, named, gap_ms), schema, "Append", "EventTime"
     )
 
 

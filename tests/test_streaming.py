@@ -193,3 +193,30 @@ def test_word_count_stream_updates(spark, tmp_path):
 def test_arrival_time(spark):
     df = windows.with_arrival_time(spark.createDataFrame([(1,)], "x int"))
     assert dict(df.dtypes)["ts"] == "timestamp" and df.first().ts is not None
+
+
+def test_many_keys_share_calls_and_missing_keys_keep_apart(spark, tmp_path):
+    """Keys are dealt to few buckets, whose rows a call folds key by key; a missing key is a key of its own."""
+    schema, rng = "user bigint, seq bigint, ts bigint", random.Random(5)
+    rows = [(rng.choice([None, 0, *range(300)]), n, 1_000_000 + 1_000 * n - rng.randrange(9_000)) for n in range(900)]
+    df = spark.createDataFrame(rows, schema)
+    assert carried._marked(df, ["user"]).select("_bucket").distinct().count() <= carried.BUCKETS
+    late = str(tmp_path / "late")
+    stream = feed(spark, late, list(rows), [400], schema)
+    carried.late_rows_stream(stream, ["user"], ["seq"], "ts", batches.batch_folders(f"{late}/out"), late).awaitTermination()
+    want = keyed.late_rows(df, ["user"], ["seq"], F.col("ts")).select("seq", "is_late").collect()
+    got = batches.read_batches(spark, f"{late}/out").select("seq", "is_late").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    closed = str(tmp_path / "closed")
+    stream = feed(spark, closed, [*rows, (-1, 900, 9_000_000_000), (-1, 901, 9_000_000_001)], [400, 900, 901], schema)
+    sink = batches.batch_folders(f"{closed}/out")
+    carried.start_batches(carried.closed_sessions(stream, ["user"], "ts", 60_000, 20_000), sink, closed, "closed").awaitTermination()
+    found = {}
+    for user, _, ts in sorted(rows, key=lambda r: r[2]):
+        runs = found.setdefault(user, [])
+        if runs and ts - runs[-1][1] <= 60_000:
+            runs[-1] = (runs[-1][0], ts, runs[-1][2] + 1)
+        else:
+            runs.append((ts, ts, 1))
+    got = [tuple(r) for r in batches.read_batches(spark, f"{closed}/out").collect() if r.user != -1]
+    assert sorted(got, key=str) == sorted(((u, *s) for u, runs in found.items() for s in runs), key=str)
