@@ -127,15 +127,18 @@ def map_rows(
 
     ``make()`` runs in the task and gives the function of a batch, which sees at most PART_BYTES
     of rows, or one row. With ``last`` it is called once more with None after the final batch.
+    What it gives is cut alike: a sent batch lies in memory whole on both sides.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             for part in halves(batch):
-                yield from step(part)
+                for out in step(part):
+                    yield from halves(out)
         if last:
-            yield from step(None)
+            for out in step(None):
+                yield from halves(out)
 
     return df.mapInArrow(run, schema)
 

@@ -47,6 +47,8 @@ ROUNDS = 1
 MEMBERS = 2000
 #: Signatures that one bucket of the index is to hold.
 BUCKET = 1_000_000
+#: Rows that a task builds at once from what it holds.
+ROWS = 1 << 16
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 #: Bits of a set's bitmap for each of its shingles at least, in the long and in the brief form.
 BITS, BRIEF = 4, 1
@@ -189,26 +191,28 @@ def _signatures(docs: DataFrame, frequent, buckets: int) -> DataFrame:
         def out():
             nodes, sets = [h[0] for h in held.values()], [h[1] for h in held.values()]
             size = np.array([len(s) for s in sets], np.int64)
-            yield _sent(len(nodes), bucket=nodes, node=nodes, n=size, bits=[bitmap(s) for s in sets], brief=[bitmap(s, BRIEF) for s in sets])
-            found = [prefix(s, common) for s in sets]
-            for k, name in enumerate(("single", "pair")):
-                per = np.array([len(f[k]) for f in found])
-                sig = np.concatenate([f[k] for f in found])
-                node, n = np.repeat(np.array(nodes, np.int64), per), np.repeat(size, per)
-                if not len(sig):
-                    continue
-                if name == "pair":
-                    yield _sent(len(sig), bucket=sig.view(np.int64) & 0x3FFFFFFF, sig=sig.view(np.int64), node=node, n=n)
-                    continue
-                e = np.empty(len(sig), ENTRY)
-                e["sig"], e["node"], e["n"] = sig, node, n
-                bucket = (sig % np.uint64(buckets)).astype(np.int64)
+            singles = []
+            for a, b in _runs(size, ROWS):
+                some, of = sets[a:b], np.array(nodes[a:b], np.int64)
+                yield _sent(b - a, bucket=(mix(of) & np.uint64(0x3FFFFFFF)).view(np.int64), node=of, n=size[a:b], bits=[bitmap(s) for s in some], brief=[bitmap(s, BRIEF) for s in some])
+                found = [prefix(s, common) for s in some]
+                sig, per = np.concatenate([f[1] for f in found]), [len(f[1]) for f in found]
+                if len(sig):
+                    yield _sent(len(sig), bucket=sig.view(np.int64) & 0x3FFFFFFF, sig=sig.view(np.int64), node=np.repeat(of, per), n=np.repeat(size[a:b], per))
+                sig, per = np.concatenate([f[0] for f in found]), [len(f[0]) for f in found]
+                singles.append(e := np.empty(len(sig), ENTRY))
+                e["sig"], e["node"], e["n"] = sig, np.repeat(of, per), np.repeat(size[a:b], per)
+            held.clear()
+            sets.clear()
+            e = np.concatenate(singles)
+            singles.clear()
+            if len(e):
+                bucket = (e["sig"] % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 e, bucket = e[order], bucket[order]
                 starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
                 ends = np.r_[starts[1:], len(e)]
                 yield _sent(len(starts), bucket=bucket[starts], data=[e[a:b].tobytes() for a, b in zip(starts, ends)])
-            held.clear()
 
         def step(batch):
             nonlocal count
@@ -232,6 +236,12 @@ def _signatures(docs: DataFrame, frequent, buckets: int) -> DataFrame:
     return map_rows(docs.where("doc_id is not null"), make, SENT, last=True)
 
 
+def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """First and last place (exclusive) of runs that add up to about that much, one at least."""
+    ends = np.flatnonzero(np.diff(np.cumsum(sizes) // most, append=-1)) + 1
+    return zip([0, *ends[:-1].tolist()], ends.tolist())
+
+
 def _near_sizes(n, m):
     """Sizes that allow a similarity of 0.75."""
     return (4 * n >= 3 * m) & (4 * m >= 3 * n)
@@ -248,24 +258,27 @@ def _groups(signatures: DataFrame, buckets: int) -> DataFrame:
 
         def one(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
             e = np.frombuffer(b"".join(parts), ENTRY)
+            parts.clear()
             e = e[np.lexsort((e["node"], e["sig"]))]
             fresh = np.r_[True, (e["sig"][1:] != e["sig"][:-1]) | (e["node"][1:] != e["node"][:-1])]
             e = e[fresh]
             starts = np.flatnonzero(np.r_[True, e["sig"][1:] != e["sig"][:-1]])
             size = np.diff(np.r_[starts, len(e)])
             own = np.repeat(size, size)
-            a, b = [], []
+            few = e[(own > 1) & (own <= SMALL_GROUP)]
+            nodes, at = np.unique(few["node"], return_inverse=True)
+            pairs = np.empty(0, np.int64)  # both ends' places among the nodes, as one number
             for gap in range(1, SMALL_GROUP):
-                i = np.flatnonzero((e["sig"][gap:] == e["sig"][:-gap]) & (own[gap:] <= SMALL_GROUP))
-                i = i[_near_sizes(e["n"][i].astype(np.int64), e["n"][i + gap].astype(np.int64))]
-                a.append(e["node"][i])
-                b.append(e["node"][i + gap])
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-            if len(pairs):
-                yield _sent(len(pairs), node=pairs[:, 0], other=pairs[:, 1])
+                i = np.flatnonzero(few["sig"][gap:] == few["sig"][:-gap])
+                i = i[_near_sizes(few["n"][i].astype(np.int64), few["n"][i + gap].astype(np.int64))]
+                pairs = np.union1d(pairs, at[i] * len(nodes) + at[i + gap])
+            for part in np.array_split(pairs, -(-len(pairs) // ROWS)) if len(pairs) else ():
+                a, b = np.divmod(part, len(nodes))
+                yield _sent(len(part), node=nodes[a], other=nodes[b])
             large = e[own > SMALL_GROUP]
-            if len(large):
-                yield _sent(len(large), sig=large["sig"].view(np.int64), node=large["node"].copy(), n=large["n"].astype(np.int64))
+            for k in range(0, len(large), ROWS):
+                part = large[k : k + ROWS]
+                yield _sent(len(part), sig=part["sig"].view(np.int64), node=part["node"].copy(), n=part["n"].astype(np.int64))
 
         def step(batch):
             if batch is None:
@@ -280,7 +293,9 @@ def _groups(signatures: DataFrame, buckets: int) -> DataFrame:
 
         return step
 
-    return map_rows(signatures.repartition(buckets, "bucket"), make, SENT, last=True).drop("bucket", "data")
+    # A task takes one bucket of packed signatures; by a hash it would now and then be several.
+    dealt = signatures.repartitionById(buckets, F.pmod("bucket", F.lit(buckets)).cast("int"))
+    return map_rows(dealt, make, SENT, last=True).drop("bucket", "data")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -7,10 +7,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dripline.llm import decontamination, jaccard, mixing, neighbours, private, quality, repeats, tokens, toxicity, warc
+from dripline.llm import common, decontamination, jaccard, mixing, neighbours, private, quality, repeats, tokens, toxicity, warc
 from dripline.llm.queries import op1, op7
 
 SMALL = "/root/testdata/sf0.001"
@@ -86,6 +88,34 @@ def test_jaccard_frequent_shingles_and_many_near_copies(spark, monkeypatch):
     assert got == classes(texts)
 
 
+def test_a_task_holds_one_bucket_of_signatures(spark):
+    buckets, entries = 8, []
+    for sig in range(3 * buckets):
+        size = 9 if sig < buckets else 2
+        e = np.array([(sig, 100 * sig + k, 10) for k in range(size)], jaccard.ENTRY)
+        entries += [(sig % buckets, e[: size // 2].tobytes()), (sig % buckets, e[size // 2 - 1 :].tobytes())]
+    sent = spark.createDataFrame([(b, bytearray(d), None, None, None, None, None, None) for b, d in entries], jaccard.SENT)
+    got = jaccard._groups(sent, buckets).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.sig, r.node) for r in got if r.sig is not None) == [(s, 100 * s + k) for s in range(buckets) for k in range(9)]
+    assert sorted((r.node, r.other) for r in got if r.other is not None) == [(100 * s, 100 * s + 1) for s in range(buckets, 3 * buckets)]
+    held = defaultdict(set)
+    for r in got:
+        held[r.task].add((r.sig if r.other is None else r.node // 100) % buckets)
+    assert len(held) == buckets and all(len(b) == 1 for b in held.values())
+
+
+def test_sent_batches_are_cut():
+    class Plan:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    big = common.rows(x=pa.array(range(1_500_000), pa.int64()))
+    run = common.map_rows(Plan(), lambda: lambda batch: iter([big]), "x long", last=True)
+    out = list(run(iter([big.slice(0, 1)])))
+    assert pa.Table.from_batches(out).column("x").to_pylist() == 2 * list(range(1_500_000))
+    assert max(b.nbytes for b in out) <= common.PART_BYTES
+
+
 def test_bitmaps_never_exceed_the_difference():
     draw = np.random.default_rng(1)
     for n, m in ((100, 120), (700, 500), (5, 6)):
