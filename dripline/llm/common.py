@@ -86,19 +86,43 @@ class Shared:
         return self._value
 
 
-def per_process(name, make: Callable[[], object]):
-    """A value kept for the life of a worker process.
+def _kept() -> tuple[dict, set]:
+    """What this worker process keeps by name, and the names that its task has asked for.
 
     Functions may travel to a task by value and then have fresh module variables in each, so
-    the value is held by a module of its own.
+    both are held by a module of their own.
     """
     import sys
     from types import ModuleType
 
     store = sys.modules.setdefault("dripline_worker_values", ModuleType("dripline_worker_values")).__dict__
-    if name not in store:
-        store[name] = make()
-    return store[name]
+    return store.setdefault("held", {}), store.setdefault("asked", set())
+
+
+def per_process(name, make: Callable[[], object]):
+    """A value that a worker process keeps for its next tasks, until one does not ask for it."""
+    held, asked = _kept()
+    asked.add(name)
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
+def let_go() -> None:
+    """At the end of a task: drop what it did not ask for, and give freed memory back.
+
+    Workers are used again by later stages, and by themselves keep the most that they ever held.
+    """
+    import ctypes
+
+    held, asked = _kept()
+    for name in held.keys() - asked:
+        del held[name]
+    asked.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
 
 
 def word_hashes() -> Memo:
@@ -130,7 +154,7 @@ def map_rows(
     What it gives is cut alike: a sent batch lies in memory whole on both sides.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             for part in halves(batch):
@@ -140,6 +164,12 @@ def map_rows(
             for out in step(None):
                 yield from halves(out)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            let_go()
+
     return df.mapInArrow(run, schema)
 
 

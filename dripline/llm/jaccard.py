@@ -47,8 +47,8 @@ ROUNDS = 1
 MEMBERS = 2000
 #: Signatures that one bucket of the index is to hold.
 BUCKET = 1_000_000
-#: Rows that a task builds at once from what it holds.
-ROWS = 1 << 16
+#: Entries of a bucket that are sorted and paired at once; rows that a task builds at once from what it holds.
+PIECE, ROWS = 1 << 18, 1 << 16
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 #: Bits of a set's bitmap for each of its shingles at least, in the long and in the brief form.
 BITS, BRIEF = 4, 1
@@ -259,6 +259,14 @@ def _groups(signatures: DataFrame, buckets: int) -> DataFrame:
         def one(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
             e = np.frombuffer(b"".join(parts), ENTRY)
             parts.clear()
+            pieces = len(e) // PIECE + 1
+            # Entries with one signature share a piece: a bucket holds one remainder by ``buckets``.
+            piece = (e["sig"] // np.uint64(buckets) % np.uint64(pieces)).astype(np.int32)
+            for k in range(pieces):
+                if len(some := e[piece == k]):
+                    yield from among(some)
+
+        def among(e: np.ndarray) -> Iterator[pa.RecordBatch]:
             e = e[np.lexsort((e["node"], e["sig"]))]
             fresh = np.r_[True, (e["sig"][1:] != e["sig"][:-1]) | (e["node"][1:] != e["node"][:-1])]
             e = e[fresh]
@@ -325,12 +333,13 @@ def _folded(bits: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     }
 
 
-def likely_pairs(node, n, of, bits, side) -> np.ndarray:
+def likely_pairs(node, n, of, bits, side) -> Iterator[np.ndarray]:
     """Pairs of different components whose bitmaps allow the similarity, among rows of one group.
 
     ``side`` is 0, 1 or 2 (both): only pairs of a row of side 0 and one of side 1 are compared.
+    Most pairs of a block may be likely, so they are given in parts of about ROWS.
     """
-    out, by = [np.empty((0, 2), np.int64)], _folded(bits)
+    out, count, by = [], 0, _folded(bits)
     for w, (at, x) in by.items():
         for v in (w, 2 * w):
             if v not in by:
@@ -346,7 +355,12 @@ def likely_pairs(node, n, of, bits, side) -> np.ndarray:
                     apart = np.bitwise_count(y[j] ^ x[k]).sum(1).astype(np.int64)
                     j = to[j[7 * apart <= n[to[j]] + n[i]]]
                     out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], 1))
-    return np.concatenate(out)
+                    count += len(j)
+                    if count >= ROWS:
+                        yield np.concatenate(out)
+                        out, count = [], 0
+    if count:
+        yield np.concatenate(out)
 
 
 def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -364,10 +378,10 @@ def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
     def make():
         held: list[pa.Table] = []
 
-        def pairs(group: pa.Table) -> pa.RecordBatch:
+        def pairs(group: pa.Table) -> Iterator[pa.RecordBatch]:
             node, n, of, side = (group.column(c).to_numpy() for c in ("node", "n", "of", "side"))
-            found = np.unique(likely_pairs(node, n, of, group.column("brief").to_pylist(), side), axis=0)
-            return rows(a=pa.array(found[:, 0]), b=pa.array(found[:, 1]))
+            for found in likely_pairs(node, n, of, group.column("brief").to_pylist(), side):
+                yield rows(a=pa.array(found[:, 0]), b=pa.array(found[:, 1]))
 
         def step(batch):
             if batch is not None:
@@ -383,8 +397,7 @@ def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
                 held.append(all_.slice(int(edges[-1])))
                 edges, ends = edges[:-1], ends[:-1]
             for a, b in zip(edges, ends):
-                if (got := pairs(all_.slice(int(a), int(b - a)))).num_rows:
-                    yield got
+                yield from pairs(all_.slice(int(a), int(b - a)))
 
         return step
 

@@ -105,6 +105,52 @@ def test_a_task_holds_one_bucket_of_signatures(spark):
     assert len(held) == buckets and all(len(b) == 1 for b in held.values())
 
 
+def test_a_bucket_is_paired_piece_by_piece(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIECE", 4)
+    sizes, buckets, entries = {0: 5, 3: 2, 6: 9, 9: 3, 12: 1}, 3, []
+    for sig, size in sizes.items():
+        e = np.array([(sig, 100 * sig + k, 10) for k in range(size)], jaccard.ENTRY)
+        entries += [(0, bytearray(half.tobytes()), *[None] * 6) for half in (e[::2], e[1::2])]
+    got = jaccard._groups(spark.createDataFrame(entries, jaccard.SENT), buckets).collect()
+    pairs = {(100 * s + a, 100 * s + b) for s, n in sizes.items() if n <= jaccard.SMALL_GROUP for b in range(n) for a in range(b)}
+    assert sorted((r.node, r.other) for r in got if r.other is not None) == sorted(pairs)
+    assert sorted((r.sig, r.node) for r in got if r.sig is not None) == [(6, 600 + k) for k in range(9)]
+
+
+def test_likely_pairs_come_in_parts():
+    count = 700
+    s = np.arange(40, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    node, n = np.arange(count) + 5, np.full(count, len(s))
+    parts = list(jaccard.likely_pairs(node, n, node, [jaccard.bitmap(s, 1)] * count, np.full(count, 2)))
+    assert max(map(len, parts)) < jaccard.ROWS + count and len(parts) > 3
+    assert sorted(map(tuple, np.concatenate(parts).tolist())) == [(a + 5, b + 5) for a in range(count) for b in range(a + 1, count)]
+    assert not list(jaccard.likely_pairs(node, n, node * 0, [jaccard.bitmap(s, 1)] * count, np.full(count, 2)))
+
+
+def test_a_worker_keeps_what_its_last_task_asked_for():
+    class Here:
+        def mapInArrow(self, run, schema):
+            return lambda: list(run(iter([pa.record_batch({"a": [1, 2]})])))
+
+    made = []
+
+    def task(*names):
+        def make():
+            for name in names:
+                common.per_process(name, lambda: made.append(name))
+            return lambda batch: iter([batch])
+
+        assert common.map_rows(Here(), make, "a long")()[0].num_rows == 2
+
+    task("x", "y")
+    task("x")
+    task("x", "y")
+    assert made == ["x", "y", "y"]
+    task()
+    task("x")
+    assert made == ["x", "y", "y", "x"]
+
+
 def test_sent_batches_are_cut():
     class Plan:
         def mapInArrow(self, run, schema):  # noqa: N802
@@ -380,6 +426,18 @@ def test_tokens(spark, odd, nothing):
     assert tokens.token_digests(odd).count() == odd.count() and tokens.token_digests(nothing).count() == 0
 
 
+def test_words_are_remembered_without_what_is_behind_them(monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain, encode = Tokenizer.from_file(tokens.default_tokenizer()), tokens.Encoder(tokens.default_tokenizer())
+    encode(["abc abc. abc,", "d'e. été?!"])
+    assert set(encode.numbers) == {"abc", "", ".", ",", "d'e.", "été", "?!"}
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    for text in ("one two. three", "one, four..", "É.. a.b 12. 日本.", "two one"):
+        assert encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids + [1], text
+    assert len(encode.numbers) == 3
+
+
 def test_token_starts_do_not_depend_on_files(spark, tmp_path):
     docs = spark.createDataFrame([(k, "word " * (k % 9)) for k in range(300)], "doc_id long, text string")
     want = {r.doc_id: (r.start, r.n_tokens) for r in tokens.token_digests(docs).collect()}
