@@ -50,8 +50,8 @@ BUCKET = 1_000_000
 #: Entries of a bucket that are sorted and paired at once; rows that a task builds at once from what it holds.
 PIECE, ROWS = 1 << 18, 1 << 16
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
-#: Bits of a set's bitmap for each of its shingles at least, in the long and in the brief form.
-BITS, BRIEF = 4, 1
+#: Bits of a set's bitmap for each of its shingles at least, in the long and in the brief form, and of any bitmap.
+BITS, BRIEF, LEAST_BITS = 4, 1, 2048
 ENTRY = np.dtype([("sig", "<u8"), ("node", "<i8"), ("n", "<i4")])
 
 
@@ -158,7 +158,7 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def bitmap(s: np.ndarray, each: int = BITS) -> bytes:
     """Parity of the shingles by the low bits of their hash; as many bits as the size asks for."""
-    bits = max(512, 1 << (each * len(s) - 1).bit_length())
+    bits = max(LEAST_BITS, 1 << (each * len(s) - 1).bit_length())
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
@@ -364,7 +364,10 @@ def likely_pairs(node, n, of, bits, side) -> Iterator[np.ndarray]:
 
 
 def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs across the components of each group, compared block by block."""
+    """Likely pairs across the components of each group, compared block by block.
+
+    Near copies meet in a group for each signature that they share; a task sends a pair once.
+    """
     count = rest.groupBy("sig").agg(((F.count("*") - 1) / MEMBERS).cast("int").alias("more"))
     own = F.pmod(F.xxhash64("node"), F.col("more") + 1).cast("int")
     dealt = rest.join(nodes.select("node", "brief"), "node").join(count, "sig").withColumn("own", own)
@@ -377,11 +380,17 @@ def _within_groups(rest: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def make():
         held: list[pa.Table] = []
+        sent: set[tuple[int, int]] = set()
 
         def pairs(group: pa.Table) -> Iterator[pa.RecordBatch]:
             node, n, of, side = (group.column(c).to_numpy() for c in ("node", "n", "of", "side"))
             for found in likely_pairs(node, n, of, group.column("brief").to_pylist(), side):
-                yield rows(a=pa.array(found[:, 0]), b=pa.array(found[:, 1]))
+                fresh = [pair for pair in map(tuple, found.tolist()) if pair not in sent]
+                if len(sent) > ROWS:
+                    sent.clear()  # what is sent again is dropped later
+                sent.update(fresh)
+                if fresh:
+                    yield rows(**dict(zip("ab", map(pa.array, zip(*fresh)))))
 
         def step(batch):
             if batch is not None:

@@ -10,8 +10,8 @@ files a range was written to.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +21,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dripline.llm.common import Memo, map_rows, per_process, rows, texts
+from dripline.llm.common import map_rows, per_process, rows, texts
 from dripline.session import scratch
 
 END = 1
 #: Words that an encoder remembers at once; punctuation that is split from a word before it.
-REMEMBERED, BEHIND = 500_000, ".,;:!?*#$%&|"
+REMEMBERED, BEHIND = 300_000, ".,;:!?*#$%&|"
 #: Words of these letters only, which keep to one word when they are normalised.
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+LATIN = re.compile(LETTERS[1:-1]).fullmatch
+ALPHABET = "".join(c for c in map(chr, range(0x100)) if LATIN(c))
 #: An encoder takes at most so many rows at a time, and no further row beyond so many characters.
 BLOCK, BLOCK_CHARS = 1000, 4 << 20
 #: Bytes of a stripe and rows between two entries of the row index.
@@ -62,22 +64,47 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        merges, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        self.tokenizer = Tokenizer.from_file(path)
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
         # How the merges write a letter: its bytes as characters.
-        written = {ord(c): cut(c)[0][0] for c in map(chr, range(0x100)) if LATIN(c) and not c.isascii()}
-
-        def make(word: str) -> bytes:
-            letters = word.rstrip(BEHIND)
-            if LATIN(letters):
-                if letters != word:
-                    return memo[letters] + memo[word[len(letters) :]]
-                ids = [t.id for t in merges(word.lower().translate(written))]
-            else:
-                ids = tokenizer.encode(word, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}i", *ids)
-
-        memo = self.memo = Memo(make, REMEMBERED)
+        self.written = {ord(c): c if c.isascii() else cut(c)[0][0] for c in map(chr, range(0x100)) if LATIN(c)}
+        self._forget()
+
+    def _forget(self) -> None:
+        """A word's number is its place among the remembered ones; their ids stand in one array."""
+        self.numbers: dict[str, int] = {}
+        self.ids, self.ends = array("i"), array("q", [0])
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words; those not met before are encoded."""
+        numbers, ids, ends = self.numbers, self.ids, self.ends
+        merges, encode, written = self.tokenizer.model.tokenize, self.tokenizer.encode, self.written
+        for word in words:
+            if word not in numbers:
+                if word.isascii() and word.isalpha():
+                    ids.extend([t.id for t in merges(word.lower())])
+                elif LATIN(word):
+                    ids.extend([t.id for t in merges(word.lower().translate(written))])
+                else:
+                    ids.extend(encode(word, add_special_tokens=False).ids)
+                ends.append(len(ids))
+                numbers[word] = len(numbers)
+        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one after another, and how many each has."""
+        if len(self.numbers) >= REMEMBERED:
+            self._forget()
+        letters = pc.utf8_rtrim(words, BEHIND)
+        latin = pc.match_substring_regex(letters, LETTERS)
+        front = pc.if_else(latin, letters, words)
+        behind = pc.if_else(latin, pc.utf8_ltrim(words, ALPHABET), "")
+        parts = pa.concat_arrays([front, behind.cast(front.type)]).dictionary_encode()
+        place = self._places(parts.dictionary.to_pylist())[parts.indices.to_numpy().reshape(2, -1).T.ravel()]
+        ends = np.frombuffer(self.ends, np.int64)
+        size = ends[place + 1] - ends[place]
+        ids = _gathered(np.frombuffer(self.ids, np.int32), ends[place], size) if len(self.ids) else np.empty(0, np.int32)
+        return ids, size.reshape(-1, 2).sum(1)
 
     def __call__(self, found: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and where each text's ids end.
@@ -87,16 +114,21 @@ class Encoder:
         plain = [t.lower() if t and t.isascii() and "<|" not in t else t or "" for t in found]
         split = pc.split_pattern(pa.array([t.replace("\n", " ") for t in plain], pa.large_string()), " ")
         numbered = split.flatten().dictionary_encode()
-        ids, word = [self.memo[w] for w in numbered.dictionary.to_pylist()], numbered.indices.to_numpy()
-        size = np.array([len(i) // 4 for i in ids], np.int64)
-        first = np.cumsum(size) - size
-        ends = np.cumsum(size[word])
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[word] - ends + size[word], size[word])
-        last = np.r_[0, ends][np.cumsum(split.value_lengths().to_numpy())]
-        flat = np.insert(np.frombuffer(b"".join(ids), "<i4")[at], last, END)
+        ids, size = self._words(numbered.dictionary)
+        word, first = numbered.indices.to_numpy(), np.cumsum(size) - size
+        last = np.r_[0, np.cumsum(size[word])][np.cumsum(split.value_lengths().to_numpy())]
+        flat = np.insert(_gathered(ids, first[word], size[word]), last, END)
         return flat, last + np.arange(1, len(found) + 1)
 
 
+def _gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of values, one after another."""
+    ends = np.cumsum(size)
+    at = np.repeat((first - ends + size).astype(np.int32 if max(len(values), ends[-1:].sum()) < 1 << 31 else np.int64), size)
+    at += np.arange(len(at), dtype=at.dtype)
+    return values[at]
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of this worker process, with what it remembers from earlier tasks."""
     return per_process(("encoder", path), lambda: Encoder(path))
