@@ -127,6 +127,24 @@ def test_likely_pairs_come_in_parts():
     assert not list(jaccard.likely_pairs(node, n, node * 0, [jaccard.bitmap(s, 1)] * count, np.full(count, 2)))
 
 
+def test_a_pair_that_meets_in_many_groups_is_sent_once(monkeypatch, spark):
+    s = np.arange(40, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    nodes = spark.createDataFrame([(k, bytearray(jaccard.bitmap(s, jaccard.BRIEF))) for k in range(4)], "node long, brief binary")
+    rest = spark.createDataFrame([(sig, k, 40, k) for sig in range(50) for k in range(4)], "sig long, node long, n long, of long")
+    monkeypatch.setattr(type(rest), "distinct", lambda df: df)
+    got = [tuple(r) for r in jaccard._within_groups(rest.coalesce(1), nodes).collect()]
+    pairs = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+    assert sorted(set(got)) == pairs and len(got) <= 8 * len(pairs)  # of 50 each
+
+
+def test_bitmaps_tell_short_texts_apart():
+    draw = np.random.default_rng(3)
+    for n in (100, 396, 900):
+        x = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+        y = np.r_[x[: n * 5 // 6], draw.integers(0, 2**63, n - n * 5 // 6).astype(np.uint64)]  # similar by 0.71
+        assert 7 * jaccard.bits_apart(jaccard.bitmap(x, jaccard.BRIEF), jaccard.bitmap(y, jaccard.BRIEF)) > 2 * n
+
+
 def test_a_worker_keeps_what_its_last_task_asked_for():
     class Here:
         def mapInArrow(self, run, schema):
