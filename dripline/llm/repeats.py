@@ -15,14 +15,15 @@ place inside, so their anchors fall into the same Q-gram bucket.
 A task keeps one entry of each (bucket, surroundings) it meets, so large groups of copies
 shrink before the shuffle. A bucket that is mixed within one task is refined in any case; its
 entries are dealt by surroundings, with two witnesses for other tasks, so a frequent Q-gram
-does not gather in one task.
+does not gather in one task. Buckets have keys that deal each to a task of its own: Spark sends
+a task's rows to Python in one batch, held several times over, so several buckets cost memory.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dripline.llm.common import land, map_rows, mix, per_process, rows, texts
@@ -142,7 +143,19 @@ def unpack(data: bytes) -> np.ndarray:
     return e
 
 
-def _packed(e: np.ndarray, bucket: np.ndarray, told: np.ndarray) -> pa.RecordBatch:
+def even_keys(spark: SparkSession, buckets: int) -> np.ndarray:
+    """A key for each bucket; ``repartition`` to as many partitions deals each to one of its own.
+
+    Only evenness hangs on it: the keys differ in any case.
+    """
+    at = F.pmod(F.hash("id"), F.lit(buckets)).alias("at")
+    keys = -1 - np.arange(buckets)
+    for r in spark.range(30 * buckets).select("id", at).groupBy("at").agg(F.min("id").alias("key")).collect():
+        keys[r["at"]] = r["key"]
+    return keys
+
+
+def _packed(e: np.ndarray, bucket: np.ndarray, told: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     """One row for each bucket and whether its entries are told to be mixed."""
     key = bucket.astype(np.int64) * 2 + told
     order = np.argsort(key, kind="stable")
@@ -150,28 +163,31 @@ def _packed(e: np.ndarray, bucket: np.ndarray, told: np.ndarray) -> pa.RecordBat
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     n = len(starts)
     return rows(
-        bucket=pa.array(key[starts] >> 1),
+        bucket=pa.array(keys[key[starts] >> 1]),
         data=pa.array([pack(e[a:b]) for a, b in zip(starts, np.r_[starts[1:], len(e)])], pa.binary()),
         doc_id=pa.nulls(n, pa.int64()), first=pa.nulls(n, pa.int64()), last=pa.nulls(n, pa.int64()), kind=pa.array(key[starts] & 1),
     )
 
 
-def _gathered(df: DataFrame, entries, buckets: int, refine: bool) -> DataFrame:
+def _gathered(df: DataFrame, entries, keys: np.ndarray, refine: bool) -> DataFrame:
     """Entries of each batch, shrunk per task; copies within the task come out as marks.
 
     With ``refine`` g and c are the two halves of one final id, so no bucket is mixed.
     """
+    buckets = len(keys)
 
     def make():
         held, count = [], 0
 
         def out():
-            e, first = _first_of_each(np.concatenate(held))
+            e = np.concatenate(held)
+            held.clear()
+            e, first = _first_of_each(e)
             if (~first).any():
                 yield _marks(_runs(e[~first]), COPY)
             e = e[first]
             if refine:
-                yield _packed(e, e["g"] % np.uint64(buckets), np.zeros(len(e), bool))
+                yield _packed(e, e["g"] % np.uint64(buckets), np.zeros(len(e), bool), keys)
                 return
             many = _mixed(e)
             edge = many & (np.r_[True, e["g"][1:] != e["g"][:-1]] | np.r_[e["g"][1:] != e["g"][:-1], True])
@@ -180,7 +196,7 @@ def _gathered(df: DataFrame, entries, buckets: int, refine: bool) -> DataFrame:
             witness["first"] = -1
             spread = np.where(many, mix(e["c"] ^ e["g"]), e["g"]) % np.uint64(buckets)
             bucket = np.r_[spread, witness["g"] % np.uint64(buckets)]
-            yield _packed(np.r_[e, witness], bucket, np.r_[many, np.zeros(len(witness), bool)])
+            yield _packed(np.r_[e, witness], bucket, np.r_[many, np.zeros(len(witness), bool)], keys)
 
         def step(batch):
             nonlocal count
@@ -193,7 +209,6 @@ def _gathered(df: DataFrame, entries, buckets: int, refine: bool) -> DataFrame:
                 count += len(e)
                 if count >= CHUNK:
                     yield from out()
-                    held.clear()
                     count = 0
 
         return step
@@ -300,11 +315,13 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(32, 2 * size // WINDOW // BUCKET))
-    marks = land(_reduced(_gathered(docs, _anchor_entries, buckets, False), buckets), "marks")
+    keys = even_keys(docs.sparkSession, buckets)
+    marks = land(_reduced(_gathered(docs, _anchor_entries, keys, False), buckets), "marks")
     unclear = docs.join(_by_document(marks.where(F.col("kind") == MIXED)), "doc_id")
     starts = int(marks.where(F.col("kind") == MIXED).agg(F.sum(F.col("last") - F.col("first") + 1)).first()[0] or 0)
     buckets = max(32, starts // BUCKET)
-    more = land(_reduced(_gathered(unclear, _start_entries, buckets, True), buckets), "starts")
+    keys = even_keys(docs.sparkSession, buckets)
+    more = land(_reduced(_gathered(unclear, _start_entries, keys, True), buckets), "starts")
     return _by_document(marks.where(F.col("kind") == COPY).union(more.where(F.col("kind") == COPY)))
 
 

@@ -393,6 +393,26 @@ def test_repeats(spark, odd, nothing, monkeypatch):
     assert repeats.repeat_digests(nothing).count() == 0
 
 
+def test_buckets_of_repeats_have_a_task_each(spark, monkeypatch):
+    """Rows of one task reach Python in one batch, so buckets that share a task cost memory."""
+    monkeypatch.setattr(repeats, "BUCKET", 100)
+    draw = np.random.default_rng(7)
+    texts = {k: "".join(map(chr, draw.integers(97, 123, 1500))) for k in range(80)}
+    texts |= {k + 80: texts[k][:500] + texts[k + 1][:700] for k in range(30)}
+    dealt, inner = [], repeats._reduced
+
+    def reduced(gathered, buckets):
+        own = gathered.where("data is not null").repartition(buckets, "bucket").groupBy(F.spark_partition_id())
+        dealt.append((buckets, [r["n"] for r in own.agg(F.countDistinct("bucket").alias("n")).collect()]))
+        return inner(gathered, buckets)
+
+    monkeypatch.setattr(repeats, "_reduced", reduced)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    row = lambda r: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+    assert {r.doc_id: row(r) for r in repeats.repeat_digests(df).collect()} == plain_repeats(texts)
+    assert len(dealt) == 2 and all(buckets >= 32 and len(n) >= 32 and max(n) == 1 for buckets, n in dealt)
+
+
 def test_many_surroundings_of_one_string():
     """300,000 surroundings of one Q-gram with a low hash, which is the anchor of all strings around it."""
     draw = np.random.default_rng(8)
