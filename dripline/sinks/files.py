@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dripline.functions import text, times
 from dripline.functions.once import with_once
 from dripline.session import files_of, written
+from dripline.sinks import local
 from dripline.sinks.batches import kept
 
 # How often files roll, and the bytes of a file at most.
@@ -19,6 +20,8 @@ ROLL = "3 minutes"
 PART_BYTES = 100 << 20
 #: Files that a task writes, where they are small; opening a file takes longer than filling it.
 TASK_FILES = 50
+#: A part's folder.
+BY = ["dt", "hr", "part"]
 #: Folders that the driver removes at a time.
 REMOVERS = 16
 
@@ -55,20 +58,25 @@ def _hours(bucketed: DataFrame, part_bytes: int) -> DataFrame:
     return hours.select(F.col("dt").alias("_dt"), F.col("hr").alias("_hr"), unit, files, slices)
 
 
-def with_parts(bucketed: DataFrame, part_bytes: int = PART_BYTES, name: str = "", hours: DataFrame | None = None) -> DataFrame:
+def with_parts(
+    bucketed: DataFrame, part_bytes: int = PART_BYTES, name: str = "", hours: DataFrame | None = None, tasks: int = 0
+) -> DataFrame:
     """Add ``part``, the file of its hour that a line goes to; none holds more than ``part_bytes``.
 
     An hour's bytes give the number of its slices, which lines join by a hash, so that a busy hour
     is cut by many tasks. Inside a slice the bytes before a line (a prefix sum) give its file; a slice
     is to hold TASK_FILES small files, of which only the last is not full, or one large file. Files
     are filled to the limit less the hour's longest line, so that no line overruns it. A line longer
-    than the limit is a file of its own.
+    than the limit is a file of its own. With ``tasks``, slices are dealt to so many, and the lines of a
+    part follow one another.
     """
     size = F.octet_length("value") + 1
     hours = _hours(bucketed, part_bytes) if hours is None else hours
     # As many rows as there are hours: Spark broadcasts them where they are few.
     rows = bucketed.join(hours, F.col("dt").eqNullSafe(F.col("_dt")) & F.col("hr").eqNullSafe(F.col("_hr")), "left")
     rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.rand(7)), "_slices"))
+    if tasks:
+        rows = rows.repartition(tasks, "dt", "hr", "_slice")
     before = Window.partitionBy("dt", "hr", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     number = F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / F.col("_unit"))
     return rows.select("value", "dt", "hr", F.concat(F.lit(name), F.col("_slice"), F.lit("-"), number).alias("part"))
@@ -87,21 +95,34 @@ def write_hour_buckets(bucketed: DataFrame, path: str, batch_id: int = 0, part_b
 def _write_cut(bucketed: DataFrame, path: str, part_bytes: int, name: str) -> None:
     """Cut hours into parts and write them, by as many tasks as their files ask for.
 
-    Spark would join the tasks of few bytes, however many files those are.
+    Spark would join the tasks of few bytes, however many files those are. Lines are made and parsed once.
     """
-    hours = written(_hours(bucketed, part_bytes), "hours")
-    files = hours.agg(F.sum("_files")).first()[0] or 0
-    _write_parts(with_parts(bucketed, part_bytes, name, hours), path, -(-files // _each(part_bytes)))
+    with kept(bucketed) as held:
+        hours = written(_hours(held, part_bytes), "hours")
+        files = hours.agg(F.sum("_files")).first()[0] or 0
+        tasks = -(-files // _each(part_bytes)) or 1
+        _write_dealt(with_parts(held, part_bytes, name, hours, tasks), path, name)
 
 
-def _write_parts(parts: DataFrame, path: str, tasks: int = 0) -> None:
-    by = ["dt", "hr", "part"]
-    dealt = parts.repartition(tasks, *by) if tasks else parts.repartition(*by)
-    dealt.sortWithinPartitions(*by).write.partitionBy(*by).mode("append").text(path)
+def _write_parts(parts: DataFrame, path: str) -> None:
+    _write_dealt(parts.repartition(*BY).sortWithinPartitions(*BY), path)
+
+
+def _write_dealt(parts: DataFrame, path: str, name: str = "") -> None:
+    """Write parts whose lines follow one another in one task."""
+    here = local.local_path(parts.sparkSession, path)
+    if here:
+        local.write_lines(parts, here, BY, name)
+    else:
+        parts.write.partitionBy(*BY).mode("append").text(path)
 
 
 def _remove_parts(spark: SparkSession, path: str, name: str) -> None:
     """Remove the parts whose names start so."""
+    here = local.local_path(spark, path)
+    if here:
+        local.remove(spark, [f for p in (f"dt=*/hr=*/part={name}*", f"{local.STAGED}/{name}*") for f in local.found(here, p)])
+        return
     store, where = files_of(spark, f"{path}/dt=*/hr=*/part={name}*")
     _remove(store, (status.getPath() for status in store.globStatus(where) or []))
 
@@ -122,8 +143,7 @@ def start_hour_buckets(
     """Write a stream; a micro-batch that is repeated replaces the files it left."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with kept(batch) as held:
-            write_hour_buckets(held, path, batch_id, part_bytes)
+        write_hour_buckets(batch, path, batch_id, part_bytes)
 
     writer = bucketed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(name)
     return (
@@ -133,8 +153,11 @@ def start_hour_buckets(
 
 def part_sizes(spark: SparkSession, path: str) -> DataFrame:
     """``dt, hr, part, row_count, part_bytes`` of every file that readers see."""
+    here = local.local_path(spark, path)
+    if here:
+        return _shown(local.counted(spark, here, BY), path)
     lines = _visible(spark, path)
-    return lines.groupBy("dt", "hr", "part").agg(
+    return lines.groupBy(*BY).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(F.octet_length("value") + 1).alias("part_bytes")
     )
 
@@ -173,20 +196,32 @@ def _manifests(spark: SparkSession, path: str) -> dict[int, list]:
 
 
 def _remove_hidden(spark: SparkSession, path: str, hidden: list) -> None:
+    here = local.local_path(spark, path)
+    if here:
+        local.remove(spark, ["/".join([here, *map(local.folder_of, BY, (r.dt, r.hr, r.part))]) for r in hidden])
+        return
     store, _ = files_of(spark, path)
     _remove(store, (spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={r.dt}/hr={r.hr}/part={r.part}") for r in hidden))
 
 
 def _visible(spark: SparkSession, path: str) -> DataFrame:
     """Lines of all parts but those that a merge has replaced, or has not finished."""
-    lines = spark.read.schema("value string, dt string, hr string, part string").text(path)
+    # Hours as paths: each is listed by one task. From the top, Spark would list each part by a task of its own.
+    store, hours = files_of(spark, f"{path}/dt=*/hr=*")
+    reader = spark.read.schema("value string, dt string, hr string, part string").option("basePath", path)
+    return _shown(reader.text(hours.toString() if store.globStatus(hours) else path), path)
+
+
+def _shown(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of all parts but those that a merge has replaced, or has not finished."""
+    spark = rows.sparkSession
     runs = _manifests(spark, path)
     merged = F.regexp_extract(F.coalesce("part", F.lit("")), "^m([0-9]+)-", 1)
-    lines = lines.where((merged == "") | merged.isin([str(r) for r in runs]))
-    hidden = [(r.dt, r.hr, r.part) for rows in runs.values() for r in rows]
+    rows = rows.where((merged == "") | merged.isin([str(r) for r in runs]))
+    hidden = [(r.dt, r.hr, r.part) for found in runs.values() for r in found]
     if not hidden:
-        return lines
-    return lines.join(spark.createDataFrame(hidden, "dt string, hr string, part string"), ["dt", "hr", "part"], "left_anti")
+        return rows
+    return rows.join(spark.createDataFrame(hidden, "dt string, hr string, part string"), BY, "left_anti")
 
 
 def read_hour_buckets(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from dripline import config, session
 from dripline.functions import cells
 from dripline.operators import rows
 from dripline.plans import etl, sqljob
-from dripline.sinks import batches, files, jdbc, remote, splits, stores, subtables, upserts, writers
+from dripline.sinks import batches, files, jdbc, local, remote, splits, stores, subtables, upserts, writers
 from dripline.sources import kafka, polled, polling, readers, synthetic
 from dripline.streaming.carried import start_batches
 from test_rows import PUMP
@@ -182,6 +182,78 @@ def test_small_files_are_full_and_dealt_to_many_tasks(spark, tmp_path):
     assert len(writers) > 3
 
 
+def _hadoop_bytes(spark):
+    return sum(s.getBytesWritten() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+
+
+def test_small_local_files_are_not_opened_by_hadoop(spark, tmp_path):
+    """Each file that Hadoop opens costs processes; they are written, counted and removed without it."""
+    at = str(tmp_path / "b")
+    lines = spark.range(3_000).selectExpr("lpad(id, 19, '0') AS value", "'20240101' AS dt", "lpad(id % 3, 2, '0') AS hr")
+    before = _hadoop_bytes(spark)
+    for _ in range(2):
+        files.write_hour_buckets(lines, at, 0, 400)
+    sizes = files.part_sizes(spark, at).collect()
+    assert sum(r.part_bytes for r in sizes) == 60_000 and max(r.part_bytes for r in sizes) <= 400
+    assert _hadoop_bytes(spark) - before < 60_000
+    assert {p.name for p in (tmp_path / "b").iterdir()} == {"dt=20240101"}
+
+
+def test_parts_are_the_same_with_and_without_hadoop(spark, tmp_path, monkeypatch):
+    """Missing and empty lines, line ends inside lines, names to be escaped: same folders, lines, counts and removals."""
+    days = [None, "20240101", "a=b/c:%{x}"]
+    rows = [(f"{d}-{n}" * (n % 5), d, f"0{n % 2}", f"b{n % 3}-0-0") for d in days for n in range(12)]
+    rows += [(None, "20240102", "01", "b0-0-0"), ("a\rb\r\nc\n", "20240102", "01", "b0-0-0"), ("\ufeffé", "20240102", "02", None)]
+    df = spark.createDataFrame(rows, "value string, dt string, hr string, part string").repartition(3)
+    here, found = local.local_path, {}
+    for hadoop in (True, False):
+        at = str(tmp_path / str(hadoop))
+        monkeypatch.setattr(local, "local_path", (lambda *_: None) if hadoop else here)
+        files._write_parts(df, at)
+        folders = sorted(str(p.relative_to(at)) for p in (tmp_path / str(hadoop)).glob("dt=*/hr=*/part=*"))
+        lines = sorted(map(repr, files._visible(spark, at).select("value", *files.BY).collect()))
+        sizes = sorted(map(repr, files.part_sizes(spark, at).collect()))
+        monkeypatch.setattr(local, "local_path", here)
+        assert sizes == sorted(map(repr, files.part_sizes(spark, at).collect()))
+        assert len(list((tmp_path / str(hadoop)).rglob(".part-*.crc"))) == len(folders)
+        monkeypatch.setattr(local, "local_path", (lambda *_: None) if hadoop else here)
+        files._remove_parts(spark, at, "b0-")
+        found[hadoop] = folders, lines, sizes, sorted(str(p.relative_to(at)) for p in (tmp_path / str(hadoop)).glob("dt=*/hr=*/part=*"))
+    assert found[True] == found[False] and len(found[True][0]) > len(found[True][3]) > 0
+
+
+def test_a_changed_byte_is_seen(spark, tmp_path):
+    at = str(tmp_path / "b")
+    files.write_hour_buckets(spark.createDataFrame([("x" * 3_000, "20240101", "05")], "value string, dt string, hr string"), at)
+    assert files.part_sizes(spark, at).first().part_bytes == 3_001
+    (file,) = (tmp_path / "b").rglob("part-*.txt")
+    file.write_bytes(b"y" + file.read_bytes()[1:])
+    for read in (files.part_sizes, files.read_hour_buckets):
+        with pytest.raises(Exception, match="(?i)checksum"):
+            read(spark, at).collect()
+
+
+def test_a_failed_write_shows_nothing(spark, tmp_path):
+    at = tmp_path / "b"
+    bad = spark.range(100).selectExpr("IF(id = 99, raise_error('no'), id) AS value", "'20240101' AS dt", "'05' AS hr", "concat('b0-', id) AS part")
+    with pytest.raises(Exception, match="no"):
+        local.write_lines(bad.withColumn("value", F.col("value").cast("string")).coalesce(1), str(at), files.BY)
+    assert list(at.iterdir()) == []
+
+
+def test_parts_are_moved_once(tmp_path):
+    """Into an open folder too; a move that was cut short or is done again ends the same."""
+    staged, to = tmp_path / "s", tmp_path / "t"
+    for folder, part, name in ((staged, "p=1", "a"), (staged, "p=2", "b"), (to, "p=2", "c")):
+        (folder / "d=1" / part).mkdir(parents=True)
+        (folder / "d=1" / part / name).write_text(name)
+    move = local._mover(str(to), 2)
+    for _ in range(2):
+        move(str(staged))
+        assert sorted(str(p.relative_to(to)) for p in to.rglob("[abc]")) == ["d=1/p=1/a", "d=1/p=2/b", "d=1/p=2/c"]
+    assert not staged.exists()
+
+
 def test_closed_hours_are_compacted(spark, tmp_path):
     """Many small files become few, no line changes, open hours stay; a run that failed midway is not seen."""
     at = str(tmp_path / "b")
