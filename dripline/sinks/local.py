@@ -140,13 +140,16 @@ def write_lines(lines: DataFrame, path: str, by: list[str], name: str = "") -> N
 def _mover(path: str, levels: int) -> Callable:
     def move(staged: str, to: str, level: int) -> None:
         """Move folders of the last level as a whole, or their files where a folder is there; done twice is as once."""
-        with suppress(FileNotFoundError):  # another try has moved it
+        try:
             entries = os.listdir(staged)
-            if level < levels:
-                os.makedirs(to, exist_ok=True)
-            for name in entries:
-                if level + 1 < levels or not _renamed(f"{staged}/{name}", f"{to}/{name}"):
-                    move(f"{staged}/{name}", f"{to}/{name}", level + 1)
+        except FileNotFoundError:  # another try has moved it
+            return
+        if level < levels:
+            os.makedirs(to, exist_ok=True)
+        for name in entries:
+            if level + 1 < levels or not _renamed(f"{staged}/{name}", f"{to}/{name}"):
+                move(f"{staged}/{name}", f"{to}/{name}", level + 1)
+        with suppress(FileNotFoundError):
             os.rmdir(staged)
 
     return lambda folder: move(folder, path, 0)

@@ -241,13 +241,16 @@ def test_a_failed_write_shows_nothing(spark, tmp_path):
     assert list(at.iterdir()) == []
 
 
-def test_parts_are_moved_once(tmp_path):
+def test_parts_are_moved_once(tmp_path, monkeypatch):
     """Into an open folder too; a move that was cut short or is done again ends the same."""
     staged, to = tmp_path / "s", tmp_path / "t"
     for folder, part, name in ((staged, "p=1", "a"), (staged, "p=2", "b"), (to, "p=2", "c")):
         (folder / "d=1" / part).mkdir(parents=True)
         (folder / "d=1" / part / name).write_text(name)
     move = local._mover(str(to), 2)
+    with monkeypatch.context() as patch, pytest.raises(FileNotFoundError):  # what can't be moved is no move that was done
+        patch.setattr(local.os, "rename", lambda *_: (to / "none").stat())
+        move(str(staged))
     for _ in range(2):
         move(str(staged))
         assert sorted(str(p.relative_to(to)) for p in to.rglob("[abc]")) == ["d=1/p=1/a", "d=1/p=2/b", "d=1/p=2/c"]
